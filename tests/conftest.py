@@ -1,0 +1,59 @@
+import os
+import sys
+from datetime import datetime
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from visitlens.schema import USER_INFO, VISIT_ACTION  # noqa: E402
+from visitlens.session import local_session  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = local_session(cores=8, shuffle_partitions=8, app="visitlens-tests")
+    yield s
+    s.stop()
+
+
+def ts(text: str) -> datetime:
+    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+
+
+def visit_row(session_id, user_id, time, *, kw=None, click=None, order=None, pay=None, date=None, page=0):
+    t = ts(time) if isinstance(time, str) else time
+    return (
+        date or t.strftime("%Y-%m-%d"),
+        user_id,
+        session_id,
+        page,
+        t,
+        kw,
+        click,
+        None if click is None else 1,
+        order,
+        None if order is None else "1",
+        pay,
+        None if pay is None else "1",
+    )
+
+
+@pytest.fixture
+def make_visits(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, VISIT_ACTION)
+
+    return make
+
+
+@pytest.fixture
+def make_users(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, USER_INFO)
+
+    return make

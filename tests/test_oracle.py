@@ -1,0 +1,74 @@
+"""Every registered query against its DuckDB twin (the driver's check), plus
+the check values of FIXTURES.md §3."""
+
+import hashlib
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_MID, SF_SMALL
+
+QUERIES = E.queries()
+SQL = E.oracle_sql()
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 9)
+    return v
+
+
+def _digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return hashlib.sha256("\n".join(sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rows)).encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("events", "customer", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    rows = [tuple(r) for r in df.collect()]
+    res = duck.execute(SQL[name])
+    cols = [c[0] for c in res.description]
+    drows = res.fetchall()
+    assert sorted(df.columns) == sorted(cols)
+    assert len(rows) == len(drows)
+    assert _digest(df.columns, rows) == _digest(cols, drows)
+
+
+@pytest.mark.skipif(not os.path.exists(SF_MID), reason="sf0.01 testdata missing")
+def test_fixture_check_values(spark):
+    top = QUERIES["top10_category"](spark, SF_MID).orderBy("click_count", ascending=False).collect()
+    assert [(r.categoryid, r.click_count, r.order_count, r.pay_count) for r in top[:3]] == [
+        (96, 31, 16, 21), (22, 30, 23, 16), (42, 29, 20, 19)]
+    assert QUERIES["session_rollup"](spark, SF_MID).count() == 2802
+    assert QUERIES["top10_session"](spark, SF_MID).count() == 1000
+    assert QUERIES["session_detail"](spark, SF_MID).count() == 2621
+    assert QUERIES["random_extract"](spark, SF_MID).count() == 1172
+    # FIXTURES' stat row is over every date of the month
+    from visitlens.plans import queries as Q
+
+    st = Q.session_aggr_stat(spark, SF_MID, Q.STAT_PARAMS, dated=False).first()
+    assert st.session_count == 139
+    assert (st.visit_length_1s_3s_ratio, st.visit_length_30m_ratio) == (0.0, 0.68)
+    assert (st.step_length_1_3_ratio, st.step_length_4_6_ratio) == (0.78, 0.22)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0].session_count > 0

@@ -1,0 +1,49 @@
+"""Physical-plan shape: pushdown, partial top-k, semi join, no Python in the plan."""
+
+import pytest
+
+from conftest import SF_SMALL
+from visitlens.plans import queries as Q
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_date_range_pushed_to_scan(spark):
+    p = plan(Q.session_rollup(spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05T00:00)" in p
+    # only the needed columns are read
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
+
+
+def test_rollup_is_partially_aggregated(spark):
+    p = plan(Q.session_rollup(spark, SF_SMALL))
+    assert "partial_min" in p and "partial_count" in p
+    assert "collect_list" not in p and "ObjectHashAggregate" not in p
+
+
+def test_top10_category_uses_take_ordered(spark):
+    assert "TakeOrderedAndProject" in plan(Q.top10_category(spark, SF_SMALL))
+
+
+def test_top_sessions_use_partial_window_group_limit(spark):
+    p = plan(Q.top10_session(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
+
+
+def test_extract_limits_before_shuffle(spark):
+    p = plan(Q.random_extract(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_detail_is_a_semi_join(spark):
+    assert "LeftSemi" in plan(Q.session_detail(spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+def test_no_python_in_any_plan(spark, name):
+    p = plan(Q.QUERIES[name](spark, SF_SMALL))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "MapElements", "MapPartitions", "PythonUDF",
+                "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, (name, bad)

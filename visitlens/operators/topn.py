@@ -32,7 +32,9 @@ MISSING_TOKENS = ("", "null")
 
 def _token_structs(kind: str, column: Column, split: bool) -> Column:
     if split:
-        return F.transform(F.split(column, ","), lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("token")))
+        # concat() is NULL if any array is NULL, so a missing field must give []
+        parts = F.coalesce(F.split(column, ","), F.array().cast("array<string>"))
+        return F.transform(parts, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("token")))
     return F.array(F.struct(F.lit(kind).alias("kind"), column.alias("token")))
 
 
@@ -89,6 +91,35 @@ def kind_counts(actions: DataFrame, weights: DataFrame, kind: str) -> DataFrame:
     return j.groupBy("category_id").agg(F.sum(F.col("n") * F.col("weight")).cast("bigint").alias(f"{kind}_count"))
 
 
+def session_category_kinds(actions: DataFrame) -> DataFrame:
+    """``session_id, user_id, category_id, click_n, order_n, pay_n``.
+
+    One aggregate both top-N outputs can share (``run_task`` persists it), so
+    the action log is read and shuffled once for the two of them.
+    """
+    return actions.groupBy("session_id", "user_id", "category_id").agg(
+        *[F.count_if(F.col("kind") == k).alias(f"{k}_n") for k in KINDS]
+    )
+
+
+def category_counts_from(kinds: DataFrame, weights: DataFrame) -> DataFrame:
+    """``category_counts`` from the shared session-category aggregate."""
+    keys = [c for c in weights.columns if c != "weight"]
+    j = _weighted(kinds, weights, keys)
+    return j.groupBy("category_id").agg(
+        *[F.sum(F.col(f"{k}_n") * F.col("weight")).cast("bigint").alias(f"{k}_count") for k in KINDS]
+    )
+
+
+def session_clicks_from(kinds: DataFrame, weights: DataFrame) -> DataFrame:
+    """``session_category_clicks`` from the shared session-category aggregate."""
+    keys = [c for c in weights.columns if c != "weight"]
+    j = _weighted(kinds.where(F.col("click_n") > 0), weights, keys)
+    return j.groupBy("session_id", "category_id").agg(
+        F.sum(F.col("click_n") * F.col("weight")).cast("bigint").alias("click_count")
+    )
+
+
 def top_categories(counts: DataFrame, n: int = 10, taskid: int | None = None) -> DataFrame:
     """Categories clicked, ordered and paid, by click, order, pay count (desc), then id."""
     ranked = (
