@@ -18,16 +18,23 @@ def in_bucket_sql(x: str, low: int, high: int | None) -> str:
     return f"{x} >= {low}" if high is None else f"{x} BETWEEN {low} AND {high}"
 
 
-def visit_bucket_counts(visit_length: Column, prefix: str = "visit_length_") -> list[Column]:
+def weighted_count(cond: Column, weight: Column | None = None) -> Column:
+    """Rows where ``cond`` holds, each counted ``weight`` times (bigint, 0 if none)."""
+    if weight is None:
+        return F.count_if(cond)
+    return F.coalesce(F.sum(F.when(cond, weight)), F.lit(0)).cast("bigint")
+
+
+def visit_bucket_counts(visit_length: Column, prefix: str = "visit_length_", weight: Column | None = None) -> list[Column]:
     """One conditional count per visit-length bucket (NULL/0 s fall in none)."""
     return [
-        F.count_if(in_bucket(visit_length, lo, hi)).alias(f"{prefix}{name}")
+        weighted_count(in_bucket(visit_length, lo, hi), weight).alias(f"{prefix}{name}")
         for name, lo, hi in VISIT_BUCKETS
     ]
 
 
-def step_bucket_counts(step_length: Column, prefix: str = "step_length_") -> list[Column]:
+def step_bucket_counts(step_length: Column, prefix: str = "step_length_", weight: Column | None = None) -> list[Column]:
     return [
-        F.count_if(in_bucket(step_length, lo, hi)).alias(f"{prefix}{name}")
+        weighted_count(in_bucket(step_length, lo, hi), weight).alias(f"{prefix}{name}")
         for name, lo, hi in STEP_BUCKETS
     ]

@@ -7,25 +7,38 @@ Inside an hour the draw is the sessions with the smallest
 ``md5(session_id || '|' || seed)``: random-looking, repeatable, and the same
 in every engine.
 
+Profile rows carry a ``weight`` (w identical joined rows); such a row fills
+w consecutive draw slots and is emitted as often as it was drawn.
+
 Scale: the per-hour ranking first keeps ``rank <= per_day`` (a literal), so
 Spark inserts a partial WindowGroupLimit before the shuffle: a hot hour
-ships at most ``per_day`` rows per map task.  The exact quota (<= per_day)
-is applied after joining the small per-hour table.
+ships at most ``per_day`` rows per map task.  Every row has weight >= 1, so
+those rows cover all slots the quota (<= per_day) can reach; the exact
+quota is applied after joining the small per-hour table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import date_hour, format_date, format_time
 
+DRAW_ORDER = ["draw", "session_id", "user_id", "age", "professional", "city", "sex"]
+
+
+def _weight(profile: DataFrame) -> Column:
+    return F.col("weight") if "weight" in profile.columns else F.lit(1).cast("bigint")
+
 
 def _with_hour(profile: DataFrame) -> DataFrame:
+    attrs = [c for c in ("age", "professional", "city", "sex") if c in profile.columns]
     return profile.select(
         "session_id",
         "user_id",
         "start_time",
+        *attrs,
+        _weight(profile).alias("weight"),
         format_date("start_time").alias("day"),
         date_hour("start_time").alias("date_hour"),
     ).where(F.col("start_time").isNotNull())
@@ -33,40 +46,56 @@ def _with_hour(profile: DataFrame) -> DataFrame:
 
 def sessions_per_hour(profile: DataFrame) -> DataFrame:
     """``date_hour, session_count`` (A11)."""
-    return _with_hour(profile).groupBy("date_hour").agg(F.count(F.lit(1)).alias("session_count"))
+    return _with_hour(profile).groupBy("date_hour").agg(F.sum("weight").cast("bigint").alias("session_count"))
 
 
 def sessions_per_day(profile: DataFrame) -> DataFrame:
     """``day, session_count`` (A12)."""
-    return _with_hour(profile).groupBy("day").agg(F.count(F.lit(1)).alias("session_count"))
+    return _with_hour(profile).groupBy("day").agg(F.sum("weight").cast("bigint").alias("session_count"))
 
 
 def hour_quotas(profile: DataFrame, per_day: int) -> DataFrame:
-    """``day, date_hour, hour_count, day_count, quota`` (one row per hour with sessions)."""
-    hours = _with_hour(profile).groupBy("day", "date_hour").agg(F.count(F.lit(1)).alias("hour_count"))
-    day_count = F.sum("hour_count").over(Window.partitionBy("day")).cast("bigint")
-    hours = hours.withColumn("day_count", day_count)
+    """``day, date_hour, hour_count, day_count, quota`` (one row per hour with sessions).
+
+    The hour table has at most 24 rows per day, so the day total is a window
+    over that small table.
+    """
+    hours = _with_hour(profile).groupBy("day", "date_hour").agg(F.sum("weight").cast("bigint").alias("hour_count"))
+    hours = hours.withColumn("day_count", F.sum("hour_count").over(Window.partitionBy("day")).cast("bigint"))
     scaled = F.col("hour_count") * F.lit(int(per_day))
     quota = ((scaled - scaled % F.col("day_count")) / F.col("day_count")).cast("bigint")
     return hours.withColumn("quota", quota)
 
 
-def draw_key(session_id: str, seed: str):
+def draw_key(session_id: str, seed: str) -> Column:
     return F.md5(F.concat(F.col(session_id), F.lit("|" + str(seed))))
 
 
 def extract_sessions(profile: DataFrame, per_day: int, seed: str = "0") -> DataFrame:
-    """The drawn sessions: ``session_id, user_id, start_time, date_hour``."""
+    """The drawn sessions: ``session_id, user_id, start_time, date_hour, copy``.
+
+    One row per drawn slot (``copy`` numbers the slots of a weighted row).
+    """
     s = _with_hour(profile).withColumn("draw", draw_key("session_id", seed))
-    w = Window.partitionBy("date_hour").orderBy("draw", "session_id", "user_id")
-    ranked = s.withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= F.lit(int(per_day)))
+    order = [c for c in DRAW_ORDER if c in s.columns]
+    by_hour = Window.partitionBy("date_hour").orderBy(*order)
+    ranked = s.withColumn("pick", F.row_number().over(by_hour)).where(F.col("pick") <= F.lit(int(per_day)))
+    # slots taken by earlier rows of the hour (<= per_day rows per hour remain)
+    earlier = F.sum("weight").over(
+        Window.partitionBy("date_hour").orderBy("pick").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranked = ranked.withColumn("earlier", F.coalesce(earlier, F.lit(0)).cast("bigint"))
     q = hour_quotas(profile, per_day).select("date_hour", "quota")
-    return ranked.join(q, "date_hour", "inner").where(F.col("pick") <= F.col("quota")).select(
-        "session_id", "user_id", "start_time", "date_hour"
+    j = ranked.join(q, "date_hour", "inner")
+    copies = F.least(F.col("weight"), F.col("quota") - F.col("earlier"))
+    j = j.withColumn("copies", copies).where(F.col("copies") > 0)
+    return j.select(
+        "session_id", "user_id", "start_time", "date_hour", "pick",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"),
     )
 
 
-def _joined(values) -> F.Column:
+def _joined(values: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_set(values)), lambda x: x.cast("string")), ",")
 
 
@@ -76,23 +105,24 @@ def random_extract(
     """Drawn sessions with their distinct searched keywords and clicked
     categories (sorted, comma-joined), as the ``session_random_extract`` table.
 
-    ``visits`` must be the same date-filtered visit log the profile came from.
-    Only the drawn sessions' actions are aggregated (semi join on the drawn
-    set, at most ``per_day`` x days rows).
+    ``visits`` must be the same date-filtered visit log the profile came from,
+    so every drawn session has at least one action there.  The drawn set
+    (at most ``per_day`` x days rows) is joined to the actions once (AQE
+    broadcasts it when measured small) and the lists are built only for
+    the drawn sessions, from sets bounded by the distinct values.
     """
     drawn = extract_sessions(profile, per_day, seed)
-    keys = drawn.select("session_id", "user_id")
-    acts = visits.join(keys, ["session_id", "user_id"], "left_semi")
-    lists = acts.groupBy("session_id", "user_id").agg(
+    acts = visits.select("session_id", "user_id", "search_keyword", "click_category_id")
+    j = acts.join(drawn, ["session_id", "user_id"], "inner")
+    out = j.groupBy("session_id", "user_id", "start_time", "pick", "copy").agg(
         _joined(F.col("search_keyword")).alias("search_keywords"),
         _joined(F.col("click_category_id")).alias("click_category_ids"),
     )
-    out = drawn.join(lists, ["session_id", "user_id"], "left")
     cols = [F.lit(int(taskid)).cast("bigint").alias("taskid")] if taskid is not None else []
     return out.select(
         *cols,
         F.col("session_id").alias("sessionid"),
         format_time("start_time").alias("start_time"),
-        F.coalesce("search_keywords", F.lit("")).alias("search_keywords"),
-        F.coalesce("click_category_ids", F.lit("")).alias("click_category_ids"),
+        F.col("search_keywords"),
+        F.col("click_category_ids"),
     )

@@ -17,7 +17,8 @@ from visitlens.params import TaskParams
 
 ROLLUP_COLUMNS = ["session_id", "user_id", "start_time", "end_time", "visit_length", "step_length"]
 PROFILE_COLUMNS = ["session_id", "user_id", "start_time", "visit_length", "step_length",
-                   "age", "professional", "city", "sex"]
+                   "age", "professional", "city", "sex", "weight"]
+USER_ATTRS = ["userid", "age", "professional", "city", "sex"]
 
 
 def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataFrame:
@@ -46,14 +47,28 @@ def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataF
     )
 
 
+def user_variants(users: DataFrame) -> DataFrame:
+    """Users pre-aggregated to distinct ``(userid, age, professional, city, sex)``
+    rows with ``weight`` = how many identical user rows each stands for.
+
+    A userid listed many times would otherwise multiply every one of its
+    sessions in the join; the weight carries the multiplicity instead, and
+    every consumer sums weights where the reference counts joined rows.
+    """
+    return users.groupBy(*USER_ATTRS).agg(F.count(F.lit(1)).alias("weight"))
+
+
 def session_profile(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner equi-join of sessions to users on ``user_id = userid``.
 
-    Sessions without a user are dropped; a userid present twice yields the
-    session twice.  Join strategy is left to Catalyst/AQE (broadcast when the
-    user side is measured small, sort-merge with skew splitting otherwise).
+    Sessions without a user are dropped.  Duplicate user rows are folded
+    into ``weight`` (see ``user_variants``): a profile row with weight w
+    stands for w identical rows of the reference's joined profile.  Join
+    strategy is left to Catalyst/AQE (broadcast when the user side is
+    measured small, sort-merge with skew splitting otherwise).
     """
-    j = sessions.join(users, sessions["user_id"] == users["userid"], "inner")
+    variants = user_variants(users)
+    j = sessions.join(variants, sessions["user_id"] == variants["userid"], "inner")
     extra = [c for c in sessions.columns if c not in ROLLUP_COLUMNS]
     return j.select(*[sessions[c] for c in PROFILE_COLUMNS[:5]], "age", "professional", "city", "sex",
-                    *[sessions[c] for c in extra])
+                    "weight", *[sessions[c] for c in extra])

@@ -64,7 +64,8 @@ def user_weights(users: DataFrame) -> DataFrame:
 
 def session_weights(profile: DataFrame) -> DataFrame:
     """``session_id, user_id, weight`` from a (filtered) profile."""
-    return profile.groupBy("session_id", "user_id").agg(F.count(F.lit(1)).alias("weight"))
+    w = F.sum("weight") if "weight" in profile.columns else F.count(F.lit(1))
+    return profile.groupBy("session_id", "user_id").agg(w.cast("bigint").alias("weight"))
 
 
 def _weighted(pre: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:

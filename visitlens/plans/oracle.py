@@ -64,7 +64,7 @@ def _base(grain: str = "day", divisor: int = 1, dated: bool = True) -> list[str]
 
 PROFILE_SELECT = (
     f"SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length, "
-    "age, professional, city, sex FROM prof p"
+    "age, professional, city, sex, count(*) AS weight FROM prof p"
 )
 
 
@@ -81,7 +81,7 @@ CATEGORY_COND = _exists_action(f"a.click_category_id IN ({Q.CATEGORY_IDS})")
 
 
 def _filtered(where: str) -> str:
-    return _with(*_base()) + PROFILE_SELECT + " WHERE " + where
+    return _with(*_base()) + PROFILE_SELECT + " WHERE " + where + " GROUP BY ALL"
 
 
 def _counts_cte(where: str = "TRUE", name: str = "cnt") -> str:
@@ -170,7 +170,7 @@ quotas AS (
   FROM hours)"""
 
 DRAWN = f"""drawn AS (
-  SELECT r.session_id, r.user_id, r.start_time FROM (
+  SELECT r.session_id, r.user_id, r.start_time, r.pick FROM (
     SELECT session_id, user_id, start_time, strftime(start_time, '%Y-%m-%d_%H') AS date_hour,
            row_number() OVER (PARTITION BY strftime(start_time, '%Y-%m-%d_%H')
                               ORDER BY md5(session_id || '|{Q.EXTRACT_SEED}'), session_id, user_id) AS pick
@@ -192,7 +192,7 @@ KV_PARAM = f"'{Q.KV_PARAM}'"
 
 
 def _kv(where: str) -> str:
-    return _with(*_base(), KV_RECORDS) + f"SELECT session_id, user_id, info FROM kv WHERE {where}"
+    return _with(*_base(), KV_RECORDS) + f"SELECT session_id, user_id, info, count(*) AS weight FROM kv WHERE {where} GROUP BY ALL"
 
 
 KV_BETWEEN = (
@@ -222,7 +222,7 @@ SQL: dict[str, str] = {
     "user_scan": _with(UI) + "SELECT userid, age, professional, city, sex FROM ui",
     "session_rollup": _with(_uva(), SESS)
     + f"SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length FROM sess",
-    "session_profile": _with(*_base()) + PROFILE_SELECT,
+    "session_profile": _with(*_base()) + PROFILE_SELECT + " GROUP BY ALL",
     "filter_age": _filtered("p.age BETWEEN 20 AND 40"),
     "filter_age_open": _filtered("p.age >= 50"),
     "filter_professional": _filtered(f"p.professional IN ({_in_list(Q.PROFESSIONALS)})"),
@@ -269,5 +269,5 @@ SQL: dict[str, str] = {
        coalesce(array_to_string(list_sort(list_distinct(list(v.search_keyword))), ','), '') AS search_keywords,
        coalesce(array_to_string(list_sort(list_distinct(list(v.click_category_id))), ','), '') AS click_category_ids
 FROM drawn d JOIN uva v ON v.session_id = d.session_id AND v.user_id = d.user_id
-GROUP BY d.session_id, d.user_id, d.start_time""",
+GROUP BY d.session_id, d.user_id, d.start_time, d.pick""",
 }

@@ -38,7 +38,8 @@ EXTRACT_SEED = "0"
 TIME_DIVISOR = 40  # compresses the clock so every visit-length bucket is hit
 KV_PARAM = "startAge=20|endAge=40|cities=NATION_10,NATION_2|sex=male"
 
-PROFILE_OUT = ["session_id", "user_id", "start_time", "visit_length", "step_length", "age", "professional", "city", "sex"]
+PROFILE_OUT = ["session_id", "user_id", "start_time", "visit_length", "step_length", "age", "professional", "city", "sex",
+               "weight"]
 
 
 def _visits(spark: SparkSession, sf_dir: str, dated: bool = True, **kw) -> DataFrame:
@@ -95,7 +96,7 @@ def session_profile(spark, sf_dir):
 def _kv_records(spark, sf_dir):
     prof = _profile(spark, sf_dir)
     rec = kv_record(age=F.col("age"), professional=F.col("professional"), city=F.col("city"), sex=F.col("sex"))
-    return prof.select("session_id", "user_id", rec.alias("info"))
+    return prof.select("session_id", "user_id", rec.alias("info"), "weight")
 
 
 def kv_between_q(spark, sf_dir):
