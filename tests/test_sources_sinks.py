@@ -111,3 +111,16 @@ def test_params_roundtrip():
     p = TaskParams(start_date="2024-01-01", cities="A,B")
     assert json.loads(p.to_json()) == {"startDate": "2024-01-01", "cities": "A,B"}
     assert TaskParams.from_json(p.to_json()) == p
+
+
+def test_partitioned_table_prunes_dates(spark, tmp_path):
+    from visitlens.operators.predicates import date_range
+    from visitlens.sources import read_visit_table
+
+    path = str(tmp_path / "uva")
+    fixtures.visit_actions(spark, SF_SMALL).write.partitionBy("datestr").parquet(path)
+    visits = date_range(read_visit_table(spark, path), "2024-01-05", "2024-01-07")
+    plan = visits._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(datestr" in plan and "2024-01-05" in plan
+    direct = fixtures.visit_actions(spark, SF_SMALL, start_date="2024-01-05", end_date="2024-01-07")
+    assert visits.count() == direct.count() > 0

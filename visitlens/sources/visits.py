@@ -20,8 +20,10 @@ FIELD_SEP = "\u0001"
 def conform(df: DataFrame) -> DataFrame:
     """Cast a visit log whose columns carry the VISIT_ACTION names to its types.
 
-    Text ids that are not numbers become NULL (``try_cast``); time text is
-    parsed with an unpadded-hour pattern; ``"null"`` / ``""`` become NULL.
+    Columns already of the right type pass through untouched, so filters on
+    them (``datestr`` partition pruning, ``session_id`` semi joins) still
+    reach the scan.  Text ids that are not numbers become NULL
+    (``try_cast``); time text is parsed with an unpadded-hour pattern.
     """
     missing = [c for c in VISIT_COLUMNS if c not in df.columns]
     if missing:
@@ -30,14 +32,10 @@ def conform(df: DataFrame) -> DataFrame:
     for field in VISIT_ACTION.fields:
         c = F.col(field.name)
         src = df.schema[field.name].dataType
-        if src.simpleString() == "string":
-            c = F.when(~F.coalesce(c, F.lit(NULL_TEXT)).isin(NULL_TEXT, ""), c)
-            if field.name == "action_time":
-                c = parse_time(c)
-            elif field.dataType.simpleString() != "string":
-                c = c.try_cast(field.dataType)
-        elif src != field.dataType:
-            c = c.try_cast(field.dataType)
+        if src != field.dataType:
+            c = parse_time(c) if field.name == "action_time" and src.simpleString() == "string" else c.try_cast(
+                field.dataType
+            )
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
@@ -52,7 +50,8 @@ def read_hive_visits(spark: SparkSession, table: str = "user_visit_action") -> D
 
 
 def read_visit_text(spark: SparkSession, path: str) -> DataFrame:
-    """``\\001``-separated text, 12 fields per line, the text ``null`` = missing."""
+    """``\\001``-separated text, 12 fields per line, the text ``null`` = missing
+    (the CSV reader turns it into NULL; non-numeric id text becomes NULL)."""
     raw = (
         spark.read.schema(VISIT_ACTION_TEXT)
         .option("sep", FIELD_SEP)
