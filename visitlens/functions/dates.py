@@ -10,46 +10,66 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from visitlens.schema import TIME_FORMAT
-
-# Accepts padded and unpadded hours.
-TIME_PARSE_FORMAT = "yyyy-MM-dd H:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
-DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# yyyy-M-d H:m:s with one- or two-digit fields (the generator leaves hours unpadded)
+TIME_TEXT = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+
+
 def parse_time(c: Column | str) -> Column:
-    """Text -> TIMESTAMP_NTZ (wall clock, no time zone); bad text -> NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(TIME_PARSE_FORMAT)).cast("timestamp_ntz")
+    """Text -> TIMESTAMP_NTZ (wall clock, no time zone); bad or impossible text -> NULL.
+
+    Fields are assembled with ``try_make_timestamp_ntz`` so no session time
+    zone is involved (parsing to an instant and back would move wall-clock
+    times that fall in a DST gap).
+    """
+    c = _c(c)
+    parts = [F.regexp_extract(c, TIME_TEXT, i).try_cast("int") for i in range(1, 7)]
+    return F.try_make_timestamp_ntz(*parts)
 
 
-def as_time(c: Column | str) -> Column:
-    """Accept either a timestamp column or time text."""
-    return _c(c)
+def _sec_of_day(c: Column) -> Column:
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c).cast("int")
 
 
 def format_time(c: Column | str) -> Column:
-    return F.date_format(_c(c), TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ (fraction dropped).
+
+    Built from the wall-clock value itself, so the session time zone never
+    enters (``date_format`` would convert through it).
+    """
+    return F.substring(_c(c).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def format_date(c: Column | str) -> Column:
-    return F.date_format(_c(c), DATE_FORMAT)
+    """``yyyy-MM-dd`` of a TIMESTAMP_NTZ, time-zone independent."""
+    return F.to_date(_c(c)).cast("string")
+
+
+def format_month(c: Column | str) -> Column:
+    return F.substring(format_date(c), 1, 7)
 
 
 def date_hour(c: Column | str) -> Column:
-    """``yyyy-MM-dd_HH`` key of a timestamp (hour zero-padded)."""
-    return F.date_format(_c(c), DATE_HOUR_FORMAT)
+    """``yyyy-MM-dd_HH`` key of a TIMESTAMP_NTZ (hour zero-padded), time-zone independent."""
+    c = _c(c)
+    return F.concat(format_date(c), F.lit("_"), F.lpad(F.hour(c).cast("string"), 2, "0"))
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    """Whole seconds from ``earlier`` to ``later``, each end truncated to the second."""
-    a = F.date_trunc("second", _c(earlier))
-    b = F.date_trunc("second", _c(later))
-    return F.timestamp_diff("SECOND", a, b)
+    """Whole seconds from ``earlier`` to ``later``, each end truncated to the second.
+
+    Day difference x 86400 + second-of-day difference: exact on wall-clock
+    (NTZ) values whatever the session time zone, DST changes included.
+    """
+    a, b = _c(earlier), _c(later)
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    return days * F.lit(86400) + (_sec_of_day(b) - _sec_of_day(a)).cast("bigint")
 
 
 def before(t1: Column | str, t2: Column | str) -> Column:

@@ -14,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.functions.dates import format_date, format_month
 from visitlens.schema import VISIT_COLUMNS
 
-GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+GRAINS = ("day", "month")
 
 
 def _memo(spark: SparkSession) -> dict:
@@ -51,7 +52,8 @@ def _scaled_time(ts: Column, divisor: int) -> Column:
     if divisor == 1:
         return ts
     sec_of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts).cast("int")
-    return F.timestamp_add("SECOND", F.floor(sec_of_day / divisor).cast("int"), F.date_trunc("DAY", ts))
+    midnight = F.to_date(ts).cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", F.floor(sec_of_day / divisor).cast("int"), midnight)
 
 
 @_memoised
@@ -82,13 +84,12 @@ def visit_actions(
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     kind = F.col("event_type")
     product = (F.col("event_id") % 100)
-    datestr = F.date_format("ts", "yyyy-MM-dd")
+    datestr = format_date("ts")
+    session_key = datestr if grain == "day" else format_month("ts")
     out = e.select(
         datestr.alias("datestr"),
         F.col("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", GRAINS[grain])).alias(
-            "session_id"
-        ),
+        F.concat(F.col("user_id").cast("string"), F.lit("_"), session_key).alias("session_id"),
         (F.col("event_id") % 10).alias("page_id"),
         _scaled_time(F.col("ts"), time_divisor).alias("action_time"),
         F.when(kind == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
