@@ -38,7 +38,34 @@ def test_extract_limits_before_shuffle(spark):
 
 
 def test_detail_is_a_semi_join(spark):
-    assert "LeftSemi" in plan(Q.session_detail(spark, SF_SMALL))
+    p = plan(Q.session_detail(spark, SF_SMALL))
+    # the measured id set is broadcast: the visit log is probed map-side, never shuffled
+    assert "LeftSemi" in p and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_extract_joins_drawn_set_by_broadcast(spark):
+    p = plan(Q.random_extract(spark, SF_SMALL))
+    outer = p.split("InMemoryRelation")[0]  # the plan over the visit log, not the cached draw
+    assert "BroadcastHashJoin [session_id" in outer and "SortMergeJoin" not in outer
+
+
+def test_broadcast_only_under_the_threshold(spark):
+    from visitlens.operators.joins import broadcast_if_small, parse_bytes
+
+    assert parse_bytes("10MB") == 10 << 20 and parse_bytes("10485760b") == 10485760 and parse_bytes("-1") == -1
+    small = spark.range(100).selectExpr("cast(id as string) as k")
+    big = spark.range(1000).selectExpr("cast(id as string) as k", "id")
+    kept = []
+    hinted, yes = broadcast_if_small(small, kept)
+    assert yes and kept and "BroadcastHashJoin" in plan(big.join(hinted, "k", "left_semi"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, no = broadcast_if_small(small, kept)
+        assert not no and "SortMergeJoin" in plan(big.join(plain, "k", "left_semi"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for df in kept:
+        df.unpersist()
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))

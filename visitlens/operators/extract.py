@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import date_hour, format_date, format_time
+from visitlens.operators.joins import broadcast_if_small
 
 DRAW_ORDER = ["draw", "session_id", "user_id", "age", "professional", "city", "sex"]
 
@@ -100,18 +101,24 @@ def _joined(values: Column) -> Column:
 
 
 def random_extract(
-    profile: DataFrame, visits: DataFrame, per_day: int, seed: str = "0", taskid: int | None = None
+    profile: DataFrame,
+    visits: DataFrame,
+    per_day: int,
+    seed: str = "0",
+    taskid: int | None = None,
+    kept: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Drawn sessions with their distinct searched keywords and clicked
     categories (sorted, comma-joined), as the ``session_random_extract`` table.
 
     ``visits`` must be the same date-filtered visit log the profile came from,
     so every drawn session has at least one action there.  The drawn set
-    (at most ``per_day`` x days rows) is joined to the actions once (AQE
-    broadcasts it when measured small) and the lists are built only for
-    the drawn sessions, from sets bounded by the distinct values.
+    (at most ``per_day`` x days slots) is materialised and measured, then
+    joined to the actions once, broadcast when under the threshold so the
+    visit log is not shuffled; the lists are built only for the drawn
+    sessions, from sets bounded by the distinct values.
     """
-    drawn = extract_sessions(profile, per_day, seed)
+    drawn, _ = broadcast_if_small(extract_sessions(profile, per_day, seed), kept)
     acts = visits.select("session_id", "user_id", "search_keyword", "click_category_id")
     j = acts.join(drawn, ["session_id", "user_id"], "inner")
     out = j.groupBy("session_id", "user_id", "start_time", "pick", "copy").agg(

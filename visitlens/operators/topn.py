@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import format_time
+from visitlens.operators.joins import broadcast_if_small
 
 KINDS = ("click", "order", "pay")
 MISSING_TOKENS = ("", "null")
@@ -182,19 +183,24 @@ def _detail_columns(taskid: int | None) -> list[Column]:
     ]
 
 
-def session_detail(visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None) -> DataFrame:
+def session_detail(
+    visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None, kept: list[DataFrame] | None = None
+) -> DataFrame:
     """Every action of the top sessions (left-semi join on session id, no dedupe).
 
-    The id set is at most ``n`` x categories rows; AQE turns the semi join
-    into a broadcast when that measures small and otherwise keeps a
-    sort-merge join with skew splitting of hot sessions.
+    The id set is at most ``n`` x categories rows.  It is materialised and
+    measured first; when under the broadcast threshold the visit log is
+    probed map-side and never shuffled, otherwise a sort-merge semi join
+    with AQE skew splitting of hot sessions runs.
     """
-    ids = top_session_ids(top_sessions)
+    ids, _ = broadcast_if_small(top_session_ids(top_sessions), kept)
     return visits.join(ids, "session_id", "left_semi").select(*_detail_columns(taskid))
 
 
-def session_detail_inner(visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None) -> DataFrame:
+def session_detail_inner(
+    visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None, kept: list[DataFrame] | None = None
+) -> DataFrame:
     """Inner-join variant: an action repeats once per category its session tops."""
-    keys = top_sessions.select(F.col("sessionid").alias("session_id"), "categoryid")
+    keys, _ = broadcast_if_small(top_sessions.select(F.col("sessionid").alias("session_id"), "categoryid"), kept)
     j = visits.join(keys, "session_id", "inner")
     return j.select(*_detail_columns(taskid), "categoryid")

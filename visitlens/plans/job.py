@@ -76,13 +76,13 @@ def build_task(
         topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid),
         checkpoint,
     )
+    kept = [profile, kinds, top_sess]
     detail_src = dated if params.restrict_dates else visits
-    detail = topn.session_detail(detail_src, top_sess, taskid)
+    detail = topn.session_detail(detail_src, top_sess, taskid, kept)
 
     sample = None
     if params.extract_per_day > 0:
-        sample = extract.random_extract(profile, dated, params.extract_per_day, params.extract_seed, taskid)
-    kept = [profile, kinds, top_sess]
+        sample = extract.random_extract(profile, dated, params.extract_per_day, params.extract_seed, taskid, kept)
     return TaskResults(stat, top_cat, top_sess, detail, sample), kept
 
 
