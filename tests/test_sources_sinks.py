@@ -124,3 +124,51 @@ def test_partitioned_table_prunes_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(datestr" in plan and "2024-01-05" in plan
     direct = fixtures.visit_actions(spark, SF_SMALL, start_date="2024-01-05", end_date="2024-01-07")
     assert visits.count() == direct.count() > 0
+
+
+def test_restrict_dates_D7_and_checkpoint(spark, tmp_path):
+    from visitlens.plans.job import build_task
+
+    visits = fixtures.visit_actions(spark, SF_SMALL, grain="month")  # sessions span the month
+    users = fixtures.user_info(spark, SF_SMALL)
+    base = TaskParams(start_date="2024-01-10", end_date="2024-01-12", extract_per_day=0)
+    if spark.sparkContext.getCheckpointDir() is None:  # tests only: the session names none
+        spark.sparkContext.setCheckpointDir(str(tmp_path / "ckpt"))
+    for restrict in (False, True):
+        res, kept = build_task(visits, users, base.with_options(restrict_dates=restrict), 5, checkpoint=True)
+        try:
+            days = {r.action_time[:10] for r in res.session_detail.collect()}
+            in_range = {"2024-01-10", "2024-01-11", "2024-01-12"}
+            if restrict:
+                assert days and days <= in_range
+            else:  # as the reference: every action of a top session, any date
+                assert days - in_range
+            assert res.session_random_extract is None
+        finally:
+            for df in kept:
+                df.unpersist()
+
+
+def test_table_readers_and_cli(spark, tmp_path):
+    from visitlens.plans.__main__ import main
+    from visitlens.sources.users import read_hive_users
+    from visitlens.sources.visits import read_hive_visits
+
+    visits = fixtures.visit_actions(spark, SF_SMALL)
+    users = fixtures.user_info(spark, SF_SMALL)
+    visits.createOrReplaceTempView("user_visit_action")
+    users.createOrReplaceTempView("user_info_view")
+    assert read_hive_visits(spark).count() == visits.count()
+    assert read_hive_users(spark, "user_info_view").count() == users.count()
+    vpath, upath, tpath = str(tmp_path / "v"), str(tmp_path / "u"), str(tmp_path / "t")
+    visits.write.partitionBy("datestr").parquet(vpath)
+    users.write.parquet(upath)
+    spark.createDataFrame(
+        [(9, "t", None, None, None, "session", "new", '{"startDate":"2024-01-01","endDate":"2024-01-31"}')],
+        "taskid long, task_name string, create_time string, start_time string, finish_time string, "
+        "task_type string, task_status string, task_param string",
+    ).write.parquet(tpath)
+    out = str(tmp_path / "out")
+    main(["9", "--tasks", tpath, "--visits", vpath, "--users", upath, "--out", out])
+    stat = read_result(spark, out, "session_aggr_stat", 9).first()
+    assert stat.session_count > 0
