@@ -72,3 +72,25 @@ def session_profile(sessions: DataFrame, users: DataFrame) -> DataFrame:
     extra = [c for c in sessions.columns if c not in ROLLUP_COLUMNS]
     return j.select(*[sessions[c] for c in PROFILE_COLUMNS[:5]], "age", "professional", "city", "sex",
                     "weight", *[sessions[c] for c in extra])
+
+
+def _value_list(values) -> F.Column:
+    # distinct values, sorted, comma-joined; a partial collect_set per map
+    # task keeps each group as small as its number of distinct values
+    return F.array_join(F.transform(F.array_sort(F.collect_set(values)), lambda x: x.cast("string")), ",")
+
+
+def session_value_lists(visits: DataFrame) -> DataFrame:
+    """Per session: the distinct searched keywords and clicked / ordered / paid
+    category ids, each sorted and comma-joined (``""`` when none).
+
+    The reference concatenates every value of a session in arrival order; a
+    list of all actions is unbounded per session (a hot session would pull
+    its whole history into one task), so the distinct set is kept instead.
+    """
+    return visits.groupBy("session_id", "user_id").agg(
+        _value_list(F.col("search_keyword")).alias("search_keywords"),
+        _value_list(F.col("click_category_id")).alias("click_category_ids"),
+        _value_list(F.col("order_category_ids")).alias("order_category_ids"),
+        _value_list(F.col("pay_category_ids")).alias("pay_category_ids"),
+    )

@@ -223,6 +223,13 @@ SQL: dict[str, str] = {
     "session_rollup": _with(_uva(), SESS)
     + f"SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length FROM sess",
     "session_profile": _with(*_base()) + PROFILE_SELECT + " GROUP BY ALL",
+    "session_value_lists": _with(_uva())
+    + """SELECT session_id, user_id,
+       coalesce(array_to_string(list_sort(list_distinct(list(search_keyword))), ','), '') AS search_keywords,
+       coalesce(array_to_string(list_sort(list_distinct(list(click_category_id))), ','), '') AS click_category_ids,
+       coalesce(array_to_string(list_sort(list_distinct(list(order_category_ids))), ','), '') AS order_category_ids,
+       coalesce(array_to_string(list_sort(list_distinct(list(pay_category_ids))), ','), '') AS pay_category_ids
+FROM uva GROUP BY session_id, user_id""",
     "filter_age": _filtered("p.age BETWEEN 20 AND 40"),
     "filter_age_open": _filtered("p.age >= 50"),
     "filter_professional": _filtered(f"p.professional IN ({_in_list(Q.PROFESSIONALS)})"),

@@ -87,6 +87,10 @@ def session_rollup(spark, sf_dir):
                     "visit_length", "step_length")
 
 
+def session_value_lists(spark, sf_dir):
+    return sessions.session_value_lists(_visits(spark, sf_dir))
+
+
 def session_profile(spark, sf_dir):
     return _profile_out(_profile(spark, sf_dir))
 
@@ -227,6 +231,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_scan": user_scan,
     "session_rollup": session_rollup,
     "session_profile": session_profile,
+    "session_value_lists": session_value_lists,
     "filter_age": _filtered(TaskParams(start_age="20", end_age="40")),
     "filter_age_open": _filtered(TaskParams(start_age="50")),
     "filter_professional": _filtered(TaskParams(professionals=PROFESSIONALS)),

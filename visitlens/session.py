@@ -47,9 +47,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     A fallback is only used where the session names none (tests); on a
     cluster the setting must point at shared storage.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)  # the cluster's shared folder, named in the session
+        return configured
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     spark.sparkContext.setCheckpointDir(fallback)
