@@ -172,3 +172,22 @@ def test_table_readers_and_cli(spark, tmp_path):
     main(["9", "--tasks", tpath, "--visits", vpath, "--users", upath, "--out", out])
     stat = read_result(spark, out, "session_aggr_stat", 9).first()
     assert stat.session_count > 0
+
+
+def test_write_result_replaces_only_its_task(spark, tmp_path):
+    from visitlens.sinks import write_result
+
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")  # the writer must not rely on it
+    try:
+        rows = lambda t, n: spark.createDataFrame(
+            [(t, c, 1, 1, 1) for c in range(n)], "taskid long, categoryid long, click_count long, "
+            "order_count long, pay_count long")
+        out = str(tmp_path / "res")
+        write_result(rows(1, 3), out, "top10_category")
+        write_result(rows(2, 4), out, "top10_category")
+        write_result(rows(1, 2), out, "top10_category")  # re-run of task 1
+        counts = {r.taskid: r["count"] for r in read_result(spark, out, "top10_category").groupBy("taskid").count().collect()}
+        assert counts == {1: 2, 2: 4}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

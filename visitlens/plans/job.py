@@ -101,10 +101,13 @@ def run_task(
     """
     results, kept = build_task(visits, users, params, taskid, checkpoint)
     try:
-        row = results.session_aggr_stat.select("session_count").first()
+        stat = results.session_aggr_stat
+        row = stat.first()  # the one-row result of a global aggregate
         if row is None or not row["session_count"]:
             raise ValueError(f"task {taskid}: no session matches the task parameters")
-        return {name: write_result(df, out_dir, name) for name, df in results.tables().items()}
+        tables = results.tables()
+        tables["session_aggr_stat"] = spark.createDataFrame([row], stat.schema)
+        return {name: write_result(df, out_dir, name) for name, df in tables.items()}
     finally:
         for df in kept:
             if df.is_cached:

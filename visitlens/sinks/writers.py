@@ -27,9 +27,14 @@ def conform_result(df: DataFrame, table: str) -> DataFrame:
 def write_result(df: DataFrame, base_path: str, table: str, fmt: str = "parquet") -> str:
     """Write ``df`` as ``<base_path>/<table>/taskid=<id>/``, replacing that task's rows."""
     path = f"{base_path.rstrip('/')}/{table}"
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    conform_result(df, table).write.mode("overwrite").partitionBy("taskid").format(fmt).save(path)
+    (
+        conform_result(df, table)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")  # replace only this task's partition
+        .partitionBy("taskid")
+        .format(fmt)
+        .save(path)
+    )
     return path
 
 
