@@ -106,3 +106,16 @@ def test_bucket_boundaries(spark):
     got = {r.x: r.b for r in df.select("x", F.coalesce(*cols).alias("b")).collect()}
     assert got == {1: "1_3", 3: "1_3", 4: "4_6", 6: "4_6", 7: "7_9", 9: "7_9", 10: "10_30", 30: "10_30",
                    31: "30_60", 60: "30_60", 61: "60"}
+
+
+def test_kv_field_random_records(spark):
+    import random
+
+    rnd = random.Random(11)
+    alphabet = ["a", "b", "=", "|", "1", "x", ""]
+    recs = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    df = spark.createDataFrame([(r,) for r in recs], "r string")
+    got = df.select("r", text.kv_field("r", "a").alias("a"), text.kv_field("r", "b").alias("b")).collect()
+    bad = [(g.r, g.a, java_field(g.r, "a")) for g in got
+           if g.a != java_field(g.r, "a") or g.b != java_field(g.r, "b")]
+    assert not bad, bad[:5]

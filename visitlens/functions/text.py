@@ -76,14 +76,11 @@ def kv_between(record: Column | str, field: str, param: Column | str, start_fiel
     A missing bound in the parameter record -> TRUE; a missing field in the
     data record -> FALSE.  Non-integer text counts as missing data (FALSE).
     """
-    start = kv_field(param, start_field).try_cast("int")
-    end = kv_field(param, end_field).try_cast("int")
-    value = kv_field(record, field).try_cast("int")
     start_txt = kv_field(param, start_field)
     end_txt = kv_field(param, end_field)
-    return F.when(start_txt.isNull() | end_txt.isNull(), F.lit(True)).otherwise(
-        F.coalesce((value >= start) & (value <= end), F.lit(False))
-    )
+    value = kv_field(record, field).try_cast("int")
+    inside = (value >= start_txt.try_cast("int")) & (value <= end_txt.try_cast("int"))
+    return F.when(start_txt.isNull() | end_txt.isNull(), F.lit(True)).otherwise(F.coalesce(inside, F.lit(False)))
 
 
 def kv_in(record: Column | str, field: str, param: Column | str, param_field: str) -> Column:
