@@ -15,6 +15,7 @@ back is the single stat row, to refuse a task that matches no session.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -86,6 +87,19 @@ def build_task(
     return TaskResults(stat, top_cat, top_sess, detail, sample), kept
 
 
+def write_all(tables: dict[str, DataFrame], write, parallel: int | None = None) -> dict[str, str]:
+    """Run the independent output jobs concurrently (one driver thread each).
+
+    The small outputs (a stat row, top-10 tables) then overlap with the large
+    detail export instead of queueing behind it; Spark schedules the jobs'
+    tasks side by side.
+    """
+    workers = parallel or len(tables)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run_task(
     spark: SparkSession,
     visits: DataFrame,
@@ -107,7 +121,7 @@ def run_task(
             raise ValueError(f"task {taskid}: no session matches the task parameters")
         tables = results.tables()
         tables["session_aggr_stat"] = spark.createDataFrame([row], stat.schema)
-        return {name: write_result(df, out_dir, name) for name, df in tables.items()}
+        return write_all(tables, lambda name, df: write_result(df, out_dir, name))
     finally:
         for df in kept:
             if df.is_cached:
