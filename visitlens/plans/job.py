@@ -60,12 +60,24 @@ def build_task(
     params: TaskParams,
     taskid: int,
     checkpoint: bool = False,
+    require_sessions: bool = False,
 ) -> tuple[TaskResults, list[DataFrame]]:
-    """Lazy result tables of one task plus the intermediates kept for reuse."""
+    """Result tables of one task plus the intermediates kept for reuse.
+
+    With ``require_sessions`` the one-row stat is computed first and a task
+    that matches no session is refused (ValueError) before any other work;
+    the stat table is then that computed row.
+    """
     dated = predicates.date_range(visits, params.start_date, params.end_date)
     profile = _keep(sessions.session_profile(sessions.session_rollup(dated, params), users), checkpoint)
     filtered = predicates.filter_sessions(profile, params)
     stat = stats.session_aggr_stat(filtered, taskid)
+    if require_sessions:
+        row = stat.first()  # the one-row result of a global aggregate
+        if row is None or not row["session_count"]:
+            profile.unpersist()
+            raise ValueError(f"task {taskid}: no session matches the task parameters")
+        stat = stat.sparkSession.createDataFrame([row], stat.schema)
 
     if params.top_scope == "filtered":
         weights = topn.session_weights(filtered)
@@ -113,15 +125,9 @@ def run_task(
 
     Raises ValueError when no session passes the filters (nothing is written).
     """
-    results, kept = build_task(visits, users, params, taskid, checkpoint)
+    results, kept = build_task(visits, users, params, taskid, checkpoint, require_sessions=True)
     try:
-        stat = results.session_aggr_stat
-        row = stat.first()  # the one-row result of a global aggregate
-        if row is None or not row["session_count"]:
-            raise ValueError(f"task {taskid}: no session matches the task parameters")
-        tables = results.tables()
-        tables["session_aggr_stat"] = spark.createDataFrame([row], stat.schema)
-        return write_all(tables, lambda name, df: write_result(df, out_dir, name))
+        return write_all(results.tables(), lambda name, df: write_result(df, out_dir, name))
     finally:
         for df in kept:
             if df.is_cached:
