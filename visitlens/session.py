@@ -17,7 +17,12 @@ JOB_CONF = {
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "visitlens") -> SparkSession:
+def local_session(
+    cores: int | str = 8,
+    shuffle_partitions: int | None = None,
+    app: str = "visitlens",
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC clock)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,7 +33,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
         .config("spark.driver.memory", os.environ.get("VISITLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in JOB_CONF.items():
+    for k, v in {**JOB_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
