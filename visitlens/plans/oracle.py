@@ -238,6 +238,8 @@ FROM uva GROUP BY session_id, user_id""",
     "filter_sex": _filtered("p.sex = 'male'"),
     "filter_keywords": _filtered(KEYWORD_COND),
     "filter_categories": _filtered(CATEGORY_COND),
+    "filter_keywords_substring": _filtered(_exists_action("strpos(a.search_keyword, 'w1') > 0")),
+    "filter_categories_substring": _filtered(_exists_action("strpos(CAST(a.click_category_id AS VARCHAR), '7') > 0")),
     "filter_all": _filtered(FILTER_ALL),
     "kv_between": _kv(KV_BETWEEN),
     "kv_in": _kv(KV_IN),
@@ -263,6 +265,8 @@ FROM uva GROUP BY session_id, user_id""",
     + f"SELECT {DETAIL_COLS} FROM uva v WHERE v.session_id IN (SELECT sessionid FROM top)",
     "session_detail_inner": _with(_uva(dated=False), UI, ACTS, SCC, TOP_SESS)
     + f"SELECT {DETAIL_COLS}, t.categoryid FROM uva v JOIN top t ON v.session_id = t.sessionid",
+    "session_detail_in_range": _with(_uva(), UI, ACTS, SCC, TOP_SESS)
+    + f"SELECT {DETAIL_COLS} FROM uva v WHERE v.session_id IN (SELECT sessionid FROM top)",
     "sessions_per_hour": _with(*_base(dated=False))
     + "SELECT strftime(start_time, '%Y-%m-%d_%H') AS date_hour, count(*) AS session_count FROM prof "
       "WHERE start_time IS NOT NULL GROUP BY 1",

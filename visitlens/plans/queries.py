@@ -206,6 +206,16 @@ def session_detail_inner(spark, sf_dir):
     return topn.session_detail_inner(visits, _top_sessions(spark, sf_dir), TASK_ID)
 
 
+def session_detail_in_range(spark, sf_dir):
+    """D7 option: top sessions of the date range, actions exported only inside it."""
+    params = TaskParams(start_date=RANGE[0], end_date=RANGE[1], restrict_dates=True)
+    dated = _visits(spark, sf_dir)
+    acts = topn.category_actions(dated, params.split_ids)
+    w = topn.user_weights(fixtures.user_info(spark, sf_dir))
+    top = topn.top_sessions_per_category(topn.session_category_clicks(acts, w), params.top_n, TASK_ID)
+    return topn.session_detail(dated, top, TASK_ID)
+
+
 # --- extraction ---------------------------------------------------------------------
 
 def sessions_per_hour(spark, sf_dir):
@@ -240,6 +250,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_sex": _filtered(TaskParams(sex="male")),
     "filter_keywords": _filtered(TaskParams(keywords=KEYWORDS)),
     "filter_categories": _filtered(TaskParams(category_ids=CATEGORY_IDS)),
+    "filter_keywords_substring": _filtered(TaskParams(keywords="w1", keyword_mode="substring")),
+    "filter_categories_substring": _filtered(TaskParams(category_ids="7", category_mode="substring")),
     "filter_all": _filtered(
         TaskParams(start_age="20", end_age="60", professionals=PROFESSIONALS, sex="female",
                    keywords=KEYWORDS, category_ids=CATEGORY_IDS)
@@ -263,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_session_ids": top_session_ids,
     "session_detail": session_detail,
     "session_detail_inner": session_detail_inner,
+    "session_detail_in_range": session_detail_in_range,
     "sessions_per_hour": sessions_per_hour,
     "sessions_per_day": sessions_per_day,
     "extract_quotas": extract_quotas,
