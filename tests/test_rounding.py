@@ -54,3 +54,11 @@ def test_round_would_be_wrong_on_a_tie(spark):
     assert java_format_double(29, 200) == 0.14
     r = spark.range(1).select(half_up_ratio(F.lit(29), F.lit(200)).alias("r")).first().r
     assert r == 0.14
+
+
+def test_spark_sql_text_matches_java_rounding(spark):
+    pairs = _pairs()
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = df.selectExpr("n", "d", f"{half_up_ratio_sql('n', 'd', 'spark')} AS r").collect()
+    bad = [(r.n, r.d, r.r) for r in got if r.r != java_format_double(r.n, r.d)]
+    assert not bad, bad[:10]

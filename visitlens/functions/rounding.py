@@ -50,13 +50,14 @@ def _int_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast("bigint")
 
 
-def half_up_ratio_sql(n: str, d: str) -> str:
-    """The same rule as SQL text (ANSI + ``//`` integer division, DuckDB dialect)."""
+def half_up_ratio_sql(n: str, d: str, dialect: str = "duckdb") -> str:
+    """The same rule as SQL text; integer division is ``//`` (DuckDB) or ``div`` (Spark)."""
+    div = {"duckdb": "//", "spark": "div"}[dialect]
     ties = ", ".join(str(m) for m in TIES_DOWN)
     n2 = f"(200 * CAST({n} AS BIGINT))"
     dd = f"CAST({d} AS BIGINT)"
-    k = f"(({n2} + {dd}) // (2 * {dd}))"
+    k = f"(({n2} + {dd}) {div} (2 * {dd}))"
     return (
-        f"CASE WHEN {dd} > 0 THEN CAST(CASE WHEN {n2} % {dd} = 0 AND {n2} // {dd} IN ({ties}) "
+        f"CASE WHEN {dd} > 0 THEN CAST(CASE WHEN {n2} % {dd} = 0 AND {n2} {div} {dd} IN ({ties}) "
         f"THEN {k} - 1 ELSE {k} END AS DOUBLE) / 100.0 END"
     )
