@@ -191,3 +191,38 @@ def test_write_result_replaces_only_its_task(spark, tmp_path):
         assert counts == {1: 2, 2: 4}
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_text_and_parquet_paths_agree(spark, tmp_path):
+    """The generator's text format through the whole job equals the parquet path."""
+    from pyspark.sql import functions as F
+
+    from visitlens.functions.dates import format_date
+    from visitlens.plans.__main__ import main
+
+    visits = fixtures.visit_actions(spark, SF_SMALL)
+    users = fixtures.user_info(spark, SF_SMALL)
+    t = F.col("action_time")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    as_text = {"action_time": F.concat(format_date(t), F.lit(" "), F.hour(t).cast("string"), F.lit(":"),
+                                       two(F.minute(t)), F.lit(":"), two(F.second(t)))}
+    fields = [F.coalesce(as_text.get(c, F.col(c)).cast("string"), F.lit("null")) for c in visits.columns]
+    text_dir, pq_dir = str(tmp_path / "text"), str(tmp_path / "pq")
+    visits.select(F.concat_ws(SEP, *fields).alias("value")).write.text(text_dir)
+    visits.write.parquet(pq_dir)
+    users.write.parquet(str(tmp_path / "u"))
+    param = '{"startDate":"2024-01-03","endDate":"2024-01-28","startAge":"20","endAge":"50"}'
+    spark.createDataFrame(
+        [(1, "t", None, None, None, "s", "new", param), (2, "t", None, None, None, "s", "new", param)],
+        "taskid long, task_name string, create_time string, start_time string, finish_time string, "
+        "task_type string, task_status string, task_param string",
+    ).write.parquet(str(tmp_path / "t"))
+    out = str(tmp_path / "out")
+    common = ["--tasks", str(tmp_path / "t"), "--users", str(tmp_path / "u"), "--out", out]
+    main(["1", "--visits", text_dir, "--text", *common])
+    main(["2", "--visits", pq_dir, *common])
+    for table in RESULT_TABLES:
+        a = read_result(spark, out, table, 1).drop("taskid")
+        b = read_result(spark, out, table, 2).drop("taskid")
+        assert a.count() == b.count() > 0, table
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
