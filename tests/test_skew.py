@@ -160,3 +160,17 @@ def test_users_are_folded_before_the_join(data):
     prof = sessions.session_profile(sessions.session_rollup(v), u)
     hot = prof.where("session_id = 'hot'").collect()
     assert sorted((r.age, r.weight) for r in hot) == [(30, COPIES), (52, 1)]
+
+
+def test_job_path_counts_match_brute_force(data):
+    v, u, vp, up = data
+    kinds = topn.session_category_kinds(topn.category_actions(v))
+    w = topn.user_weights(u)
+    joined = _brute_actions(vp).merge(up[["userid"]], left_on="user_id", right_on="userid")
+    expect = Counter((r.category_id, r.kind) for r in joined.itertuples())
+    for r in topn.category_counts_from(kinds, w).collect():
+        assert (r.click_count, r.order_count, r.pay_count) == (
+            expect[(r.category_id, "click")], expect[(r.category_id, "order")], expect[(r.category_id, "pay")])
+    clicks = joined[joined.kind == "click"].groupby(["session_id", "category_id"]).size().to_dict()
+    got = {(r.session_id, r.category_id): r.click_count for r in topn.session_clicks_from(kinds, w).collect()}
+    assert got == clicks

@@ -105,9 +105,15 @@ def session_category_kinds(actions: DataFrame) -> DataFrame:
 
 
 def category_counts_from(kinds: DataFrame, weights: DataFrame) -> DataFrame:
-    """``category_counts`` from the shared session-category aggregate."""
+    """``category_counts`` from the shared session-category aggregate.
+
+    The aggregate is first folded to the weights' grain (per user and
+    category for user weights, far fewer rows than per session), so only
+    that smaller table meets the join.
+    """
     keys = [c for c in weights.columns if c != "weight"]
-    j = _weighted(kinds, weights, keys)
+    folded = kinds.groupBy(*keys, "category_id").agg(*[F.sum(f"{k}_n").alias(f"{k}_n") for k in KINDS])
+    j = _weighted(folded, weights, keys)
     return j.groupBy("category_id").agg(
         *[F.sum(F.col(f"{k}_n") * F.col("weight")).cast("bigint").alias(f"{k}_count") for k in KINDS]
     )
