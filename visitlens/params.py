@@ -11,18 +11,15 @@ import json
 from dataclasses import dataclass, field, fields, replace
 from typing import Any
 
-# JSON keys of task_param -> attribute names here.
-JSON_KEYS = {
-    "startDate": "start_date",
-    "endDate": "end_date",
-    "startAge": "start_age",
-    "endAge": "end_age",
-    "professionals": "professionals",
-    "cities": "cities",
-    "sex": "sex",
-    "keywords": "keywords",
-    "categoryIds": "category_ids",
-}
+from visitlens.schema import TASK_PARAM_KEYS
+
+
+def _snake(name: str) -> str:
+    return "".join("_" + ch.lower() if ch.isupper() else ch for ch in name)
+
+
+# JSON keys of task_param -> attribute names here (startDate -> start_date, ...).
+JSON_KEYS = {key: _snake(key) for key in TASK_PARAM_KEYS}
 
 
 def _json_text(value: Any) -> str | None:

@@ -53,25 +53,13 @@ TASK = T.StructType(
     ]
 )
 
-# JSON keys of ``task_param``; every value is read as text.
-TASK_PARAM = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "startDate",
-            "endDate",
-            "startAge",
-            "endAge",
-            "professionals",
-            "cities",
-            "sex",
-            "keywords",
-            "categoryIds",
-        )
-    ]
-)
-
 # --- fixed values that must equal the reference's ----------------------------
+# JSON keys of a task's ``task_param`` object (every value is read as text).
+TASK_PARAM_KEYS = ["startDate", "endDate", "startAge", "endAge", "professionals", "cities", "sex", "keywords",
+                   "categoryIds"]
+# Field separator and missing-value text of the delimited visit-log files.
+VISIT_TEXT_SEPARATOR = "\u0001"
+VISIT_TEXT_NULL = "null"
 # Visit-length buckets in whole seconds, inclusive (name, low, high); None = open.
 VISIT_BUCKETS = [
     ("1s_3s", 1, 3),
@@ -95,6 +83,8 @@ STEP_BUCKETS = [
 ]
 # --- end of fixed values ------------------------------------------------------
 
+TASK_PARAM = T.StructType([T.StructField(name, T.StringType()) for name in TASK_PARAM_KEYS])
+
 VISIT_RATIO_COLUMNS = [f"visit_length_{name}_ratio" for name, _, _ in VISIT_BUCKETS]
 STEP_RATIO_COLUMNS = [f"step_length_{name}_ratio" for name, _, _ in STEP_BUCKETS]
 

@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import parse_time
-from visitlens.schema import VISIT_ACTION, VISIT_ACTION_TEXT, VISIT_COLUMNS
+from visitlens.schema import VISIT_ACTION, VISIT_ACTION_TEXT, VISIT_COLUMNS, VISIT_TEXT_NULL, VISIT_TEXT_SEPARATOR
 
-# Missing values are written as this text by the generator.
-NULL_TEXT = "null"
-FIELD_SEP = "\u0001"
+NULL_TEXT = VISIT_TEXT_NULL
+FIELD_SEP = VISIT_TEXT_SEPARATOR
 
 
 def conform(df: DataFrame) -> DataFrame:
