@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
+from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.predicates import session_hit_aggregates
 from visitlens.params import TaskParams
 
@@ -58,16 +59,26 @@ def user_variants(users: DataFrame) -> DataFrame:
     return users.groupBy(*USER_ATTRS).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def session_profile(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def session_profile(
+    sessions: DataFrame, users: DataFrame, kept: list[DataFrame] | None = None, measure_users: bool = False
+) -> DataFrame:
     """Inner equi-join of sessions to users on ``user_id = userid``.
 
     Sessions without a user are dropped.  Duplicate user rows are folded
     into ``weight`` (see ``user_variants``): a profile row with weight w
-    stands for w identical rows of the reference's joined profile.  Join
-    strategy is left to Catalyst/AQE (broadcast when the user side is
-    measured small, sort-merge with skew splitting otherwise).
+    stands for w identical rows of the reference's joined profile.
+
+    Join strategy: Catalyst broadcasts the user side when its estimate is
+    small (a user dimension does not grow with the visit log) and otherwise
+    plans a sort-merge join that AQE splits on hot users.  ``measure_users``
+    measures the user side first and hints the broadcast from that: one small
+    extra job, worth it where the profile is persisted and reused (run_task),
+    because on small inputs Catalyst may instead broadcast the session side
+    and squeeze the join into the user side's few partitions.
     """
     variants = user_variants(users)
+    if measure_users:
+        variants, _ = broadcast_if_small(variants, kept)
     j = sessions.join(variants, sessions["user_id"] == variants["userid"], "inner")
     extra = [c for c in sessions.columns if c not in ROLLUP_COLUMNS]
     return j.select(*[sessions[c] for c in PROFILE_COLUMNS[:5]], "age", "professional", "city", "sex",

@@ -58,9 +58,14 @@ def category_actions(visits: DataFrame, split_ids: bool = False) -> DataFrame:
     ).where(F.col("category_id").isNotNull())
 
 
-def user_weights(users: DataFrame) -> DataFrame:
-    """``user_id, weight``: profile rows each user id yields in the inner join."""
-    return users.groupBy(F.col("userid").alias("user_id")).agg(F.count(F.lit(1)).alias("weight"))
+def user_weights(users: DataFrame, kept: list[DataFrame] | None = None, measure: bool = False) -> DataFrame:
+    """``user_id, weight``: profile rows each user id yields in the inner join.
+
+    With ``measure`` the table is measured and broadcast when under the
+    threshold (see ``session_profile``); otherwise Catalyst/AQE choose.
+    """
+    w = users.groupBy(F.col("userid").alias("user_id")).agg(F.count(F.lit(1)).alias("weight"))
+    return broadcast_if_small(w, kept)[0] if measure else w
 
 
 def session_weights(profile: DataFrame) -> DataFrame:

@@ -68,28 +68,31 @@ def build_task(
     that matches no session is refused (ValueError) before any other work;
     the stat table is then that computed row.
     """
+    kept: list[DataFrame] = []
     dated = predicates.date_range(visits, params.start_date, params.end_date)
-    profile = _keep(sessions.session_profile(sessions.session_rollup(dated, params), users), checkpoint)
+    rolled = sessions.session_rollup(dated, params)
+    profile = _keep(sessions.session_profile(rolled, users, kept, measure_users=True), checkpoint)
     filtered = predicates.filter_sessions(profile, params)
     stat = stats.session_aggr_stat(filtered, taskid)
     if require_sessions:
         row = stat.first()  # the one-row result of a global aggregate
         if row is None or not row["session_count"]:
-            profile.unpersist()
+            for df in [profile, *kept]:
+                df.unpersist()
             raise ValueError(f"task {taskid}: no session matches the task parameters")
         stat = stat.sparkSession.createDataFrame([row], stat.schema)
 
     if params.top_scope == "filtered":
         weights = topn.session_weights(filtered)
     else:
-        weights = topn.user_weights(users)
+        weights = topn.user_weights(users, kept, measure=True)
     kinds = _keep(topn.session_category_kinds(topn.category_actions(dated, params.split_ids)), checkpoint)
     top_cat = topn.top_categories(topn.category_counts_from(kinds, weights), params.top_n, taskid)
     top_sess = _keep(
         topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid),
         checkpoint,
     )
-    kept = [profile, kinds, top_sess]
+    kept += [profile, kinds, top_sess]
     detail_src = dated if params.restrict_dates else visits
     detail = topn.session_detail(detail_src, top_sess, taskid, kept)
 
