@@ -8,7 +8,8 @@ results equal counting over the session profile without building it.
 
 Plan shape (scope "all"):
   actions -> partial/final agg on (user, category)   [shuffle of partial counts]
-          -> join user weights (AQE: broadcast if measured small)
+          -> join user weights (broadcast when small: Catalyst's estimate,
+             or measured first in run_task; else sort-merge + AQE skew split)
           -> agg on category                         [tiny]
           -> TakeOrderedAndProject(top 10)
 Top sessions:
@@ -17,6 +18,8 @@ Top sessions:
           -> row_number per category with WindowGroupLimit (partial top-10
              *before* the exchange, so a hot category ships at most 10 rows
              per map task).
+Detail export: the distinct top-session ids (<= 10 x categories rows) are
+measured and broadcast, so the visit log is probed map-side, not shuffled.
 """
 
 from __future__ import annotations
