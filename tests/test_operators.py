@@ -211,3 +211,20 @@ def test_random_extract_lists(visits, make_users):
     assert out["s1"].search_keywords == "kw1" and out["s1"].click_category_ids == "5"
     assert out["s2"].click_category_ids == "5,7" and out["s2"].search_keywords == ""
     assert out["s1"].start_time == "2024-01-01 10:00:00"
+
+
+def test_missing_action_times(make_visits, make_users):
+    v = make_visits([
+        V("a", 1, "2024-01-01 10:00:00"),
+        V("a", 1, "2024-01-01 10:00:05"),
+        ("2024-01-01", 2, "b", 0, None, "kw1", None, None, None, None, None, None),  # time unknown
+        ("2024-01-01", 2, "b", 0, None, None, 3, 1, None, None, None, None),
+    ])
+    prof = sessions.session_profile(sessions.session_rollup(v), make_users(USERS))
+    got = {r.session_id: r for r in prof.collect()}
+    assert got["b"].start_time is None and got["b"].visit_length is None and got["b"].step_length == 2
+    row = stats.bucket_counts(prof).first()
+    assert row.session_count == 2 and row.visit_length_4s_6s == 1 and row.step_length_1_3 == 2
+    assert sum(row[c] for c in stats.VISIT_COUNT_COLUMNS) == 1  # "b" is in no visit bucket
+    drawn = {r.sessionid for r in extract.random_extract(prof, v, 10, "0").collect()}
+    assert drawn == {"a"}  # no hour, no draw
