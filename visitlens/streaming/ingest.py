@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.schema import VISIT_ACTION_TEXT
+from visitlens.session import checkpoint_dir
 from visitlens.sources.visits import FIELD_SEP, NULL_TEXT, conform
 
 
@@ -33,17 +34,26 @@ def visit_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 def start_ingest(
     stream: DataFrame,
     table_path: str,
-    checkpoint_location: str,
+    checkpoint_location: str | None = None,
     available_now: bool = False,
     processing_time: str = "1 minute",
+    name: str = "visit_log_ingest",
 ) -> StreamingQuery:
-    """Append the stream to a ``datestr``-partitioned parquet table."""
+    """Append the stream to a ``datestr``-partitioned parquet table.
+
+    Progress is kept in ``checkpoint_location``; by default a sub-folder of the
+    session's ``spark.checkpoint.dir`` (the cluster's shared folder), never a
+    machine-local one; without either the call fails.
+    """
+    if checkpoint_location is None:
+        checkpoint_location = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
     writer = (
         stream.writeStream.format("parquet")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint_location)
         .partitionBy("datestr")
         .outputMode("append")
+        .queryName(name)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
