@@ -226,3 +226,21 @@ def test_text_and_parquet_paths_agree(spark, tmp_path):
         b = read_result(spark, out, table, 2).drop("taskid")
         assert a.count() == b.count() > 0, table
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
+
+
+def test_scale_conf_only_fills_unset_keys(spark):
+    from visitlens.session import SCALE_CONF, apply_job_conf
+
+    keys = list(SCALE_CONF) + ["spark.sql.shuffle.partitions"]
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        apply_job_conf(spark, scale=True)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("512m", str(512 << 20) + "b")
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("256m", str(256 << 20) + "b")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == saved["spark.sql.shuffle.partitions"]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -26,12 +26,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--users", required=True, help="user_info table (parquet)")
     ap.add_argument("--out", required=True, help="base folder of the result tables")
     ap.add_argument("--checkpoint", action="store_true", help="cut lineage into spark.checkpoint.dir")
+    ap.add_argument("--scale", action="store_true", help="apply the large-input sizing where the cluster sets none")
     args = ap.parse_args(argv)
     taskid = task_id_from_args([args.taskid])
     if taskid is None:
         raise SystemExit("taskid must be an integer")
     spark = SparkSession.builder.appName("visitlens-task").getOrCreate()
-    apply_job_conf(spark)
+    apply_job_conf(spark, scale=args.scale)
     params = load_params(read_tasks(spark, args.tasks), taskid)
     visits = read_visit_text(spark, args.visits) if args.text else read_visit_table(spark, args.visits)
     users = read_user_info(spark, args.users)
