@@ -15,8 +15,9 @@ back is the single stat row, to refuse a task that matches no session.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +28,47 @@ from visitlens.session import checkpoint_dir
 from visitlens.sinks.writers import write_result
 
 
-@dataclass
 class TaskResults:
-    session_aggr_stat: DataFrame
-    top10_category: DataFrame
-    top10_session: DataFrame
-    session_detail: DataFrame
-    session_random_extract: DataFrame | None
+    """The five result tables of a task.
 
-    def tables(self) -> dict[str, DataFrame]:
+    The detail export and the extraction start with a measuring job (their
+    small join side is materialised and sized first); they are built lazily
+    so that ``write_all`` runs those jobs in the writer threads, side by side
+    with the other outputs.
+    """
+
+    def __init__(
+        self,
+        stat: DataFrame,
+        top_categories: DataFrame,
+        top_sessions: DataFrame,
+        detail: Callable[[], DataFrame],
+        sample: Callable[[], DataFrame] | None,
+    ) -> None:
+        self.session_aggr_stat = stat
+        self.top10_category = top_categories
+        self.top10_session = top_sessions
+        self._detail = detail
+        self._sample = sample
+
+    @cached_property
+    def session_detail(self) -> DataFrame:
+        return self._detail()
+
+    @cached_property
+    def session_random_extract(self) -> DataFrame | None:
+        return self._sample() if self._sample is not None else None
+
+    def tables(self) -> dict[str, Callable[[], DataFrame]]:
+        """Table name -> builder of its DataFrame."""
         out = {
-            "session_aggr_stat": self.session_aggr_stat,
-            "top10_category": self.top10_category,
-            "top10_session": self.top10_session,
-            "session_detail": self.session_detail,
+            "session_aggr_stat": lambda: self.session_aggr_stat,
+            "top10_category": lambda: self.top10_category,
+            "top10_session": lambda: self.top10_session,
+            "session_detail": lambda: self.session_detail,
         }
-        if self.session_random_extract is not None:
-            out["session_random_extract"] = self.session_random_extract
+        if self._sample is not None:
+            out["session_random_extract"] = lambda: self.session_random_extract
         return out
 
 
@@ -94,24 +119,30 @@ def build_task(
     )
     kept += [profile, kinds, top_sess]
     detail_src = dated if params.restrict_dates else visits
-    detail = topn.session_detail(detail_src, top_sess, taskid, kept)
 
-    sample = None
-    if params.extract_per_day > 0:
-        sample = extract.random_extract(profile, dated, params.extract_per_day, params.extract_seed, taskid, kept)
-    return TaskResults(stat, top_cat, top_sess, detail, sample), kept
+    def detail() -> DataFrame:
+        return topn.session_detail(detail_src, top_sess, taskid, kept)
+
+    def sample() -> DataFrame:
+        return extract.random_extract(profile, dated, params.extract_per_day, params.extract_seed, taskid, kept)
 
+    return TaskResults(stat, top_cat, top_sess, detail, sample if params.extract_per_day > 0 else None), kept
 
-def write_all(tables: dict[str, DataFrame], write, parallel: int | None = None) -> dict[str, str]:
+
+def write_all(tables: dict[str, DataFrame | Callable[[], DataFrame]], write, parallel: int | None = None) -> dict:
     """Run the independent output jobs concurrently (one driver thread each).
 
     The small outputs (a stat row, top-10 tables) then overlap with the large
     detail export instead of queueing behind it; Spark schedules the jobs'
-    tasks side by side.
+    tasks side by side.  A table given as a builder is built in its thread.
     """
+
+    def one(name: str, item):
+        return write(name, item() if callable(item) else item)
+
     workers = parallel or len(tables)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
+        futures = {name: pool.submit(one, name, item) for name, item in tables.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
