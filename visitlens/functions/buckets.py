@@ -18,6 +18,13 @@ def in_bucket_sql(x: str, low: int, high: int | None) -> str:
     return f"{x} >= {low}" if high is None else f"{x} BETWEEN {low} AND {high}"
 
 
+def weighted_count_sql(cond: str, weight: str | None = None) -> str:
+    """SQL text: rows where ``cond`` holds, each counted ``weight`` times (bigint)."""
+    if weight is None:
+        return f"count_if({cond})"
+    return f"CAST(coalesce(sum(CASE WHEN {cond} THEN {weight} END), 0) AS BIGINT)"
+
+
 def weighted_count(cond: Column, weight: Column | None = None) -> Column:
     """Rows where ``cond`` holds, each counted ``weight`` times (bigint, 0 if none)."""
     if weight is None:
@@ -25,16 +32,20 @@ def weighted_count(cond: Column, weight: Column | None = None) -> Column:
     return F.coalesce(F.sum(F.when(cond, weight)), F.lit(0)).cast("bigint")
 
 
-def visit_bucket_counts(visit_length: Column, prefix: str = "visit_length_", weight: Column | None = None) -> list[Column]:
-    """One conditional count per visit-length bucket (NULL/0 s fall in none)."""
+def _bucket_counts(column: str, buckets, prefix: str, weight: str | None) -> list[Column]:
+    # one SQL text per aggregate: parsed in the JVM, not assembled call by call
     return [
-        weighted_count(in_bucket(visit_length, lo, hi), weight).alias(f"{prefix}{name}")
-        for name, lo, hi in VISIT_BUCKETS
+        F.expr(weighted_count_sql(in_bucket_sql(f"`{column}`", lo, hi), weight)).alias(f"{prefix}{name}")
+        for name, lo, hi in buckets
     ]
 
 
-def step_bucket_counts(step_length: Column, prefix: str = "step_length_", weight: Column | None = None) -> list[Column]:
-    return [
-        weighted_count(in_bucket(step_length, lo, hi), weight).alias(f"{prefix}{name}")
-        for name, lo, hi in STEP_BUCKETS
-    ]
+def visit_bucket_counts(column: str = "visit_length", prefix: str = "visit_length_",
+                        weight: str | None = None) -> list[Column]:
+    """One conditional count per visit-length bucket (NULL/0 s fall in none)."""
+    return _bucket_counts(column, VISIT_BUCKETS, prefix, weight)
+
+
+def step_bucket_counts(column: str = "step_length", prefix: str = "step_length_",
+                       weight: str | None = None) -> list[Column]:
+    return _bucket_counts(column, STEP_BUCKETS, prefix, weight)

@@ -10,10 +10,10 @@ weights.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.functions.buckets import step_bucket_counts, visit_bucket_counts, weighted_count
+from visitlens.functions.buckets import step_bucket_counts, visit_bucket_counts, weighted_count_sql
 from visitlens.functions.rounding import half_up_ratio_sql
 from visitlens.schema import STEP_BUCKETS, VISIT_BUCKETS
 
@@ -21,17 +21,17 @@ VISIT_COUNT_COLUMNS = [f"visit_length_{n}" for n, _, _ in VISIT_BUCKETS]
 STEP_COUNT_COLUMNS = [f"step_length_{n}" for n, _, _ in STEP_BUCKETS]
 
 
-def _weight(profile: DataFrame) -> Column | None:
-    return F.col("weight") if "weight" in profile.columns else None
+def _weight(profile: DataFrame) -> str | None:
+    return "weight" if "weight" in profile.columns else None
 
 
 def bucket_counts(profile: DataFrame) -> DataFrame:
     """One row: ``session_count`` and a count per visit/step bucket (bigint)."""
     w = _weight(profile)
     return profile.agg(
-        weighted_count(F.lit(True), w).alias("session_count"),
-        *visit_bucket_counts(F.col("visit_length"), weight=w),
-        *step_bucket_counts(F.col("step_length"), weight=w),
+        F.expr(weighted_count_sql("TRUE", w)).alias("session_count"),
+        *visit_bucket_counts("visit_length", weight=w),
+        *step_bucket_counts("step_length", weight=w),
     )
 
 
@@ -54,7 +54,7 @@ def session_aggr_stat(profile: DataFrame, taskid: int | None = None) -> DataFram
 def _histogram(profile: DataFrame, column: str, buckets, prefix: str) -> DataFrame:
     w = _weight(profile)
     maker = visit_bucket_counts if prefix.startswith("visit") else step_bucket_counts
-    counts = profile.agg(*maker(F.col(column), prefix, w))
+    counts = profile.agg(*maker(column, prefix, w))
     pairs = ", ".join(f"{i}, '{name}', `{prefix}{name}`" for i, (name, _, _) in enumerate(buckets, 1))
     return counts.selectExpr(f"stack({len(buckets)}, {pairs}) AS (bucket_no, bucket, session_count)").select(
         F.col("bucket_no").cast("int"), "bucket", F.col("session_count").cast("bigint")
