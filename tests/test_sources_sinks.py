@@ -244,3 +244,17 @@ def test_scale_conf_only_fills_unset_keys(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sql_views_match_dataframe_rollup(spark):
+    from visitlens.operators.sessions import session_rollup
+
+    fixtures.register_views(spark, SF_SMALL)
+    sql = spark.sql(
+        "SELECT session_id, user_id, count(session_id) AS step_length FROM user_visit_action "
+        "WHERE datestr BETWEEN '2024-01-05' AND '2024-01-25' GROUP BY session_id, user_id"
+    )
+    dated = fixtures.visit_actions(spark, SF_SMALL).where("datestr BETWEEN '2024-01-05' AND '2024-01-25'")
+    df = session_rollup(dated).select("session_id", "user_id", "step_length")
+    assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0
+    assert spark.sql("SELECT count(*) AS n FROM user_info").first().n == fixtures.user_info(spark, SF_SMALL).count()

@@ -116,3 +116,14 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("city"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
     )
+
+
+def register_views(spark: SparkSession, sf_dir: str, grain: str = "day") -> list[str]:
+    """Expose the fixture views to Spark SQL as ``user_visit_action`` and ``user_info``.
+
+    Lets SQL users query the testdata under the visit-log schema, e.g.
+    ``spark.sql("select session_id, count(*) from user_visit_action group by 1")``.
+    """
+    visit_actions(spark, sf_dir, grain=grain).createOrReplaceTempView("user_visit_action")
+    user_info(spark, sf_dir).createOrReplaceTempView("user_info")
+    return ["user_visit_action", "user_info"]
