@@ -228,3 +228,11 @@ def test_missing_action_times(make_visits, make_users):
     assert sum(row[c] for c in stats.VISIT_COUNT_COLUMNS) == 1  # "b" is in no visit bucket
     drawn = {r.sessionid for r in extract.random_extract(prof, v, 10, "0").collect()}
     assert drawn == {"a"}  # no hour, no draw
+
+
+def test_json_array_list_parameter(visits, make_users):
+    users = make_users(USERS)
+    p = TaskParams.from_json('{"cities": ["NATION_10", "NATION_2"]}')
+    assert p.cities == '["NATION_10","NATION_2"]'
+    assert _filtered_ids(visits, users, p) == ["s2", "s3", "s4"]
+    assert _filtered_ids(visits, users, TaskParams.from_json('{"categoryIds": [7]}')) == ["s2", "s4"]

@@ -40,9 +40,21 @@ def is_empty(value: str | None) -> bool:
 
 
 def tokens(value: str | None) -> list[str]:
-    """Comma tokens of a list parameter, trimmed, empties dropped."""
+    """Items of a list parameter: comma tokens, trimmed, empties dropped.
+
+    A JSON array (how an array-valued task parameter arrives as text) gives
+    its elements.
+    """
     if is_empty(value):
         return []
+    text = value.strip()
+    if text.startswith("["):
+        try:
+            items = json.loads(text)
+        except ValueError:
+            items = None
+        if isinstance(items, list):
+            return [str(i).strip() for i in items if i is not None and str(i).strip()]
     return [t.strip() for t in value.split(",") if t.strip()]
 
 
