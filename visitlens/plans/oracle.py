@@ -86,9 +86,9 @@ def _filtered(where: str) -> str:
 
 def _counts_cte(where: str = "TRUE", name: str = "cnt") -> str:
     cols = ["count(*) AS session_count"]
-    cols += [f"CAST(count_if({in_bucket_sql('visit_length', lo, hi)}) AS BIGINT) AS visit_length_{n}"
+    cols += [f"CAST(coalesce(count_if({in_bucket_sql('visit_length', lo, hi)}), 0) AS BIGINT) AS visit_length_{n}"
              for n, lo, hi in VISIT_BUCKETS]
-    cols += [f"CAST(count_if({in_bucket_sql('step_length', lo, hi)}) AS BIGINT) AS step_length_{n}"
+    cols += [f"CAST(coalesce(count_if({in_bucket_sql('step_length', lo, hi)}), 0) AS BIGINT) AS step_length_{n}"
              for n, lo, hi in STEP_BUCKETS]
     return f"{name} AS (SELECT {', '.join(cols)} FROM prof p WHERE {where})"
 
@@ -105,7 +105,7 @@ def _stat(where: str, **base) -> str:
 def _histogram(column: str, buckets, **base) -> str:
     parts = [
         f"SELECT CAST({i} AS INTEGER) AS bucket_no, '{n}' AS bucket, "
-        f"CAST(count_if({in_bucket_sql(column, lo, hi)}) AS BIGINT) AS session_count FROM prof"
+        f"CAST(coalesce(count_if({in_bucket_sql(column, lo, hi)}), 0) AS BIGINT) AS session_count FROM prof"
         for i, (n, lo, hi) in enumerate(buckets, 1)
     ]
     return _with(*_base(**base)) + "\nUNION ALL\n".join(parts)
