@@ -91,3 +91,32 @@ def test_random_params_match_sql(spark, duck, seed):
     names = ["session_count"] + [f"visit_length_{n}" for n, _, _ in VISIT_BUCKETS]
     names += [f"step_length_{n}" for n, _, _ in STEP_BUCKETS]
     assert [got[n] for n in names] == list(expect), (p, sql)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_task_top_n_random_dates_match_sql(spark, duck, seed):
+    from visitlens.plans.job import build_task
+    from visitlens.sources import fixtures
+
+    rnd = random.Random(100 + seed)
+    a, b = sorted(rnd.sample(range(1, 31), 2))
+    start, end = f"2024-01-{a:02d}", f"2024-01-{b:02d}"
+    params = TaskParams(start_date=start, end_date=end, extract_per_day=0)
+    res, kept = build_task(fixtures.visit_actions(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), params, 1)
+    try:
+        got_cat = sorted(tuple(r) for r in res.top10_category.collect())
+        got_sess = sorted(tuple(r)[:4] for r in res.top10_session.collect())
+    finally:
+        for df in kept:
+            df.unpersist()
+    uva = O._uva(start=start, end=end)
+    cat_sql = O._with(uva, O.UI, O.ACTS) + f"""
+        SELECT 1 AS taskid, category_id, click_count, order_count, pay_count FROM (
+          SELECT a.category_id, count_if(a.kind = 'click') AS click_count, count_if(a.kind = 'order') AS order_count,
+                 count_if(a.kind = 'pay') AS pay_count
+          FROM {O.ACTS_JOINED} GROUP BY a.category_id)
+        WHERE click_count > 0 AND order_count > 0 AND pay_count > 0
+        ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10"""
+    sess_sql = O._with(uva, O.UI, O.ACTS, O.SCC, O.TOP_SESS) + "SELECT taskid, categoryid, sessionid, click_count FROM top"
+    assert got_cat == sorted(duck.execute(cat_sql).fetchall())
+    assert got_sess == sorted(duck.execute(sess_sql).fetchall())

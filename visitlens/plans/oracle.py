@@ -17,12 +17,12 @@ START, END = Q.RANGE
 TIME_FMT = "%Y-%m-%d %H:%M:%S"
 
 
-def _uva(grain: str = "day", divisor: int = 1, dated: bool = True) -> str:
+def _uva(grain: str = "day", divisor: int = 1, dated: bool = True, start: str = START, end: str = END) -> str:
     sess_fmt = {"day": "%Y-%m-%d", "month": "%Y-%m"}[grain]
     t = "ts" if divisor == 1 else (
         f"(date_trunc('day', ts) + to_seconds((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) // {divisor}))"
     )
-    where = f"WHERE strftime(ts, '%Y-%m-%d') BETWEEN '{START}' AND '{END}'" if dated else ""
+    where = f"WHERE strftime(ts, '%Y-%m-%d') BETWEEN '{start}' AND '{end}'" if dated else ""
     return f"""uva AS (
   SELECT strftime(ts, '%Y-%m-%d') AS datestr, user_id,
          CAST(user_id AS VARCHAR) || '_' || strftime(ts, '{sess_fmt}') AS session_id,
