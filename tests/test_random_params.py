@@ -120,3 +120,25 @@ def test_task_top_n_random_dates_match_sql(spark, duck, seed):
     sess_sql = O._with(uva, O.UI, O.ACTS, O.SCC, O.TOP_SESS) + "SELECT taskid, categoryid, sessionid, click_count FROM top"
     assert got_cat == sorted(duck.execute(cat_sql).fetchall())
     assert got_sess == sorted(duck.execute(sess_sql).fetchall())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_task_extract_random_draws_match_sql(spark, duck, seed):
+    from visitlens.plans.job import build_task
+    from visitlens.sources import fixtures
+
+    rnd = random.Random(200 + seed)
+    a, b = sorted(rnd.sample(range(1, 31), 2))
+    start, end = f"2024-01-{a:02d}", f"2024-01-{b:02d}"
+    per_day, draw_seed = rnd.randint(1, 40), f"s{rnd.randint(0, 999)}"
+    params = TaskParams(start_date=start, end_date=end, extract_per_day=per_day, extract_seed=draw_seed)
+    res, kept = build_task(fixtures.visit_actions(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), params, 1)
+    try:
+        got = sorted(tuple(r) for r in res.session_random_extract.collect())
+    finally:
+        for df in kept:
+            df.unpersist()
+    uva = O._uva(start=start, end=end)
+    sql = O._with(uva, O.UI, O.SESS, O.PROF, O._hours(per_day), O._drawn(draw_seed)) + O.EXTRACT_SELECT
+    expect = sorted(duck.execute(sql).fetchall())
+    assert got == expect and got

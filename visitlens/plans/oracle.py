@@ -161,23 +161,38 @@ DETAIL_COLS = f"""CAST({Q.TASK_ID} AS BIGINT) AS taskid, v.user_id AS userid, v.
   CAST(v.click_category_id AS VARCHAR) AS click_category_id, CAST(v.click_product_id AS VARCHAR) AS click_product_id,
   v.order_category_ids, v.order_product_ids, v.pay_category_ids, v.pay_product_ids"""
 
-HOURS = f"""hours AS (
+def _hours(per_day: int) -> str:
+    return f"""hours AS (
   SELECT strftime(start_time, '%Y-%m-%d') AS day, strftime(start_time, '%Y-%m-%d_%H') AS date_hour, count(*) AS hour_count
   FROM prof WHERE start_time IS NOT NULL GROUP BY 1, 2),
 quotas AS (
   SELECT day, date_hour, hour_count, CAST(sum(hour_count) OVER (PARTITION BY day) AS BIGINT) AS day_count,
-         CAST(hour_count * {Q.EXTRACT_PER_DAY} // sum(hour_count) OVER (PARTITION BY day) AS BIGINT) AS quota
+         CAST(hour_count * {per_day} // sum(hour_count) OVER (PARTITION BY day) AS BIGINT) AS quota
   FROM hours)"""
 
-DRAWN = f"""drawn AS (
+
+HOURS = _hours(Q.EXTRACT_PER_DAY)
+
+def _drawn(seed: str) -> str:
+    return f"""drawn AS (
   SELECT r.session_id, r.user_id, r.start_time, r.pick FROM (
     SELECT session_id, user_id, start_time, strftime(start_time, '%Y-%m-%d_%H') AS date_hour,
            row_number() OVER (PARTITION BY strftime(start_time, '%Y-%m-%d_%H')
-                              ORDER BY md5(session_id || '|{Q.EXTRACT_SEED}'), session_id, user_id) AS pick
+                              ORDER BY md5(session_id || '|{seed}'), session_id, user_id) AS pick
     FROM prof WHERE start_time IS NOT NULL) r
   JOIN quotas q ON r.date_hour = q.date_hour WHERE r.pick <= q.quota)"""
 
 
+DRAWN = _drawn(Q.EXTRACT_SEED)
+
+EXTRACT_SELECT = f"""SELECT CAST({Q.TASK_ID} AS BIGINT) AS taskid, d.session_id AS sessionid,
+       strftime(d.start_time, '{TIME_FMT}') AS start_time,
+       coalesce(array_to_string(list_sort(list_distinct(list(v.search_keyword))), ','), '') AS search_keywords,
+       coalesce(array_to_string(list_sort(list_distinct(list(v.click_category_id))), ','), '') AS click_category_ids
+FROM drawn d JOIN uva v ON v.session_id = d.session_id AND v.user_id = d.user_id
+GROUP BY d.session_id, d.user_id, d.start_time, d.pick"""
+
+
 def _kv_field(record: str, name: str) -> str:
     pat = f"'^{name}=([^=]+)=*$'"
     return (f"regexp_extract(list_filter(string_split({record}, '|'), lambda x: regexp_matches(x, {pat}))[1], "
@@ -274,11 +289,5 @@ FROM uva GROUP BY session_id, user_id""",
     + "SELECT strftime(start_time, '%Y-%m-%d') AS day, count(*) AS session_count FROM prof "
       "WHERE start_time IS NOT NULL GROUP BY 1",
     "extract_quotas": _with(*_base(dated=False), HOURS) + "SELECT day, date_hour, hour_count, day_count, quota FROM quotas",
-    "random_extract": _with(*_base(dated=False), HOURS, DRAWN)
-    + f"""SELECT CAST({Q.TASK_ID} AS BIGINT) AS taskid, d.session_id AS sessionid,
-       strftime(d.start_time, '{TIME_FMT}') AS start_time,
-       coalesce(array_to_string(list_sort(list_distinct(list(v.search_keyword))), ','), '') AS search_keywords,
-       coalesce(array_to_string(list_sort(list_distinct(list(v.click_category_id))), ','), '') AS click_category_ids
-FROM drawn d JOIN uva v ON v.session_id = d.session_id AND v.user_id = d.user_id
-GROUP BY d.session_id, d.user_id, d.start_time, d.pick""",
+    "random_extract": _with(*_base(dated=False), HOURS, DRAWN) + EXTRACT_SELECT,
 }
