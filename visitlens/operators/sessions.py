@@ -28,7 +28,8 @@ def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataF
     visit_length: whole seconds between the first and last action;
     step_length: number of actions with a session id; start_time: first
     action.  With ``params``, adds ``keyword_hit`` / ``category_hit`` flags
-    for the keyword and category filters.
+    for the keyword and category filters; the task's date range is not
+    applied here (``predicates.date_range`` comes first, as in ``run_task``).
     """
     extra = session_hit_aggregates(params)
     agg = visits.groupBy("session_id", "user_id").agg(
