@@ -72,3 +72,24 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0].session_count > 0
+
+
+def test_queries_match_sql_without_broadcasts(spark, duck):
+    """With broadcasting off every join is a sort-merge join (the plan shape of
+    large inputs); results must not change."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bad = []
+        for name, fn in QUERIES.items():
+            df = fn(spark, SF_SMALL)
+            rows = [tuple(r) for r in df.collect()]
+            res = duck.execute(SQL[name])
+            cols = [c[0] for c in res.description]
+            if _digest(df.columns, rows) != _digest(cols, res.fetchall()):
+                bad.append(name)
+        plan = QUERIES["session_detail"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan.split("InMemoryRelation")[0]
+        assert not bad
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
