@@ -174,3 +174,17 @@ def test_job_path_counts_match_brute_force(data):
     clicks = joined[joined.kind == "click"].groupby(["session_id", "category_id"]).size().to_dict()
     got = {(r.session_id, r.category_id): r.click_count for r in topn.session_clicks_from(kinds, w).collect()}
     assert got == clicks
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_rollup_and_kinds_equal_the_separate_operators(data, split):
+    v, u, vp, up = data
+    params = TaskParams(keywords="kw1,kw3", category_ids="2,5")
+    combined = sessions.rollup_and_kinds(v, params, split)
+    a = sessions.rollup_part(combined)
+    b = sessions.session_rollup(v, params)
+    assert sorted(a.columns) == sorted(b.columns)
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.select(*a.columns).exceptAll(a).count() == 0
+    k1 = sessions.kinds_part(combined)
+    k2 = topn.session_category_kinds(topn.category_actions(v, split))
+    assert k1.exceptAll(k2.select(*k1.columns)).count() == 0 and k2.select(*k1.columns).exceptAll(k1).count() == 0

@@ -106,3 +106,60 @@ def session_value_lists(visits: DataFrame) -> DataFrame:
         _value_list(F.col("order_category_ids")).alias("order_category_ids"),
         _value_list(F.col("pay_category_ids")).alias("pay_category_ids"),
     )
+
+
+def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_ids: bool = False) -> DataFrame:
+    """The session rollup and the session x category counts from one scan and
+    one (partially aggregated) shuffle.
+
+    Every action yields a base row (``category_id`` NULL) plus one row per
+    category token; one ``groupBy(session_id, user_id, category_id)`` then
+    gives the rollup in the NULL-category groups (they hold exactly the
+    session's actions) and ``click_n / order_n / pay_n`` in the others.  Split
+    the result with ``rollup_part`` / ``kinds_part``; ``run_task`` persists it
+    so the visit log is read once for both.
+    """
+    from visitlens.operators import topn
+
+    base = F.array(F.struct(F.lit("base").alias("kind"), F.lit(None).cast("string").alias("token")))
+    items = F.concat(
+        base,
+        topn._token_structs("click", F.col("click_category_id").cast("string"), False),
+        topn._token_structs("order", F.col("order_category_ids"), split_ids),
+        topn._token_structs("pay", F.col("pay_category_ids"), split_ids),
+    )
+    kept = F.filter(
+        items, lambda s: (s["kind"] == "base") | (s["token"].isNotNull() & ~s["token"].isin(*topn.MISSING_TOKENS))
+    )
+    long = visits.select(
+        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", F.inline(kept)
+    ).withColumn("category_id", F.when(F.col("kind") != "base", F.col("token").try_cast("bigint")))
+    long = long.where((F.col("kind") == "base") | F.col("category_id").isNotNull())
+    return long.groupBy("session_id", "user_id", "category_id").agg(
+        F.min("action_time").alias("start_time"),
+        F.max("action_time").alias("end_time"),
+        F.count_if((F.col("kind") == "base") & F.col("session_id").isNotNull()).alias("step_length"),
+        *session_hit_aggregates(params),
+        *[F.count_if(F.col("kind") == k).alias(f"{k}_n") for k in topn.KINDS],
+    )
+
+
+def rollup_part(combined: DataFrame) -> DataFrame:
+    """The ``session_rollup`` rows of a ``rollup_and_kinds`` result."""
+    flags = [c for c in combined.columns if c.endswith("_hit")]
+    return combined.where(F.col("category_id").isNull()).select(
+        "session_id",
+        "user_id",
+        "start_time",
+        "end_time",
+        seconds_between("end_time", "start_time").alias("visit_length"),
+        "step_length",
+        *flags,
+    )
+
+
+def kinds_part(combined: DataFrame) -> DataFrame:
+    """The ``session_category_kinds`` rows of a ``rollup_and_kinds`` result."""
+    return combined.where(F.col("category_id").isNotNull()).select(
+        "session_id", "user_id", "category_id", "click_n", "order_n", "pay_n"
+    )

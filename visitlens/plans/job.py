@@ -1,9 +1,10 @@
 """The task job: one task's five result tables from a visit log and users.
 
-    visits --date range--> rollup --join users--> profile (persisted)
+    visits --date range--> one aggregate per (session, user, category|NULL)
+      (persisted) --NULL rows--> rollup --join users--> profile (persisted)
       profile --filters--> one global aggregate -> session_aggr_stat
-      visits(date range) -> categorised actions -> session x category counts
-        (persisted) -> top10_category, top10_session -> session_detail
+      --other rows--> session x category counts -> top10_category,
+        top10_session (persisted) -> session_detail
       profile -> hour quotas + draw -> session_random_extract
 
 Shared intermediates are persisted (MEMORY_AND_DISK: a lost executor's
@@ -95,7 +96,11 @@ def build_task(
     """
     kept: list[DataFrame] = []
     dated = predicates.date_range(visits, params.start_date, params.end_date)
-    rolled = sessions.session_rollup(dated, params)
+    # one scan + one shuffle of the visit log for both the rollup and the
+    # session x category counts (persisted, split by category_id NULL / not)
+    combined = _keep(sessions.rollup_and_kinds(dated, params, params.split_ids), checkpoint)
+    kept.append(combined)
+    rolled = sessions.rollup_part(combined)
     profile = _keep(sessions.session_profile(rolled, users, kept, measure_users=True), checkpoint)
     filtered = predicates.filter_sessions(profile, params)
     stat = stats.session_aggr_stat(filtered, taskid)
@@ -111,13 +116,13 @@ def build_task(
         weights = topn.session_weights(filtered)
     else:
         weights = topn.user_weights(users, kept, measure=True)
-    kinds = _keep(topn.session_category_kinds(topn.category_actions(dated, params.split_ids)), checkpoint)
+    kinds = sessions.kinds_part(combined)
     top_cat = topn.top_categories(topn.category_counts_from(kinds, weights), params.top_n, taskid)
     top_sess = _keep(
         topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid),
         checkpoint,
     )
-    kept += [profile, kinds, top_sess]
+    kept += [profile, top_sess]
     detail_src = dated if params.restrict_dates else visits
 
     def detail() -> DataFrame:
