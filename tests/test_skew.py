@@ -188,3 +188,13 @@ def test_rollup_and_kinds_equal_the_separate_operators(data, split):
     k1 = sessions.kinds_part(combined)
     k2 = topn.session_category_kinds(topn.category_actions(v, split))
     assert k1.exceptAll(k2.select(*k1.columns)).count() == 0 and k2.select(*k1.columns).exceptAll(k1).count() == 0
+
+
+def test_extract_from_parts_equals_extract_from_visits(data):
+    v, u, vp, up = data
+    prof = sessions.session_profile(sessions.session_rollup(v), u)
+    combined = sessions.rollup_and_kinds(v)
+    a = extract.random_extract_from_parts(prof, sessions.kinds_part(combined), sessions.keywords_part(combined), 7, "s")
+    b = extract.random_extract(prof, v, 7, "s")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

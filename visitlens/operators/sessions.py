@@ -109,45 +109,51 @@ def session_value_lists(visits: DataFrame) -> DataFrame:
 
 
 def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_ids: bool = False) -> DataFrame:
-    """The session rollup and the session x category counts from one scan and
-    one (partially aggregated) shuffle.
-
-    Every action yields a base row (``category_id`` NULL) plus one row per
-    category token; one ``groupBy(session_id, user_id, category_id)`` then
-    gives the rollup in the NULL-category groups (they hold exactly the
-    session's actions) and ``click_n / order_n / pay_n`` in the others.  Split
-    the result with ``rollup_part`` / ``kinds_part``; ``run_task`` persists it
-    so the visit log is read once for both.
+    """The session rollup, the session x category counts and the session's
+    searched keywords from one scan and one (partially aggregated) shuffle.
+
+    Every action yields a base row plus one row per category token and one
+    per searched keyword; one ``groupBy(session_id, user_id, category_id,
+    keyword)`` then gives the rollup in the groups where both are NULL (they
+    hold exactly the session's actions), ``click_n / order_n / pay_n`` where
+    ``category_id`` is set, and the distinct keywords where ``keyword`` is set.
+    Split the result with ``rollup_part`` / ``kinds_part`` / ``keywords_part``;
+    ``run_task`` persists it so the visit log is read once for all three.
     """
     from visitlens.operators import topn
 
     base = F.array(F.struct(F.lit("base").alias("kind"), F.lit(None).cast("string").alias("token")))
     items = F.concat(
         base,
+        F.array(F.struct(F.lit("search").alias("kind"), F.col("search_keyword").alias("token"))),
         topn._token_structs("click", F.col("click_category_id").cast("string"), False),
         topn._token_structs("order", F.col("order_category_ids"), split_ids),
         topn._token_structs("pay", F.col("pay_category_ids"), split_ids),
     )
-    kept = F.filter(
-        items, lambda s: (s["kind"] == "base") | (s["token"].isNotNull() & ~s["token"].isin(*topn.MISSING_TOKENS))
-    )
+    kind, token = F.col("kind"), F.col("token")
     long = visits.select(
-        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", F.inline(kept)
-    ).withColumn("category_id", F.when(F.col("kind") != "base", F.col("token").try_cast("bigint")))
-    long = long.where((F.col("kind") == "base") | F.col("category_id").isNotNull())
-    return long.groupBy("session_id", "user_id", "category_id").agg(
+        "session_id", "user_id", "action_time", "search_keyword", "click_category_id",
+        F.inline(F.filter(items, lambda s: (s["kind"] == "base") | s["token"].isNotNull())),
+    )
+    is_category = kind.isin(*topn.KINDS)
+    long = long.select(
+        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", "kind",
+        F.when(is_category & ~token.isin(*topn.MISSING_TOKENS), token.try_cast("bigint")).alias("category_id"),
+        F.when(kind == "search", token).alias("keyword"),
+    ).where((kind == "base") | F.col("category_id").isNotNull() | F.col("keyword").isNotNull())
+    return long.groupBy("session_id", "user_id", "category_id", "keyword").agg(
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
-        F.count_if((F.col("kind") == "base") & F.col("session_id").isNotNull()).alias("step_length"),
+        F.count_if((kind == "base") & F.col("session_id").isNotNull()).alias("step_length"),
         *session_hit_aggregates(params),
-        *[F.count_if(F.col("kind") == k).alias(f"{k}_n") for k in topn.KINDS],
+        *[F.count_if(kind == k).alias(f"{k}_n") for k in topn.KINDS],
     )
 
 
 def rollup_part(combined: DataFrame) -> DataFrame:
     """The ``session_rollup`` rows of a ``rollup_and_kinds`` result."""
     flags = [c for c in combined.columns if c.endswith("_hit")]
-    return combined.where(F.col("category_id").isNull()).select(
+    return combined.where(F.col("category_id").isNull() & F.col("keyword").isNull()).select(
         "session_id",
         "user_id",
         "start_time",
@@ -163,3 +169,8 @@ def kinds_part(combined: DataFrame) -> DataFrame:
     return combined.where(F.col("category_id").isNotNull()).select(
         "session_id", "user_id", "category_id", "click_n", "order_n", "pay_n"
     )
+
+
+def keywords_part(combined: DataFrame) -> DataFrame:
+    """``session_id, user_id, keyword``: each session's distinct searched keywords."""
+    return combined.where(F.col("keyword").isNotNull()).select("session_id", "user_id", "keyword")

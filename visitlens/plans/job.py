@@ -1,11 +1,13 @@
 """The task job: one task's five result tables from a visit log and users.
 
-    visits --date range--> one aggregate per (session, user, category|NULL)
-      (persisted) --NULL rows--> rollup --join users--> profile (persisted)
-      profile --filters--> one global aggregate -> session_aggr_stat
-      --other rows--> session x category counts -> top10_category,
-        top10_session (persisted) -> session_detail
-      profile -> hour quotas + draw -> session_random_extract
+    visits --date range--> one aggregate per (session, user, category|NULL,
+      keyword|NULL) (persisted)
+      --NULL/NULL rows--> rollup --join users--> profile (persisted)
+        profile --filters--> one global aggregate -> session_aggr_stat
+      --category rows--> session x category counts -> top10_category,
+        top10_session (persisted) -> session_detail (second visit-log scan)
+      profile -> hour quotas + draw; lists from the category and keyword
+        rows -> session_random_extract
 
 Shared intermediates are persisted (MEMORY_AND_DISK: a lost executor's
 blocks are recomputed from the short lineage).  ``checkpoint=True`` cuts
@@ -129,7 +131,9 @@ def build_task(
         return topn.session_detail(detail_src, top_sess, taskid, kept)
 
     def sample() -> DataFrame:
-        return extract.random_extract(profile, dated, params.extract_per_day, params.extract_seed, taskid, kept)
+        return extract.random_extract_from_parts(
+            profile, kinds, sessions.keywords_part(combined), params.extract_per_day, params.extract_seed, taskid, kept
+        )
 
     return TaskResults(stat, top_cat, top_sess, detail, sample if params.extract_per_day > 0 else None), kept
 
