@@ -17,13 +17,14 @@ START, END = Q.RANGE
 TIME_FMT = "%Y-%m-%d %H:%M:%S"
 
 
-def _uva(grain: str = "day", divisor: int = 1, dated: bool = True, start: str = START, end: str = END) -> str:
+def _uva(grain: str = "day", divisor: int = 1, dated: bool = True, start: str = START, end: str = END,
+         name: str = "uva") -> str:
     sess_fmt = {"day": "%Y-%m-%d", "month": "%Y-%m"}[grain]
     t = "ts" if divisor == 1 else (
         f"(date_trunc('day', ts) + to_seconds((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) // {divisor}))"
     )
     where = f"WHERE strftime(ts, '%Y-%m-%d') BETWEEN '{start}' AND '{end}'" if dated else ""
-    return f"""uva AS (
+    return f"""{name} AS (
   SELECT strftime(ts, '%Y-%m-%d') AS datestr, user_id,
          CAST(user_id AS VARCHAR) || '_' || strftime(ts, '{sess_fmt}') AS session_id,
          event_id % 10 AS page_id, {t} AS action_time,
@@ -135,8 +136,8 @@ def _kind_count(kind: str) -> str:
               f"WHERE a.kind = '{kind}' GROUP BY a.category_id")
 
 
-def _top10_category(source: str, extra_ctes: list[str]) -> str:
-    return (_with(_uva(dated=False), UI, ACTS, *extra_ctes)
+def _top10_category(source: str, extra_ctes: list[str], dated: bool = False) -> str:
+    return (_with(_uva(dated=dated), UI, ACTS, *extra_ctes)
             + f"""SELECT CAST({Q.TASK_ID} AS BIGINT) AS taskid, category_id AS categoryid, click_count, order_count, pay_count
 FROM (SELECT a.category_id,
              CAST(count_if(a.kind = 'click') AS BIGINT) AS click_count,
@@ -290,4 +291,11 @@ FROM uva GROUP BY session_id, user_id""",
       "WHERE start_time IS NOT NULL GROUP BY 1",
     "extract_quotas": _with(*_base(dated=False), HOURS) + "SELECT day, date_hour, hour_count, day_count, quota FROM quotas",
     "random_extract": _with(*_base(dated=False), HOURS, DRAWN) + EXTRACT_SELECT,
+    # the task job: everything over the date range, except the detail export (all dates)
+    "task_session_aggr_stat": _stat(STAT_WHERE),
+    "task_top10_category": _top10_category(ACTS_JOINED, [], dated=True),
+    "task_top10_session": _with(_uva(), UI, ACTS, SCC, TOP_SESS) + "SELECT * FROM top",
+    "task_session_detail": _with(_uva(), UI, ACTS, SCC, TOP_SESS, _uva(dated=False, name="uva_all"))
+    + f"SELECT {DETAIL_COLS} FROM uva_all v WHERE v.session_id IN (SELECT sessionid FROM top)",
+    "task_random_extract": _with(*_base(), HOURS, DRAWN) + EXTRACT_SELECT,
 }

@@ -236,6 +236,22 @@ def random_extract(spark, sf_dir):
     return extract.random_extract(prof, visits, EXTRACT_PER_DAY, EXTRACT_SEED, TASK_ID)
 
 
+# --- the task job's own outputs (run_task's code path: one shared aggregate) ---------
+
+TASK_PARAMS = STAT_PARAMS.with_options(extract_per_day=EXTRACT_PER_DAY, extract_seed=EXTRACT_SEED)
+
+
+def _task_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from visitlens.plans.job import build_task
+
+        visits, users = fixtures.visit_actions(spark, sf_dir), fixtures.user_info(spark, sf_dir)
+        results, _ = build_task(visits, users, TASK_PARAMS, TASK_ID)
+        return getattr(results, name)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_scan": visit_scan,
     "user_scan": user_scan,
@@ -280,4 +296,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions_per_day": sessions_per_day,
     "extract_quotas": extract_quotas,
     "random_extract": random_extract,
+    "task_session_aggr_stat": _task_table("session_aggr_stat"),
+    "task_top10_category": _task_table("top10_category"),
+    "task_top10_session": _task_table("top10_session"),
+    "task_session_detail": _task_table("session_detail"),
+    "task_random_extract": _task_table("session_random_extract"),
 }
