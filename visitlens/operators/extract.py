@@ -159,12 +159,16 @@ def random_extract_from_parts(
             "session_id", "user_id", F.lit(None).cast("string").alias("keyword"), "category_id"
         )
     )
-    matched = values.join(drawn, ["session_id", "user_id"], "inner")
-    lists = matched.groupBy("session_id", "user_id", "pick", "copy").agg(
+    slot = ["session_id", "user_id", "start_time", "pick", "copy"]
+    matched = values.join(drawn, ["session_id", "user_id"], "inner").select(*slot, "keyword", "category_id")
+    # every drawn slot also contributes an empty row, so slots without keywords
+    # or clicks survive the grouping without an outer join
+    empty = drawn.select(*slot, F.lit(None).cast("string").alias("keyword"),
+                         F.lit(None).cast("bigint").alias("category_id"))
+    out = matched.unionByName(empty).groupBy(*slot).agg(
         _joined(F.col("keyword")).alias("search_keywords"),
         _joined(F.col("category_id")).alias("click_category_ids"),
     )
-    out = drawn.join(lists, ["session_id", "user_id", "pick", "copy"], "left")
     cols = [F.lit(int(taskid)).cast("bigint").alias("taskid")] if taskid is not None else []
     return out.select(
         *cols,
