@@ -142,3 +142,18 @@ def test_task_extract_random_draws_match_sql(spark, duck, seed):
     sql = O._with(uva, O.UI, O.SESS, O.PROF, O._hours(per_day), O._drawn(draw_seed)) + O.EXTRACT_SELECT
     expect = sorted(duck.execute(sql).fetchall())
     assert got == expect and got
+
+
+def test_task_filtered_scope_equals_registered_query(spark):
+    from visitlens.plans.job import build_task
+    from visitlens.sources import fixtures
+
+    params = TaskParams(start_age="20", end_age="40", sex="male", top_scope="filtered", extract_per_day=0)
+    res, kept = build_task(fixtures.visit_actions(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), params, 1)
+    try:
+        got = sorted(tuple(r) for r in res.top10_category.collect())
+    finally:
+        for df in kept:
+            df.unpersist()
+    expect = sorted(tuple(r) for r in Q.QUERIES["top10_category_filtered"](spark, SF_SMALL).collect())
+    assert got == expect and got
