@@ -3,7 +3,10 @@
 The rollup is a single hash aggregate on ``(session_id, user_id)`` using only
 algebraic aggregates (min, max, count, bool_or), so it is partially
 aggregated map-side: a hot session collapses to one row per map task before
-the shuffle.  Per-session keyword/category *lists* are never built.
+the shuffle.  A session's actions are never collected into a list; where
+values per session are needed, only their distinct set is kept (bounded by
+the number of distinct values).  ``rollup_and_kinds`` computes the rollup,
+the session x category counts and the sessions' keywords in one aggregate.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
+from visitlens.operators import topn
 from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.predicates import session_hit_aggregates
 from visitlens.params import TaskParams
@@ -120,8 +124,6 @@ def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_
     Split the result with ``rollup_part`` / ``kinds_part`` / ``keywords_part``;
     ``run_task`` persists it so the visit log is read once for all three.
     """
-    from visitlens.operators import topn
-
     base = F.array(F.struct(F.lit("base").alias("kind"), F.lit(None).cast("string").alias("token")))
     items = F.concat(
         base,
