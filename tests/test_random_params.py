@@ -157,3 +157,20 @@ def test_task_filtered_scope_equals_registered_query(spark):
             df.unpersist()
     expect = sorted(tuple(r) for r in Q.QUERIES["top10_category_filtered"](spark, SF_SMALL).collect())
     assert got == expect and got
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_task_stat_random_params_match_sql(spark, duck, seed):
+    from visitlens.plans.job import build_task
+    from visitlens.sources import fixtures
+
+    p = _random_params(random.Random(300 + seed)).with_options(
+        start_date=Q.RANGE[0], end_date=Q.RANGE[1], extract_per_day=0)
+    res, kept = build_task(fixtures.visit_actions(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), p, 1)
+    try:
+        got = tuple(res.session_aggr_stat.first())
+    finally:
+        for df in kept:
+            df.unpersist()
+    expect = duck.execute(O._stat(_sql_where(p))).fetchone()
+    assert got == tuple(expect), p

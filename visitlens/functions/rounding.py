@@ -56,8 +56,9 @@ def half_up_ratio_sql(n: str, d: str, dialect: str = "duckdb") -> str:
     ties = ", ".join(str(m) for m in TIES_DOWN)
     n2 = f"(200 * CAST({n} AS BIGINT))"
     dd = f"CAST({d} AS BIGINT)"
-    k = f"(({n2} + {dd}) {div} (2 * {dd}))"
+    nz = f"NULLIF({dd}, 0)"  # engines may evaluate a CASE branch eagerly: never divide by 0
+    k = f"(({n2} + {dd}) {div} (2 * {nz}))"
     return (
-        f"CASE WHEN {dd} > 0 THEN CAST(CASE WHEN {n2} % {dd} = 0 AND {n2} {div} {dd} IN ({ties}) "
+        f"CASE WHEN {dd} > 0 THEN CAST(CASE WHEN {n2} % {nz} = 0 AND {n2} {div} {nz} IN ({ties}) "
         f"THEN {k} - 1 ELSE {k} END AS DOUBLE) / 100.0 END"
     )
