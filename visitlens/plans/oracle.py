@@ -39,6 +39,25 @@ def _uva(grain: str = "day", divisor: int = 1, dated: bool = True, start: str =
   {where})"""
 
 
+TASKS = """tasks AS (
+  SELECT CAST(replace(day, '-', '') AS BIGINT) AS taskid, 'day ' || day AS task_name, 'session' AS task_type,
+         'new' AS task_status,
+         json_object('startDate', day, 'endDate', day, 'startAge', '20', 'endAge', '40',
+                     'sex', CASE WHEN day(CAST(day AS DATE)) % 2 = 1 THEN 'female' ELSE 'male' END,
+                     'categoryIds', CASE WHEN day(CAST(day AS DATE)) % 2 = 1 THEN json('[5,17]') END) AS task_param
+  FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events))"""
+
+DECODED = """taskid,
+       json_extract_string(task_param, '$.startDate') AS start_date,
+       json_extract_string(task_param, '$.endDate') AS end_date,
+       json_extract_string(task_param, '$.startAge') AS start_age,
+       json_extract_string(task_param, '$.endAge') AS end_age,
+       json_extract_string(task_param, '$.professionals') AS professionals,
+       json_extract_string(task_param, '$.cities') AS cities,
+       json_extract_string(task_param, '$.sex') AS sex,
+       json_extract_string(task_param, '$.keywords') AS keywords,
+       json_extract_string(task_param, '$.categoryIds') AS category_ids"""
+
 UI = """ui AS (
   SELECT c_custkey AS userid, CAST(18 + c_custkey % 43 AS INTEGER) AS age, c_mktsegment AS professional,
          n_name AS city, CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
@@ -236,6 +255,9 @@ SQL: dict[str, str] = {
     + f"""SELECT datestr, session_id, user_id, strftime(action_time, '{TIME_FMT}') AS action_time,
        search_keyword, click_category_id, order_category_ids, pay_category_ids FROM uva""",
     "user_scan": _with(UI) + "SELECT userid, age, professional, city, sex FROM ui",
+    "task_params": _with(TASKS) + f"SELECT {DECODED} FROM tasks",
+    "task_lookup": _with(TASKS) + f"SELECT task_name, task_type, task_status, {DECODED} FROM tasks "
+    f"WHERE taskid = {Q.LOOKUP_TASK_ID}",
     "session_rollup": _with(_uva(), SESS)
     + f"SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length FROM sess",
     "session_profile": _with(*_base()) + PROFILE_SELECT + " GROUP BY ALL",

@@ -37,6 +37,7 @@ EXTRACT_PER_DAY = 50
 EXTRACT_SEED = "0"
 TIME_DIVISOR = 40  # compresses the clock so every visit-length bucket is hit
 KV_PARAM = "startAge=20|endAge=40|cities=NATION_10,NATION_2|sex=male"
+LOOKUP_TASK_ID = 20240115
 
 PROFILE_OUT = ["session_id", "user_id", "start_time", "visit_length", "step_length", "age", "professional", "city", "sex",
                "weight"]
@@ -79,6 +80,22 @@ def user_scan(spark, sf_dir):
     return fixtures.user_info(spark, sf_dir)
 
 
+def task_params(spark, sf_dir):
+    """S6: every task's JSON parameters decoded to one text column per key."""
+    from visitlens.sources.tasks import decode_params
+
+    return decode_params(fixtures.task_table(spark, sf_dir))
+
+
+def task_lookup(spark, sf_dir):
+    """S4: one task looked up by key, with its decoded parameters."""
+    from visitlens.sources.tasks import decode_params, task_by_id
+
+    task = task_by_id(fixtures.task_table(spark, sf_dir), LOOKUP_TASK_ID)
+    decoded = decode_params(task)
+    return task.select("taskid", "task_name", "task_type", "task_status").join(decoded, "taskid")
+
+
 # --- sessions ------------------------------------------------------------------
 
 def session_rollup(spark, sf_dir):
@@ -255,6 +272,8 @@ def _task_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_scan": visit_scan,
     "user_scan": user_scan,
+    "task_params": task_params,
+    "task_lookup": task_lookup,
     "session_rollup": session_rollup,
     "session_profile": session_profile,
     "session_value_lists": session_value_lists,

@@ -127,3 +127,34 @@ def register_views(spark: SparkSession, sf_dir: str, grain: str = "day") -> list
     visit_actions(spark, sf_dir, grain=grain).createOrReplaceTempView("user_visit_action")
     user_info(spark, sf_dir).createOrReplaceTempView("user_info")
     return ["user_visit_action", "user_info"]
+
+
+@_memoised
+def task_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task table derived from ``events``: one task per distinct day of data.
+
+    taskid = the day as ``yyyyMMdd``; ``task_param`` is a JSON object that asks
+    for that day, ages 20-40 and, on odd days, a category list given as a JSON
+    array (which reads back as its JSON text).  No window or driver step: ids
+    come from the day itself.
+    """
+    days = _table(spark, sf_dir, "events").select(format_date("ts").alias("day")).distinct()
+    odd = F.dayofmonth(F.to_date("day")) % 2 == 1
+    param = F.to_json(F.struct(
+        F.col("day").alias("startDate"),
+        F.col("day").alias("endDate"),
+        F.lit("20").alias("startAge"),
+        F.lit("40").alias("endAge"),
+        F.when(odd, F.lit("female")).otherwise(F.lit("male")).alias("sex"),
+        F.when(odd, F.array(F.lit(5), F.lit(17))).alias("categoryIds"),
+    ))
+    return days.select(
+        F.regexp_replace("day", "-", "").cast("bigint").alias("taskid"),
+        F.concat(F.lit("day "), F.col("day")).alias("task_name"),
+        F.lit(None).cast("string").alias("create_time"),
+        F.lit(None).cast("string").alias("start_time"),
+        F.lit(None).cast("string").alias("finish_time"),
+        F.lit("session").alias("task_type"),
+        F.lit("new").alias("task_status"),
+        param.alias("task_param"),
+    )
