@@ -73,9 +73,10 @@ def draw_key(session_id: str, seed: str) -> Column:
 
 
 def extract_sessions(profile: DataFrame, per_day: int, seed: str = "0") -> DataFrame:
-    """The drawn sessions: ``session_id, user_id, start_time, date_hour, copy``.
+    """The drawn sessions: ``session_id, user_id, start_time, date_hour, pick, copy``.
 
-    One row per drawn slot (``copy`` numbers the slots of a weighted row).
+    One row per drawn slot: ``pick`` is the row's rank in its hour, ``copy``
+    numbers the slots of a weighted row.
     """
     s = _with_hour(profile).withColumn("draw", draw_key("session_id", seed))
     order = [c for c in DRAW_ORDER if c in s.columns]
