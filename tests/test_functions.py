@@ -119,3 +119,46 @@ def test_kv_field_random_records(spark):
     bad = [(g.r, g.a, java_field(g.r, "a")) for g in got
            if g.a != java_field(g.r, "a") or g.b != java_field(g.r, "b")]
     assert not bad, bad[:5]
+
+
+def _java_int(text):
+    try:
+        return int(text) if text is not None and text.strip() == text and text.lstrip("+-").isdigit() else None
+    except ValueError:
+        return None
+
+
+def test_kv_predicates_random_records(spark):
+    """between / in / equal against the Java rules (missing parameter -> true,
+    missing field -> false, comma lists split like Java)."""
+    import random
+
+    rnd = random.Random(5)
+
+    def record(names):
+        parts = []
+        for _ in range(rnd.randint(0, 3)):
+            name = rnd.choice(names)
+            value = rnd.choice(["1", "7", "30", "x", "1,7", "7,", "", "30=", "a,b"])
+            parts.append(f"{name}={value}")
+        return "|".join(parts)
+
+    rows = [(record(["age", "city"]), record(["lo", "hi", "c"])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "d string, p string")
+    got = df.select(
+        "d", "p",
+        text.kv_between("d", "age", F.col("p"), "lo", "hi").alias("b"),
+        text.kv_in("d", "city", F.col("p"), "c").alias("i"),
+        text.kv_equal("d", "city", F.col("p"), "c").alias("e"),
+    ).collect()
+    for r in got:
+        lo, hi, want = java_field(r.p, "lo"), java_field(r.p, "hi"), java_field(r.p, "c")
+        age, city = java_field(r.d, "age"), java_field(r.d, "city")
+        if lo is None or hi is None:
+            b = True
+        else:
+            v, a, z = _java_int(age), _java_int(lo), _java_int(hi)
+            b = v is not None and a is not None and z is not None and a <= v <= z
+        i = True if want is None else (city is not None and bool(set(java_split(city, ",")) & set(java_split(want, ","))))
+        e = True if want is None else (city is not None and city == want)
+        assert (r.b, r.i, r.e) == (b, i, e), r
