@@ -258,3 +258,17 @@ def test_sql_views_match_dataframe_rollup(spark):
     df = session_rollup(dated).select("session_id", "user_id", "step_length")
     assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0
     assert spark.sql("SELECT count(*) AS n FROM user_info").first().n == fixtures.user_info(spark, SF_SMALL).count()
+
+
+def test_streaming_default_checkpoint_under_session_folder(spark, tmp_path):
+    from visitlens.session import checkpoint_dir
+
+    base = checkpoint_dir(spark, fallback=str(tmp_path / "ckpt"))  # tests only: set where unset
+    src = str(tmp_path / "incoming")
+    _write_text(src)
+    name = f"ingest_{os.getpid()}_{abs(hash(str(tmp_path))) % 10**6}"
+    q = start_ingest(visit_text_stream(spark, src), str(tmp_path / "table"), available_now=True, name=name)
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 3
+    local = base.replace("file:", "")
+    assert os.path.isdir(os.path.join(local, "streams", name))
