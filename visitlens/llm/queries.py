@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .repetition import repetition_coverage
+from .substring import dedup_substrings
 from .tables import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_coverage(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
 }
 
