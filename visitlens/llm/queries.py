@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash import near_duplicates
 from .repetition import repetition_coverage
 from .substring import dedup_substrings
 from .tables import table
@@ -17,9 +18,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_coverage(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
