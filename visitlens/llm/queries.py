@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .minhash import near_duplicates
+from .mixing import mix_sources
 from .repetition import repetition_coverage
 from .substring import dedup_substrings
 from .tables import table
@@ -14,6 +15,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_coverage(table(spark, sf_dir, "documents"))
 
@@ -24,6 +29,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
