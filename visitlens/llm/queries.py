@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .langid import fit_language_model, held_out, predict_languages
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .repetition import repetition_coverage
@@ -23,6 +24,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_coverage(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_language_model(docs.filter(~held_out(docs["doc_id"]))))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
