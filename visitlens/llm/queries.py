@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .langid import fit_language_model, held_out, predict_languages
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .quality import fit_quality, score_quality
 from .repetition import repetition_coverage
 from .substring import dedup_substrings
 from .tables import table
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_language_model(docs.filter(~held_out(docs["doc_id"]))))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +50,8 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_toxicity": op8_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 

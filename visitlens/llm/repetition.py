@@ -50,6 +50,15 @@ def _lines(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, start, end
 
 
+def repeated_lines(t: Texts) -> np.ndarray:
+    """Per text, the share of its lines with a word that equal an earlier one."""
+    text, start, end = _lines(t)
+    full = np.searchsorted(t.start, end) > np.searchsorted(t.start, start)
+    text, start, end = text[full], start[full], end[full]
+    again = _later(salted(text, Rolling(_BYTE[t.data]).spans(start, end)))
+    return np.bincount(text[again], minlength=t.n) / np.maximum(np.bincount(text, minlength=t.n), 1)
+
+
 def _later(key: np.ndarray) -> np.ndarray:
     """True where an equal key occurred earlier."""
     again = np.ones(len(key), bool)

@@ -20,6 +20,9 @@ _RINV = pow(_R, -1, 1 << 64)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: all but A-Z, a-z and the bytes of code points from 128 on
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 IS_LEAD = (np.arange(256) & 0xC0) != 0x80  # bytes that begin a code point
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -66,10 +69,10 @@ class Rolling:
 class Texts:
     """The texts of one slice as bytes, with their words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, null: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, null: np.ndarray, gap: np.ndarray = IS_SPACE):
         self.data, self.offsets, self.null = data, offsets, null
         self.n = len(offsets) - 1
-        solid = ~IS_SPACE[data]
+        solid = ~gap[data]
         begin, end = solid.copy(), solid.copy()
         begin[1:] &= ~solid[:-1]
         end[:-1] &= ~solid[1:]
@@ -86,16 +89,30 @@ class Texts:
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), self.n_words)
 
-    def word_hashes(self, lower: bool = False) -> np.ndarray:
-        """A 64-bit hash of every word; with ``lower`` A-Z count as a-z."""
-        if not len(self.start):
-            return np.empty(0, _U)
+    def _byte_sums(self, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Running sums over the words' bytes, and each word's first place in them and length."""
         length = self.end - self.start
         at = np.cumsum(length) - length
-        place = np.arange(int(length.sum())) - np.repeat(at, length)
         raw = self.data[self.solid]
-        parts = _BYTE[LOWER[raw] if lower else raw] * powers(int(length.max()))[0][place]
-        return mix(np.add.reduceat(parts, at) + length.astype(_U))
+        place = np.arange(len(raw)) - np.repeat(at, length)
+        total = np.zeros(len(raw) + 1, _U)
+        np.cumsum(_BYTE[LOWER[raw] if lower else raw] * powers(int(length.max(initial=1)))[0][place], out=total[1:])
+        return total, at, length
+
+    def word_hashes(self, lower: bool = False) -> np.ndarray:
+        """A 64-bit hash of every word; with ``lower`` A-Z count as a-z."""
+        total, at, length = self._byte_sums(lower)
+        return mix(total[at + length] - total[at] + length.astype(_U))
+
+    def prefix_hashes(self, sizes: tuple[int, ...], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Word and hash of every word's first bytes, for every size shorter than the word."""
+        total, at, length = self._byte_sums(lower)
+        words, found = [], []
+        for k in sizes:
+            long = np.flatnonzero(length > k)
+            words.append(long)
+            found.append(mix((total[at[long] + k] - total[at[long]]) ^ (_U(k) * _GOLD)))
+        return np.concatenate(words), np.concatenate(found)
 
     def word_chars(self) -> np.ndarray:
         """Code points of every word."""
@@ -132,14 +149,16 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, null
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
-    """``(lo, hi, Texts)`` over consecutive rows with up to ``limit`` bytes, one row at least."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, gap: np.ndarray = IS_SPACE) -> Iterator[tuple[int, int, Texts]]:
+    """``(lo, hi, Texts)`` over consecutive rows with up to ``limit`` bytes, one row at least.
+
+    Words are the runs of bytes for which ``gap`` is false."""
     data, offsets, null = byte_view(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         hi = min(hi, lo + 4096, n)
-        yield lo, hi, Texts(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], null[lo:hi])
+        yield lo, hi, Texts(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], null[lo:hi], gap)
         lo = hi
 
 
