@@ -12,6 +12,7 @@ from .repetition import repetition_coverage
 from .substring import dedup_substrings
 from .tables import table
 from .toxicity import fit_toxicity, score_toxicity
+from .urls import filter_urls
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
+    "op9_url_filters": op9_url_filters,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
