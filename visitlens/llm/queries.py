@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .langid import fit_language_model, held_out, predict_languages
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .pivots import near_vectors
 from .quality import fit_quality, score_quality
 from .repetition import repetition_coverage
 from .substring import dedup_substrings
@@ -32,6 +33,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_language_model(docs.filter(~held_out(docs["doc_id"]))))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +60,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
     "op9_url_filters": op9_url_filters,
