@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .langid import fit_language_model, held_out, predict_languages
@@ -10,12 +12,21 @@ from .mixing import mix_sources
 from .pivots import near_vectors
 from .quality import fit_quality, score_quality
 from .repetition import repetition_coverage
+from .sentencepieces import encode_texts
 from .substring import dedup_substrings
 from .tables import table
 from .toxicity import fit_toxicity, score_toxicity
 from .urls import filter_urls
 
 
+#: Folder of the public tokenizers' vocabulary files, and the piece model in it.
+TOKENIZERS, PIECES = "/opt/tokenizers", "piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"), str(Path(TOKENIZERS) / PIECES))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -56,6 +67,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
