@@ -229,13 +229,18 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose language is known with ``min_score`` or more."""
+    """The rows, with all their columns, whose language is known with ``min_score`` or more;
+    if no language was learned, the rows with a letter."""
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, t in slices(batch.column(at)):
-                best, score = model.scores(t)
-                yield batch.slice(lo, hi - lo).filter(pa.array((best >= 0) & (score >= min_score)))
+                if model.languages:
+                    best, score = model.scores(t)
+                    keep = (best >= 0) & (score >= min_score)
+                else:
+                    keep = ngrams(t)[3]
+                yield batch.slice(lo, hi - lo).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -115,7 +115,8 @@ class PieceModel:
             b = np.frombuffer(piece.replace(SPACE, " ").encode(), np.uint8)
             self.joined[b[:-1], b[1:]] = True
         self.solved: dict[bytes, list[int]] = {}
-        self.agreed: dict[tuple[int, int], bool] = {}
+        self.agreed: dict[int, dict[int, bool]] = {}
+        self.n_agreed = 0
         self.built: dict[int, tuple | None] = {}
         output = [self._output(k) for k in range(len(self.pieces))]
         self.out_size = np.array([len(o) for o in output])
@@ -149,16 +150,19 @@ class PieceModel:
             self.built[piece] = (first, last, steps) if len(parts) == 1 else None
         return self.built[piece]
 
+    def agreed_after(self, before: int) -> dict[int, bool]:
+        """What is known so far of ``agree(before, piece)``, by piece."""
+        if self.n_agreed >= 4 * MEMORY:
+            self.agreed.clear()
+            self.n_agreed = 0
+        return self.agreed.setdefault(before, {})
+
     def agree(self, before: int, piece: int) -> bool:
         """Whether ``piece`` may follow ``before`` (below 0: nothing, or a character outside
         the vocabulary, with which nothing merges): whether no merge across their border
         comes up while greedy merging builds the two."""
-        found = self.agreed.get((before, piece))
-        if found is None:
-            found = self._apart(before, piece)
-            if len(self.agreed) >= 4 * MEMORY:
-                self.agreed.clear()
-            self.agreed[before, piece] = found
+        found = self.agreed_after(before)[piece] = self._apart(before, piece)
+        self.n_agreed += 1
         return found
 
     def _apart(self, before: int, piece: int) -> bool:
@@ -185,29 +189,34 @@ class PieceModel:
 
     def shortest(self, text: str) -> list[int]:
         """Ids on the path of least weight through the composition with ``text``."""
-        n = len(text)
+        n, far, bpe, scores = len(text), float("inf"), self.bpe, self.scores
         # states of the composition: place in the text, and for BPE the last piece.  Greedy
         # merging of a prefix is unique, so one state a place suffices for either kind.
-        weight = [float("inf")] * (n + 1)
+        weight = [far] * (n + 1)
         last, start = [-1] * (n + 1), [0] * (n + 1)
         weight[0] = 0.0
         for i in range(n):
-            if weight[i] == float("inf"):
+            so_far = weight[i]
+            if so_far == far:
                 continue
-            node, j, known = self.lexicon, i, False
-            while j < n and (node := node.get(text[j])) is not None:
-                j += 1
+            node, known, before = self.lexicon, False, last[i]
+            after = self.agreed_after(before) if bpe else None
+            for j in range(i, n):
+                node = node.get(text[j])
+                if node is None:
+                    break
                 k = node.get("")
                 if k is None:
                     continue
-                known |= j == i + 1
-                if self.bpe:
-                    if self.agree(last[i], k):
-                        weight[j], last[j], start[j] = 0.0, k, i
-                elif weight[i] - self.scores[k] < weight[j]:
-                    weight[j], last[j], start[j] = weight[i] - self.scores[k], k, i
-            if not known and weight[i] + self.unknown_weight < weight[i + 1]:
-                weight[i + 1], last[i + 1], start[i + 1] = weight[i] + (0.0 if self.bpe else self.unknown_weight), -1, i
+                known |= j == i
+                if bpe:
+                    follows = after.get(k)
+                    if self.agree(before, k) if follows is None else follows:
+                        weight[j + 1], last[j + 1], start[j + 1] = 0.0, k, i
+                elif so_far - scores[k] < weight[j + 1]:
+                    weight[j + 1], last[j + 1], start[j + 1] = so_far - scores[k], k, i
+            if not known and so_far + self.unknown_weight < weight[i + 1]:
+                weight[i + 1], last[i + 1], start[i + 1] = so_far + (0.0 if bpe else self.unknown_weight), -1, i
         path, at = [], n
         while at:
             path.append((last[at], text[start[at] : at]))
