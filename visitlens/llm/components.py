@@ -9,6 +9,7 @@ two numbers a round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,22 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
+def spanning_labels(ids: np.ndarray, left: np.ndarray, right: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """For every id the smallest one it reaches when ``links[i, j]`` joins rows ``left[i]``
+    and ``right[j]``: edges (id, label) connect what the links connect, one per row at most."""
+    label = ids.copy()
+    some, other = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
+    inner = links[np.ix_(some, other)]
+    i, j, far = left[some], right[other], np.iinfo(np.int64).max
+    while inner.size:
+        before = label.copy()
+        label[i] = np.minimum(label[i], np.where(inner, label[j][None, :], far).min(1))
+        label[j] = np.minimum(label[j], np.where(inner, label[i][:, None], far).min(0))
+        if (label == before).all():
+            break
+    return label
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node with an edge; component is the smallest id reachable.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import only_ids, written
+from .tables import only_ids, ship_code, written
 from .words import IS_LEAD, Texts, mix, slices
 
 FEATURES = 1 << 14
@@ -180,6 +180,7 @@ def fit_language_model(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_class: int = PER_CLASS, sample: int = SAMPLE
 ) -> LanguageModel:
     """Learn from all rows of ``docs`` that have an id, a text and a language."""
+    ship_code(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
     rows = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     languages = [r[0] for r in rows.select("lang").distinct().orderBy("lang").collect()]
@@ -213,6 +214,7 @@ def fit_language_model(
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred and score of every input row."""
+    ship_code(docs.sparkSession)
     names = [*model.languages, UNKNOWN]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,6 +233,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose language is known with ``min_score`` or more;
     if no language was learned, the rows with a letter."""
+    ship_code(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import ship_code, written
 from .words import slices
 
 WEIGHTS, SHARE, MAX_COPIES = (5.0, 2.0, 1.0), 1.5, 2
@@ -135,6 +135,7 @@ def mix_sources(
     max_copies: int = MAX_COPIES,
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, copies and rate of every input row."""
+    ship_code(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), docs[text_col].alias("text"))
     sized = written(rows.mapInArrow(_sizes, "doc_id long, source string, size long"), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))

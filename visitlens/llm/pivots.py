@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import components
-from .tables import written
+from .components import components, spanning_labels
+from .tables import ship_code, written
 
 THRESHOLD, NEAREST, BLOCK = 0.9, 7, 1024
 MIN_PIVOTS, MAX_PIVOTS = 64, 16_384
@@ -104,16 +104,7 @@ def _compare(size: int, kind: type, k: int, n_pivots: int, threshold: float):
         counts[left] += links @ copies[right]
         if low != high:
             counts[right] += links.T @ copies[left]
-        label = ids.copy()
-        linked_left, linked_right = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
-        inner = links[np.ix_(linked_left, linked_right)]
-        i, j, far = left[linked_left], right[linked_right], np.iinfo(np.int64).max
-        while inner.size:
-            before = label.copy()
-            label[i] = np.minimum(label[i], np.where(inner, label[j][None, :], far).min(1))
-            label[j] = np.minimum(label[j], np.where(inner, label[i][:, None], far).min(0))
-            if (label == before).all():
-                break
+        label = spanning_labels(ids, left, right, links)
         some = counts > 0
         return pa.table({"a": pa.array(ids[some], pa.int64()), "b": pa.array(label[some], pa.int64()), "links": pa.array(counts[some], pa.int64())})
 
@@ -139,6 +130,7 @@ def near_vectors(
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept (the component's smallest id) of every row."""
     spark = vectors.sparkSession
+    ship_code(spark)
     kind = np.float32 if vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType()) else np.float64
     element = "float" if kind is np.float32 else "double"
     vec = vectors[vector_col].cast(f"array<{element}>")

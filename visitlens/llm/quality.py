@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .labelled import labelled_sample
 from .langid import held_out
 from .repetition import repeated_lines
+from .tables import ship_code
 from .words import NOT_LETTER, Texts, groups, salted, slices
 
 WORDS, FACTORS = 1 << 18, 8
@@ -172,6 +173,7 @@ def score_quality(
     length_col: str | None = "n_chars",
 ) -> DataFrame:
     """doc_id, held_out, score and predicted of every input row."""
+    ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WORDS * (FACTORS + 1) floats: 9 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

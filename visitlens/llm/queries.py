@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracle as _oracle
 from .langid import fit_language_model, held_out, predict_languages
 from .minhash import near_duplicates
 from .mixing import mix_sources
@@ -79,4 +80,4 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = dict(_oracle.SQL)

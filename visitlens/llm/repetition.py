@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .tables import ship_code
 from .words import _BYTE, Rolling, Texts, groups, salted, slices
 
 SYMBOLS = np.zeros(256, bool)
@@ -138,6 +139,7 @@ def repetition_coverage(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: RepetitionLimits | None = None
 ) -> DataFrame:
     """One row per input row: id, counts, shares, ``base_failed`` and ``kept``."""
+    ship_code(docs.sparkSession)
     limits = limits or RepetitionLimits()
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     shares = ["dup_line_share", "dup_line_char_share"]

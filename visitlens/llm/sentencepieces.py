@@ -39,6 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .tables import ship_code
 from .words import IS_LEAD, byte_view
 
 SPACE = "▁"
@@ -321,6 +322,7 @@ def compiled(raw: bytes) -> PieceModel:
 
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_pieces, pieces (ids) and round_trip (the ids decode to the text) of every row."""
+    ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())  # the model file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,6 +341,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
 def decode_pieces(encoded: DataFrame, model_path: str, id_col: str = "doc_id", pieces_col: str = "pieces") -> DataFrame:
     """doc_id and text of every row."""
+    ship_code(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import only_ids, written
+from .tables import only_ids, ship_code, written
 from .words import Rolling, Texts, mix, signed, slices
 
 # Perfect difference sets, period: members.
@@ -171,6 +171,7 @@ def dedup_substrings(
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, and with ``with_text`` the kept text of
     documents that lost words (null: the text stays as it is)."""
+    ship_code(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     digest = written(
         rows.mapInArrow(_digests, "doc_id long, s1 long, s2 long, n_words long, whole_sha string"), "substring-digest"

@@ -20,7 +20,10 @@ _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors (``addPyFile``), once per application."""
+    """Send this package to the executors (``addPyFile``), once per application.
+
+    Functions passed to Spark find it only if they are passed afterwards, so every operator
+    begins with this."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

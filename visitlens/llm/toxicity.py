@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .langid import held_out
+from .tables import ship_code
 from .words import NOT_LETTER, Texts, groups, salted, signed, slices
 
 SAMPLE, MIN_DOCS, MIN_ODDS, VOCABULARY = 10_000, 5, 1.0, 20_000
@@ -179,6 +180,7 @@ def score_toxicity(
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, n_sentences, and the worst sentence: its number
     (from 0; null without sentences), probability, and text up to the next sentence end."""
+    ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most the sample's distinct words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import ship_code, written
 from .words import byte_view, slices
 
 #: The rules of the registered query: (host, path, verdict).
@@ -203,6 +203,7 @@ def filter_urls(
     pages: DataFrame, rules: Rules = RULES, id_col: str = "page_id", url_col: str = "url", sample: int = SAMPLE
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and score (the trees' chance of block) of every input row."""
+    ship_code(pages.sparkSession)
     rows = written(parsed(pages, rules, id_col, url_col), "urls")
     shared = pages.sparkSession.sparkContext.broadcast(_fit(rows, sample))
 
