@@ -15,11 +15,13 @@ lower-cased; a shorter text is one shingle).  Two documents are linked when
 4. Survivors are verified on their full sets, read again from the texts.
 
 Candidates never become all pairs of a bucket.  Each document is first verified against the
-bucket leader it shares most bands with, which already joins a group of copies.  Only
-buckets whose members are still in different components go on: their members are compared
-in blocks of ``BLOCK`` (the signatures of one block pair meet in a task), members of one
-component are not compared again, first the best pair of every two components is verified,
-then all survivors between components that are still apart.  No cap drops a pair.
+bucket leader it shares most bands with, which already joins most of a group of copies.
+Only buckets whose members are still in different components go on: their members are
+compared in blocks of ``BLOCK`` (the signatures of one block pair meet in a task), members
+of one component are not compared again, and each document's best candidate is verified.
+In the last round all survivors between components that are still apart are verified where
+they meet: the sets of the documents with survivors join their block, and only a spanning
+forest of the links leaves the task.  No cap drops a pair.
 
 Defined results: null, empty or blank text has an empty set, is linked with nothing and is
 kept; a null id gets a null component and is kept; rows that repeat an id count as one
@@ -37,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .tables import only_ids, written
+from .components import components, spanning_labels
+from .tables import only_ids, ship_code, written
 from .words import Rolling, Texts, mix, signed, slices
 
 SHINGLE, THRESHOLD = 5, 0.75
@@ -46,6 +48,7 @@ BANDS, ROWS = 32, 4
 BATCH = 32  # signature positions compared at a time
 MISS = 1e-5  # chance with which a batch may drop a pair at the threshold
 BLOCK = 512  # members of a bucket compared in one block
+BLOCK_SCHEMA = "bucket long, doc_id long, component long, chunk int, low_chunk int, high_chunk int, sig binary"
 _LOW52 = np.uint64((1 << 52) - 1)
 
 
@@ -152,33 +155,81 @@ def _prune(size: int, threshold: float, miss: float):
     return run
 
 
-def _compare_block(size: int, threshold: float, miss: float, best_only: bool):
-    """Candidate pairs of one block pair whose components differ."""
+def _candidates(group: pa.Table, size: int, threshold: float, miss: float):
+    """Rows (left, right) of one block pair that survive, with their agreeing hashes; rows
+    whose components are equal are not compared."""
+    ids, comp, chunk = (group.column(c).to_numpy() for c in ("doc_id", "component", "chunk"))
+    sig = _matrix(group.column("sig"), size)
+    first, second = group.column("low_chunk")[0].as_py(), group.column("high_chunk")[0].as_py()
+    left, right = np.flatnonzero(chunk == first), np.flatnonzero(chunk == second)
+    found = [(np.empty(0, np.int64),) * 3]
+    for strip in range(0, len(left), 64):
+        rows = left[strip : strip + 64]
+        i, j = np.nonzero(comp[rows][:, None] != comp[right][None, :])
+        i, j = rows[i], right[j]
+        if first == second:
+            once = ids[i] < ids[j]
+            i, j = i[once], j[once]
+        for part in range(0, len(i), 1 << 15):
+            x, y = i[part : part + (1 << 15)], j[part : part + (1 << 15)]
+            alive, same = _survivors(sig[x], sig[y], threshold, miss)
+            found.append((x[alive], y[alive], same))
+    i, j, same = (np.concatenate(x) for x in zip(*found))
+    return ids, i, j, same
+
+
+def _best_candidates(size: int, threshold: float, miss: float):
+    """For every row of a block pair its best candidate (of equally good ones the smallest id)."""
 
     def run(group: pa.Table) -> pa.Table:
-        ids, comp, chunk = (group.column(c).to_numpy() for c in ("doc_id", "component", "chunk"))
-        sig = _matrix(group.column("sig"), size)
-        first, second = group.column("low_chunk")[0].as_py(), group.column("high_chunk")[0].as_py()
-        left, right = np.flatnonzero(chunk == first), np.flatnonzero(chunk == second)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for strip in range(0, len(left), 64):
-            rows = left[strip : strip + 64]
-            i, j = np.nonzero(comp[rows][:, None] != comp[right][None, :])
-            i, j = rows[i], right[j]
-            if first == second:
-                i, j = i[ids[i] < ids[j]], j[ids[i] < ids[j]]
-            for part in range(0, len(i), 1 << 15):
-                x, y = i[part : part + (1 << 15)], j[part : part + (1 << 15)]
-                alive, same = _survivors(sig[x], sig[y], threshold, miss)
-                found.append((x[alive], y[alive], same))
-        i, j, same = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found) if found else ((), (), ())))
-        if best_only and len(i):
-            low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-            order = np.lexsort((-same, high, low))
-            new = np.ones(len(order), bool)
-            new[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
-            i, j = i[order[new]], j[order[new]]
-        return pa.table({"a": pa.array(np.maximum(ids[i], ids[j]), pa.int64()), "b": pa.array(np.minimum(ids[i], ids[j]), pa.int64())})
+        ids, i, j, same = _candidates(group, size, threshold, miss)
+        a, b, same = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((same, same))
+        order = np.lexsort((ids[b], -same, a))
+        new = np.ones(len(order), bool)
+        new[1:] = a[order][1:] != a[order][:-1]
+        a, b = ids[a[order[new]]], ids[b[order[new]]]
+        return pa.table({"a": pa.array(np.maximum(a, b), pa.int64()), "b": pa.array(np.minimum(a, b), pa.int64())})
+
+    return run
+
+
+def _with_candidates(size: int, threshold: float, miss: float):
+    """The rows of a block pair that have a candidate in it."""
+
+    def run(group: pa.Table) -> pa.Table:
+        _, i, j, _ = _candidates(group, size, threshold, miss)
+        return group.take(pa.array(np.union1d(i, j)))
+
+    return run
+
+
+def _links_of_block(size: int, threshold: float, miss: float):
+    """A spanning forest of the links between the rows of a block pair, on their full sets."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, i, j, _ = _candidates(group, size, threshold, miss)
+        sets = group.column("shingles").combine_chunks()
+        n = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        _, flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        begin = np.cumsum(n) - n
+        links = np.zeros((len(ids), len(ids)), bool)
+        mark = np.zeros(int(flat.max(initial=-1)) + 1, np.int64)
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        for a in np.unique(i):  # candidates of one row against the marked set of that row
+            others = j[np.searchsorted(i, a) : np.searchsorted(i, a, "right")]
+            mark[flat[begin[a] : begin[a] + n[a]]] = 1
+            for part in range(0, len(others), 64):
+                some = others[part : part + 64]
+                edge = np.cumsum(n[some]) - n[some]
+                at = np.arange(int(n[some].sum())) + np.repeat(begin[some] - edge, n[some])
+                both = np.add.reduceat(mark[flat[at]], edge)
+                links[a, some] = 100 * both >= round(100 * threshold) * (n[a] + n[some] - both)
+            mark[flat[begin[a] : begin[a] + n[a]]] = 0
+        every = np.arange(len(ids))
+        label = spanning_labels(ids, every, every, links | links.T)
+        far = label != ids
+        return pa.table({"a": pa.array(ids[far], pa.int64()), "b": pa.array(label[far], pa.int64())})
 
     return run
 
@@ -206,6 +257,7 @@ def near_duplicates(
     miss: float = MISS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the component's smallest id) of every row."""
+    ship_code(docs.sparkSession)
     size = bands * rows
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     sketch = written(
@@ -228,27 +280,34 @@ def near_duplicates(
     member_ids = written(members.select("doc_id").distinct(), "minhash-member-ids")
     sigs = written(only_ids(ones, member_ids, "doc_id").dropDuplicates(["doc_id"]), "minhash-signatures")
 
-    def verified(pairs: DataFrame, pruned: bool) -> DataFrame:
+    def sets_of(ids: DataFrame) -> DataFrame:
+        found = only_ids(texts, written(ids.distinct(), "minhash-set-ids"), "doc_id").dropDuplicates(["doc_id"])
+        return written(found.mapInArrow(_sets(shingle), "doc_id long, shingles array<long>"), "minhash-sets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (a, b), on their full sets."""
-        if not pruned:
-            both = pairs.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-            both = both.join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-            pairs = both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(size, threshold, miss), "a long, b long")
         pairs = written(pairs.distinct(), "minhash-survivors")
-        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash-survivor-ids")
-        sets = written(only_ids(texts, ids, "doc_id").mapInArrow(_sets(shingle), "doc_id long, shingles array<long>"), "minhash-sets")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
         both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
         shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("total"))
-        return written(shared.filter(F.col("n") * 100 >= round(100 * threshold) * (F.col("total") - F.col("n"))).select("a", "b"), "minhash-links")
-
-    leaders = members.filter("doc_id > leader").groupBy("doc_id", "leader").count()
-    best = leaders.groupBy("doc_id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b"))
-    links = verified(best.select(F.col("doc_id").alias("a"), "b"), pruned=False)
-    for best_only in (True, False):
-        apart = _apart(members, components(links))
-        pairs = _blocks(apart, sigs).applyInArrow(_compare_block(size, threshold, miss, best_only), "a long, b long")
-        links = links.union(verified(pairs, pruned=True))
+        linked = F.col("n") * 100 >= round(100 * threshold) * (F.col("total") - F.col("n"))
+        return written(shared.filter(linked).select("a", "b"), "minhash-links")
+
+    counts = members.filter("doc_id > leader").groupBy("doc_id", "leader").count()
+    best = counts.groupBy("doc_id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b"))
+    both = best.select(F.col("doc_id").alias("a"), "b").join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
+    both = both.join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
+    links = verified(both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(size, threshold, miss), "a long, b long"))
+
+    limits = size, threshold, miss
+    blocks = _blocks(_apart(members, components(links)), sigs)
+    links = links.union(verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
+
+    blocks = _blocks(_apart(members, components(links)), sigs)
+    left = written(blocks.applyInArrow(_with_candidates(*limits), BLOCK_SCHEMA), "minhash-open")
+    left = left.join(sets_of(left.select("doc_id")), "doc_id").groupBy("bucket", "low_chunk", "high_chunk")
+    links = links.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
 
     groups = components(links.union(copy_links)).withColumnRenamed("node", "doc_id")
     out = sketch.select("doc_id", "n_shingles").join(groups, "doc_id", "left")

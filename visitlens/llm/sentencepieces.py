@@ -228,7 +228,7 @@ class PieceModel:
                 ids.append(k)
             elif self.byte_fallback:
                 ids.extend(self.bytes[b] for b in part.encode())
-            elif not ids or ids[-1] != self.unknown:  # neighbouring unknown characters are one piece
+            else:
                 ids.append(self.unknown)
         return ids
 
@@ -273,6 +273,11 @@ class PieceModel:
         per_text = np.bincount(np.searchsorted(begin[full], at, "right") - 1, gathered, int(full.sum()))
         counts = np.zeros(len(size), np.int64)
         counts[full] = per_text.astype(np.int64)
+        if not self.byte_fallback:  # neighbouring unknown characters are one piece
+            text = np.repeat(np.arange(len(size)), counts)
+            again = np.zeros(len(ids), bool)
+            again[1:] = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown) & (text[1:] == text[:-1])
+            ids, counts = ids[~again], np.bincount(text[~again], minlength=len(size))
         return pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids), mask=pa.array(null)
         )

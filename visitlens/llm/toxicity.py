@@ -14,7 +14,8 @@ would drift towards 1.
 Training uses a bounded sample of labelled documents (``SAMPLE``).  A grouping counts each
 feature's documents by label; features in ``MIN_DOCS`` documents or more whose smoothed
 log-odds are ``MIN_ODDS`` or more from the average form the vocabulary (``VOCABULARY`` at
-most, the strongest first).  Weights are fitted by Adagrad through the noisy-or.  Scoring is
+most, the strongest first).  Weights are fitted by about ``UPDATES`` Adagrad steps
+through the noisy-or.  Scoring is
 one pass over the whole texts.
 
 Defined results: null and empty texts have no sentences and score the leak; without labels
@@ -39,7 +40,7 @@ from .tables import ship_code
 from .words import NOT_LETTER, Texts, groups, salted, signed, slices
 
 SAMPLE, MIN_DOCS, MIN_ODDS, VOCABULARY = 10_000, 5, 1.0, 20_000
-EPOCHS, RATE, DECAY, START = 6, 0.2, 1e-4, -9.0
+UPDATES, RATE, DECAY, START = 60_000, 0.2, 1e-4, -5.0
 PREFIXES = (4, 5, 6)
 ENDS = np.zeros(256, bool)
 ENDS[list(b".!?\n")] = True
@@ -87,16 +88,16 @@ class BagModel:
         return 1 - (1 - self.leak) * np.exp(-clean), doc, first, 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
 
-def fit_bags(words: np.ndarray, known: list[tuple[np.ndarray, np.ndarray, int, int]], epochs: int = EPOCHS) -> BagModel:
+def fit_bags(words: np.ndarray, known: list[tuple[np.ndarray, np.ndarray, int, int]], updates: int = UPDATES) -> BagModel:
     """Bags are (sentence and vocabulary index of every feature, number of sentences, 0 or 1)."""
     positive = sum(y for *_, y in known)
     if not known:
         return BagModel(words, np.zeros(len(words)), START, 0.5)
-    w, gw, bias, gb = np.zeros(len(words)), np.full(len(words), 0.05), START, 1e-2
-    share = min(max(positive / len(known), 1e-4), 0.5)
+    w, gw, bias, gb = np.zeros(len(words)), np.full(len(words), 0.01), START, 1e-2
+    share = min(max(positive / len(known) / 4, 1e-4), 0.5)
     leak, gl = float(np.log(share / (1 - share))), 1e-2
     rng = np.random.default_rng(0)
-    for _ in range(epochs):
+    for _ in range(-(-updates // len(known))):
         for k in rng.permutation(len(known)):
             s, at, n, y = known[k]
             logit = np.clip(bias + np.bincount(s, w[at], n), -40, 40) if n else np.empty(0)

@@ -111,7 +111,7 @@ class Texts:
         for k in sizes:
             long = np.flatnonzero(length > k)
             words.append(long)
-            found.append(mix((total[at[long] + k] - total[at[long]]) ^ (_U(k) * _GOLD)))
+            found.append(mix((total[at[long] + k] - total[at[long]]) ^ mix(np.full(1, k, _U))))
         return np.concatenate(words), np.concatenate(found)
 
     def word_chars(self) -> np.ndarray:
