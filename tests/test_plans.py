@@ -1,8 +1,11 @@
 """Physical-plan shape: pushdown, partial top-k, semi join, no Python in the plan."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
+from visitlens.operators import topn
 from visitlens.plans import queries as Q
 
 
@@ -11,7 +14,7 @@ def plan(df) -> str:
 
 
 def test_date_range_pushed_to_scan(spark):
-    p = plan(Q.session_rollup(spark, SF_SMALL))
+    p = plan(Q.session_bucket_counts(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05T00:00)" in p
     # only the needed columns are read
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
@@ -27,26 +30,42 @@ def test_top10_category_uses_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(Q.top10_category(spark, SF_SMALL))
 
 
-def test_top_sessions_use_partial_window_group_limit(spark):
-    p = plan(Q.top10_session(spark, SF_SMALL))
-    assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
+def row_number_windows(text: str) -> list[str]:
+    """Partition keys of every row_number in the plan."""
+    return re.findall(r"row_number\(\) windowspecdefinition\((.*?), specifiedwindowframe", text)
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_no_window_holds_a_whole_category_or_hour(spark, n):
+    for df, key in ((Q._top_sessions(spark, SF_SMALL, n), "_prefix#"), (Q.random_extract(spark, SF_SMALL, n), "bucket#")):
+        found = row_number_windows(plan(df))
+        assert found and all(key in w for w in found)
 
 
-def test_extract_limits_before_shuffle(spark):
-    p = plan(Q.random_extract(spark, SF_SMALL))
-    assert "WindowGroupLimit" in p and "Partial" in p
+def test_click_counts_read_only_clicks(spark):
+    p = plan(Q.QUERIES["category_click_counts"](spark, SF_SMALL))
+    assert "signup" not in p and "purchase" not in p and "inline" not in p and "Generate" not in p
 
 
 def test_detail_is_a_semi_join(spark):
     p = plan(Q.session_detail(spark, SF_SMALL))
+    assert "LeftSemi" in p
+    kept = []
+    top = Q.top10_session(spark, SF_SMALL)
+    p = plan(topn.session_detail(Q._visits(spark, SF_SMALL), top, 1, kept)).split("InMemoryRelation")[0]
     # the measured id set is broadcast: the visit log is probed map-side, never shuffled
     assert "LeftSemi" in p and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    for df in kept:
+        df.unpersist()
 
 
-def test_extract_joins_drawn_set_by_broadcast(spark):
-    p = plan(Q.random_extract(spark, SF_SMALL))
-    outer = p.split("InMemoryRelation")[0]  # the plan over the visit log, not the cached draw
-    assert "BroadcastHashJoin [session_id" in outer and "SortMergeJoin" not in outer
+def test_building_queries_runs_and_keeps_nothing(spark):
+    spark.catalog.clearCache()
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    for name in ("session_detail", "session_detail_inner", "session_detail_in_range", "random_extract", "task_session_detail"):
+        Q.QUERIES[name](spark, SF_SMALL)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
 
 
 def test_broadcast_only_under_the_threshold(spark):

@@ -172,6 +172,13 @@ def test_table_readers_and_cli(spark, tmp_path):
     main(["9", "--tasks", tpath, "--visits", vpath, "--users", upath, "--out", out])
     stat = read_result(spark, out, "session_aggr_stat", 9).first()
     assert stat.session_count > 0
+    # catalog tables and the options of TaskParams
+    out2 = str(tmp_path / "out2")
+    main(["9", "--tasks", tpath, "--visits", "user_visit_action", "--users", "user_info_view", "--out", out2, "--tables",
+          "--keyword-mode", "ignore", "--top-n", "2", "--extract-per-day", "0", "--restrict-dates"])
+    assert read_result(spark, out2, "session_aggr_stat", 9).first().session_count == stat.session_count
+    assert read_result(spark, out2, "top10_category", 9).count() == 2
+    assert read_result(spark, out2, "session_random_extract", 9).count() == 0
 
 
 def test_write_result_replaces_only_its_task(spark, tmp_path):
@@ -184,11 +191,14 @@ def test_write_result_replaces_only_its_task(spark, tmp_path):
             [(t, c, 1, 1, 1) for c in range(n)], "taskid long, categoryid long, click_count long, "
             "order_count long, pay_count long")
         out = str(tmp_path / "res")
-        write_result(rows(1, 3), out, "top10_category")
-        write_result(rows(2, 4), out, "top10_category")
-        write_result(rows(1, 2), out, "top10_category")  # re-run of task 1
+        write_result(rows(1, 3), out, "top10_category", 1)
+        write_result(rows(2, 4), out, "top10_category", 2)
+        write_result(rows(1, 2), out, "top10_category", 1)  # re-run of task 1
         counts = {r.taskid: r["count"] for r in read_result(spark, out, "top10_category").groupBy("taskid").count().collect()}
         assert counts == {1: 2, 2: 4}
+        write_result(rows(1, 2).limit(0), out, "top10_category", 1)  # a re-run without rows
+        counts = {r.taskid: r["count"] for r in read_result(spark, out, "top10_category").groupBy("taskid").count().collect()}
+        assert counts == {2: 4}
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
 
@@ -271,4 +281,48 @@ def test_streaming_default_checkpoint_under_session_folder(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "table")).count() == 3
     local = base.replace("file:", "")
-    assert os.path.isdir(os.path.join(local, "streams", name))
+    assert [d for d in os.listdir(os.path.join(local, "streams")) if d.startswith(name)]
+    # the same source feeds a second table under the same query name
+    q = start_ingest(visit_text_stream(spark, src), str(tmp_path / "second"), available_now=True, name=name)
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "second")).count() == 3
+
+
+def test_text_keeps_quotes_and_fractions(spark, tmp_path):
+    line = ["2019-01-01", "7", "abc", "3", "2019-01-01 5:03:09.0", '"hot pot', "12", "40", "3,5", '"', "null", "null"]
+    os.makedirs(tmp_path / "q")
+    (tmp_path / "q" / "part.txt").write_text(SEP.join(line) + "\n")
+    r = read_visit_text(spark, str(tmp_path / "q")).first()
+    assert (r.search_keyword, r.click_category_id, r.order_category_ids, r.order_product_ids) == ('"hot pot', 12, "3,5", '"')
+    assert str(r.action_time) == "2019-01-01 05:03:09"
+    q = start_ingest(visit_text_stream(spark, str(tmp_path / "q")), str(tmp_path / "t"), str(tmp_path / "c"), available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "t")).first().search_keyword == '"hot pot'
+
+
+def test_category_ids_that_are_no_numbers(spark):
+    from visitlens.operators.predicates import category_action_test
+
+    df = spark.createDataFrame([(5,), (-5,), (7,)], "click_category_id long")
+    test = category_action_test(TaskParams(category_ids="--5,-5,x,7"))
+    assert sorted(r[0] for r in df.where(test).collect()) == [-5, 7]
+
+
+def test_rerun_leaves_no_old_rows(spark, tmp_path):
+    visits, users, out = fixtures.visit_actions(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), str(tmp_path / "o")
+    wide = TaskParams(start_date="2024-01-01", end_date="2024-01-31", extract_per_day=20)
+    run_task(spark, visits, users, wide, 3, out)
+    run_task(spark, visits, users, wide, 4, out)
+    run_task(spark, visits.where("click_category_id IS NULL"), users, wide.with_options(extract_per_day=0), 3, out)
+    for table in ("top10_category", "top10_session", "session_detail", "session_random_extract"):
+        assert read_result(spark, out, table, 3).count() == 0
+        assert read_result(spark, out, table, 4).count() > 0
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_repeated_task_id_is_refused(spark, tmp_path):
+    row = (1, "t", None, None, None, "session", "new", "{}")
+    df = spark.createDataFrame([row, row], "taskid long, task_name string, create_time string, start_time string, "
+                                           "finish_time string, task_type string, task_status string, task_param string")
+    with pytest.raises(ValueError):
+        load_params(df, 1)

@@ -17,8 +17,9 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# yyyy-M-d H:m:s with one- or two-digit fields (the generator leaves hours unpadded)
-TIME_TEXT = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+# yyyy-M-d H:m:s with one- or two-digit fields (the generator leaves hours unpadded);
+# a fraction of a second may follow and is dropped, as all results are in whole seconds
+TIME_TEXT = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})(?:\.\d*)?$"
 
 
 def parse_time(c: Column | str) -> Column:

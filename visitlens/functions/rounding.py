@@ -47,7 +47,7 @@ def half_up_ratio(n: Column | str, d: Column | str) -> Column:
 
 def _int_div(a: Column, b: Column) -> Column:
     # Exact integer division for non-negative operands (no double rounding).
-    return ((a - a % b) / b).cast("bigint")
+    return F.call_function("div", a, b)
 
 
 def half_up_ratio_sql(n: str, d: str, dialect: str = "duckdb") -> str:

@@ -10,11 +10,11 @@ in every engine.
 Profile rows carry a ``weight`` (w identical joined rows); such a row fills
 w consecutive draw slots and is emitted as often as it was drawn.
 
-Scale: the per-hour ranking first keeps ``rank <= per_day`` (a literal), so
-Spark inserts a partial WindowGroupLimit before the shuffle: a hot hour
-ships at most ``per_day`` rows per map task.  Every row has weight >= 1, so
-those rows cover all slots the quota (<= per_day) can reach; the exact
-quota is applied after joining the small per-hour table.
+Scale: an hour is cut into buckets by the leading digits of the draw key, which
+are uniform.  The buckets' weights are counted (pre-aggregated) and summed in
+key order; only buckets that begin below the hour's quota are read on, and rows
+are ranked inside their bucket (``operators.ranking``).  This is exact for any
+``per_day``, and no task ever sees a whole hour.
 """
 
 from __future__ import annotations
@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.dates import date_hour, format_date, format_time
 from visitlens.operators.joins import broadcast_if_small
+from visitlens.operators.ranking import bucket_offsets, rank_in_buckets
 
+# Leading hex digits of the draw key that name a bucket (4096 buckets an hour).
+DRAW_DIGITS = 3
 DRAW_ORDER = ["draw", "session_id", "user_id", "age", "professional", "city", "sex"]
 
 
@@ -64,7 +67,7 @@ def hour_quotas(profile: DataFrame, per_day: int) -> DataFrame:
     hours = _with_hour(profile).groupBy("day", "date_hour").agg(F.sum("weight").cast("bigint").alias("hour_count"))
     hours = hours.withColumn("day_count", F.sum("hour_count").over(Window.partitionBy("day")).cast("bigint"))
     scaled = F.col("hour_count") * F.lit(int(per_day))
-    quota = ((scaled - scaled % F.col("day_count")) / F.col("day_count")).cast("bigint")
+    quota = F.call_function("div", scaled, F.col("day_count"))
     return hours.withColumn("quota", quota)
 
 
@@ -78,17 +81,17 @@ def extract_sessions(profile: DataFrame, per_day: int, seed: str = "0") -> DataF
     One row per drawn slot: ``pick`` is the row's rank in its hour, ``copy``
     numbers the slots of a weighted row.
     """
-    s = _with_hour(profile).withColumn("draw", draw_key("session_id", seed))
+    s = _with_hour(profile).withColumn("draw", draw_key("session_id", seed)).where(F.col("draw").isNotNull())
+    s = s.withColumn("bucket", F.substring("draw", 1, DRAW_DIGITS))
     order = [c for c in DRAW_ORDER if c in s.columns]
-    by_hour = Window.partitionBy("date_hour").orderBy(*order)
-    ranked = s.withColumn("pick", F.row_number().over(by_hour)).where(F.col("pick") <= F.lit(int(per_day)))
-    # slots taken by earlier rows of the hour (<= per_day rows per hour remain)
-    earlier = F.sum("weight").over(
-        Window.partitionBy("date_hour").orderBy("pick").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = ranked.withColumn("earlier", F.coalesce(earlier, F.lit(0)).cast("bigint"))
-    q = hour_quotas(profile, per_day).select("date_hour", "quota")
-    j = ranked.join(q, "date_hour", "inner")
+    key = ["date_hour"], ["bucket"]
+    quotas = hour_quotas(profile, per_day).select("date_hour", "quota")
+    offsets = bucket_offsets(s, *key, F.col("weight")).join(quotas, "date_hour").where(F.col("weight_before") < F.col("quota"))
+    ranked = rank_in_buckets(s, offsets, *key, order).withColumnRenamed("rank", "pick")
+    # slots taken by earlier rows of the bucket and by earlier buckets
+    rows = Window.partitionBy("date_hour", "bucket").orderBy("pick").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.col("weight_before") + F.coalesce(F.sum("weight").over(rows), F.lit(0))
+    j = ranked.withColumn("earlier", earlier.cast("bigint"))
     copies = F.least(F.col("weight"), F.col("quota") - F.col("earlier"))
     j = j.withColumn("copies", copies).where(F.col("copies") > 0)
     return j.select(
@@ -108,6 +111,7 @@ def random_extract(
     seed: str = "0",
     taskid: int | None = None,
     kept: list[DataFrame] | None = None,
+    measure: bool = True,
 ) -> DataFrame:
     """Drawn sessions with their distinct searched keywords and clicked
     categories (sorted, comma-joined), as the ``session_random_extract`` table.
@@ -119,7 +123,9 @@ def random_extract(
     visit log is not shuffled; the lists are built only for the drawn
     sessions, from sets bounded by the distinct values.
     """
-    drawn, _ = broadcast_if_small(extract_sessions(profile, per_day, seed), kept)
+    drawn = extract_sessions(profile, per_day, seed)
+    if measure:
+        drawn, _ = broadcast_if_small(drawn, kept)
     acts = visits.select("session_id", "user_id", "search_keyword", "click_category_id")
     j = acts.join(drawn, ["session_id", "user_id"], "inner")
     out = j.groupBy("session_id", "user_id", "start_time", "pick", "copy").agg(
@@ -144,6 +150,7 @@ def random_extract_from_parts(
     seed: str = "0",
     taskid: int | None = None,
     kept: list[DataFrame] | None = None,
+    measure: bool = True,
 ) -> DataFrame:
     """``random_extract`` with the lists taken from the task's cached aggregate
     (``sessions.kinds_part`` / ``keywords_part``) instead of the visit log.
@@ -153,7 +160,9 @@ def random_extract_from_parts(
     set meets those (cached) tables map-side, so the task reads the visit log
     once less.
     """
-    drawn, _ = broadcast_if_small(extract_sessions(profile, per_day, seed), kept)
+    drawn = extract_sessions(profile, per_day, seed)
+    if measure:
+        drawn, _ = broadcast_if_small(drawn, kept)
     values = keywords.select("session_id", "user_id", "keyword", F.lit(None).cast("bigint").alias("category_id"))
     values = values.unionByName(
         kinds.where(F.col("click_n") > 0).select(

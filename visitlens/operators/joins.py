@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-ROW_OVERHEAD = 32  # bytes per row in a hashed broadcast relation, roughly
+ROW_OVERHEAD, COLUMN_OVERHEAD = 32, 16  # bytes per row and column in a hashed broadcast relation, roughly
 
 
 def parse_bytes(text: str) -> int:
@@ -39,10 +39,10 @@ def broadcast_threshold(df: DataFrame) -> int:
 
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
     """``(rows, approximate bytes)`` of ``df`` from one aggregate."""
-    widths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(widths, F.lit(0))).alias("w")).first()
     rows = int(row["n"] or 0)
-    return rows, int(row["w"] or 0) + rows * ROW_OVERHEAD
+    return rows, int(row["w"] or 0) + rows * (ROW_OVERHEAD + COLUMN_OVERHEAD * len(df.columns))
 
 
 def broadcast_if_small(

@@ -12,6 +12,7 @@ partial aggregate, so a session with billions of actions costs nothing extra.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -84,7 +85,7 @@ def category_action_test(params: TaskParams) -> Column | None:
     if params.category_mode == "substring":
         text = cat.cast("string")
         return reduce(lambda a, b: a | b, [F.instr(text, F.lit(i)) > 0 for i in ids])
-    nums = [int(i) for i in ids if i.lstrip("-").isdigit()]
+    nums = [int(i) for i in ids if re.fullmatch(r"-?[0-9]+", i)]
     return cat.isin(nums) if nums else F.lit(False)
 
 

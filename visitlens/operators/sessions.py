@@ -18,12 +18,12 @@ from visitlens.functions.dates import seconds_between
 from visitlens.operators import topn
 from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.predicates import session_hit_aggregates
+from visitlens.operators.users import user_variants
 from visitlens.params import TaskParams
 
 ROLLUP_COLUMNS = ["session_id", "user_id", "start_time", "end_time", "visit_length", "step_length"]
 PROFILE_COLUMNS = ["session_id", "user_id", "start_time", "visit_length", "step_length",
                    "age", "professional", "city", "sex", "weight"]
-USER_ATTRS = ["userid", "age", "professional", "city", "sex"]
 
 
 def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataFrame:
@@ -53,19 +53,12 @@ def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataF
     )
 
 
-def user_variants(users: DataFrame) -> DataFrame:
-    """Users pre-aggregated to distinct ``(userid, age, professional, city, sex)``
-    rows with ``weight`` = how many identical user rows each stands for.
-
-    A userid listed many times would otherwise multiply every one of its
-    sessions in the join; the weight carries the multiplicity instead, and
-    every consumer sums weights where the reference counts joined rows.
-    """
-    return users.groupBy(*USER_ATTRS).agg(F.count(F.lit(1)).alias("weight"))
-
-
 def session_profile(
-    sessions: DataFrame, users: DataFrame, kept: list[DataFrame] | None = None, measure_users: bool = False
+    sessions: DataFrame,
+    users: DataFrame,
+    kept: list[DataFrame] | None = None,
+    measure_users: bool = False,
+    variants: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join of sessions to users on ``user_id = userid``.
 
@@ -79,11 +72,13 @@ def session_profile(
     measures the user side first and hints the broadcast from that: one small
     extra job, worth it where the profile is persisted and reused (run_task),
     because on small inputs Catalyst may instead broadcast the session side
-    and squeeze the join into the user side's few partitions.
+    and squeeze the join into the user side's few partitions.  ``variants``
+    gives ``user_variants(users)`` where the caller already has it.
     """
-    variants = user_variants(users)
-    if measure_users:
-        variants, _ = broadcast_if_small(variants, kept)
+    if variants is None:
+        variants = user_variants(users)
+        if measure_users:
+            variants, _ = broadcast_if_small(variants, kept)
     j = sessions.join(variants, sessions["user_id"] == variants["userid"], "inner")
     extra = [c for c in sessions.columns if c not in ROLLUP_COLUMNS]
     return j.select(*[sessions[c] for c in PROFILE_COLUMNS[:5]], "age", "professional", "city", "sex",
@@ -112,6 +107,23 @@ def session_value_lists(visits: DataFrame) -> DataFrame:
     )
 
 
+def session_values(visits: DataFrame, split_ids: bool = False) -> DataFrame:
+    """``session_id, user_id, kind, value, n``: every searched keyword and clicked /
+    ordered / paid category field of a session with how often it occurs.
+
+    This is the reference's four concatenated lists in long form: repeats are
+    kept as counts, nothing is dropped, and no row grows with the session.
+    """
+    items = F.concat(
+        F.array(F.struct(F.lit("search").alias("kind"), F.col("search_keyword").alias("token"))),
+        topn._token_structs("click", F.col("click_category_id").cast("string"), False),
+        topn._token_structs("order", F.col("order_category_ids"), split_ids),
+        topn._token_structs("pay", F.col("pay_category_ids"), split_ids),
+    )
+    long = visits.select("session_id", "user_id", F.inline(F.filter(items, lambda s: s["token"].isNotNull())))
+    return long.groupBy("session_id", "user_id", "kind", F.col("token").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_ids: bool = False) -> DataFrame:
     """The session rollup, the session x category counts and the session's
     searched keywords from one scan and one (partially aggregated) shuffle.

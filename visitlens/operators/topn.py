@@ -15,23 +15,29 @@ Plan shape (scope "all"):
 Top sessions:
   actions -> agg on (session, user, category) -> join weights
           -> agg on (session, category)
-          -> row_number per category with WindowGroupLimit (partial top-10
-             *before* the exchange, so a hot category ships at most 10 rows
-             per map task).
-Detail export: the distinct top-session ids (<= 10 x categories rows) are
+          -> exact rank in buckets of equal clicks (``operators.ranking``): only
+             buckets within the first N rows of a category are ranked.
+User weights keep one row per distinct user variant, so the join with them has
+exchanges on both sides and a hot user can be split.
+Detail export: the distinct top-session ids (<= N x categories rows) are
 measured and broadcast, so the visit log is probed map-side, not shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import format_time
 from visitlens.operators.joins import broadcast_if_small
+from visitlens.operators.ranking import bucket_offsets, rank_in_buckets
+from visitlens.operators.users import user_variants
 
 KINDS = ("click", "order", "pay")
 MISSING_TOKENS = ("", "null")
+_FIELDS = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
+# Characters of the session id that cut a bucket of equal click counts further.
+TIE_PREFIX = 3
 
 
 def _token_structs(kind: str, column: Column, split: bool) -> Column:
@@ -42,18 +48,27 @@ def _token_structs(kind: str, column: Column, split: bool) -> Column:
     return F.array(F.struct(F.lit(kind).alias("kind"), column.alias("token")))
 
 
-def category_actions(visits: DataFrame, split_ids: bool = False) -> DataFrame:
+def category_actions(visits: DataFrame, split_ids: bool = False, kind: str | None = None) -> DataFrame:
     """Long form: ``session_id, user_id, kind, category_id`` per categorised action.
 
+    With ``kind`` only that kind's field is read, and rows without it are
+    filtered at the scan.
+
     Click ids are one number; order/pay id fields are one token each unless
     ``split_ids`` splits them on commas.  NULL, ``""`` and ``"null"`` tokens
     are missing; tokens that are not integers are dropped.
     """
-    items = F.concat(
-        _token_structs("click", F.col("click_category_id").cast("string"), False),
-        _token_structs("order", F.col("order_category_ids"), split_ids),
-        _token_structs("pay", F.col("pay_category_ids"), split_ids),
-    )
+    wanted = KINDS if kind is None else (kind,)
+    if kind is not None:
+        visits = visits.where(F.col(_FIELDS[kind]).isNotNull())
+    if kind is not None and (kind == "click" or not split_ids):
+        field = F.col(_FIELDS[kind])
+        number = field.cast("bigint") if kind == "click" else F.when(~field.isin(*MISSING_TOKENS), field.try_cast("bigint"))
+        long = visits.select("session_id", "user_id", F.lit(kind).alias("kind"), number.alias("category_id"))
+        return long.where(F.col("category_id").isNotNull())
+    items = F.concat(*[
+        _token_structs(k, F.col(_FIELDS[k]).cast("string"), split_ids and k != "click") for k in wanted
+    ])
     kept = F.filter(items, lambda s: s["token"].isNotNull() & ~s["token"].isin(*MISSING_TOKENS))
     long = visits.select("session_id", "user_id", F.inline(kept))
     return long.select(
@@ -61,14 +76,20 @@ def category_actions(visits: DataFrame, split_ids: bool = False) -> DataFrame:
     ).where(F.col("category_id").isNotNull())
 
 
-def user_weights(users: DataFrame, kept: list[DataFrame] | None = None, measure: bool = False) -> DataFrame:
-    """``user_id, weight``: profile rows each user id yields in the inner join.
+def user_weights(
+    users: DataFrame | None, kept: list[DataFrame] | None = None, measure: bool = False, variants: DataFrame | None = None
+) -> DataFrame:
+    """``user_id, weight``: profile rows each user id yields in the inner join, one row
+    per distinct user variant (the weights of an id add up).
 
     With ``measure`` the table is measured and broadcast when under the
     threshold (see ``session_profile``); otherwise Catalyst/AQE choose.
     """
-    w = users.groupBy(F.col("userid").alias("user_id")).agg(F.count(F.lit(1)).alias("weight"))
-    return broadcast_if_small(w, kept)[0] if measure else w
+    if variants is None:
+        variants = user_variants(users)
+        if measure:
+            variants, _ = broadcast_if_small(variants, kept)
+    return variants.select(F.col("userid").alias("user_id"), "weight")
 
 
 def session_weights(profile: DataFrame) -> DataFrame:
@@ -163,8 +184,13 @@ def session_category_clicks(actions: DataFrame, weights: DataFrame) -> DataFrame
 
 def top_sessions_per_category(clicks: DataFrame, n: int = 10, taskid: int | None = None) -> DataFrame:
     """Top ``n`` sessions of *every* category by clicks (desc), ties by session id."""
-    w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-    ranked = clicks.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    buckets = ["_clicks", "_prefix"]
+    clicks = clicks.where(F.col("category_id").isNotNull()).withColumns({
+        "_clicks": -F.col("click_count"),
+        "_prefix": F.coalesce(F.substring("session_id", 1, TIE_PREFIX), F.lit("")),
+    })
+    offsets = bucket_offsets(clicks, ["category_id"], buckets).where(F.col("rows_before") < F.lit(int(n)))
+    ranked = rank_in_buckets(clicks, offsets, ["category_id"], buckets, ["session_id"]).where(F.col("rank") <= F.lit(int(n)))
     cols = [F.lit(int(taskid)).cast("bigint").alias("taskid")] if taskid is not None else []
     return ranked.select(
         *cols,
@@ -198,23 +224,39 @@ def _detail_columns(taskid: int | None) -> list[Column]:
 
 
 def session_detail(
-    visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None, kept: list[DataFrame] | None = None
+    visits: DataFrame,
+    top_sessions: DataFrame,
+    taskid: int | None = None,
+    kept: list[DataFrame] | None = None,
+    measure: bool = True,
 ) -> DataFrame:
     """Every action of the top sessions (left-semi join on session id, no dedupe).
 
     The id set is at most ``n`` x categories rows.  It is materialised and
     measured first; when under the broadcast threshold the visit log is
-    probed map-side and never shuffled, otherwise a sort-merge semi join
-    with AQE skew splitting of hot sessions runs.
+    probed map-side and never shuffled.  Beyond it the top sessions join as
+    they are (a semi join needs no distinct ids), with an exchange on both
+    sides, so AQE can split a hot session.  Without ``measure`` nothing runs
+    or is kept here, and AQE chooses the join.
     """
-    ids, _ = broadcast_if_small(top_session_ids(top_sessions), kept)
+    small = False
+    if measure:
+        ids, small = broadcast_if_small(top_session_ids(top_sessions), kept)
+    if not small:
+        ids = top_sessions.select(F.col("sessionid").alias("session_id"))
     return visits.join(ids, "session_id", "left_semi").select(*_detail_columns(taskid))
 
 
 def session_detail_inner(
-    visits: DataFrame, top_sessions: DataFrame, taskid: int | None = None, kept: list[DataFrame] | None = None
+    visits: DataFrame,
+    top_sessions: DataFrame,
+    taskid: int | None = None,
+    kept: list[DataFrame] | None = None,
+    measure: bool = True,
 ) -> DataFrame:
     """Inner-join variant: an action repeats once per category its session tops."""
-    keys, _ = broadcast_if_small(top_sessions.select(F.col("sessionid").alias("session_id"), "categoryid"), kept)
+    keys = top_sessions.select(F.col("sessionid").alias("session_id"), "categoryid")
+    if measure:
+        keys, _ = broadcast_if_small(keys, kept)
     j = visits.join(keys, "session_id", "inner")
     return j.select(*_detail_columns(taskid), "categoryid")

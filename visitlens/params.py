@@ -8,7 +8,7 @@ holds, as the reference reads it; list-valued keys are comma-separated text.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from visitlens.schema import TASK_PARAM_KEYS
@@ -131,6 +131,3 @@ class TaskParams:
             return None if is_empty(v) else int(v.strip())
 
         return num(self.start_age), num(self.end_age)
-
-    def as_dict(self) -> dict[str, Any]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}

@@ -26,9 +26,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.operators import extract, predicates, sessions, stats, topn
+from visitlens.operators.joins import broadcast_if_small
+from visitlens.operators.users import user_variants
 from visitlens.params import TaskParams
 from visitlens.session import checkpoint_dir
-from visitlens.sinks.writers import write_result
+from visitlens.sinks.writers import clear_result, write_result
 
 
 class TaskResults:
@@ -89,50 +91,58 @@ def build_task(
     taskid: int,
     checkpoint: bool = False,
     require_sessions: bool = False,
+    kept: list[DataFrame] | None = None,
+    reuse: bool = True,
 ) -> tuple[TaskResults, list[DataFrame]]:
     """Result tables of one task plus the intermediates kept for reuse.
 
     With ``require_sessions`` the one-row stat is computed first and a task
     that matches no session is refused (ValueError) before any other work;
-    the stat table is then that computed row.
+    the stat table is then that computed row.  Intermediates are added to
+    ``kept`` as they are made, so a caller can release them after a failure.
+    Without ``reuse`` nothing is kept and nothing runs: one result is to be
+    read, and Catalyst prunes what it does not need.
     """
-    kept: list[DataFrame] = []
+    kept = [] if kept is None else kept
+
+    def keep(df: DataFrame) -> DataFrame:
+        if reuse:
+            df = _keep(df, checkpoint)
+            kept.append(df)
+        return df
+
     dated = predicates.date_range(visits, params.start_date, params.end_date)
     # one scan + one shuffle of the visit log for both the rollup and the
     # session x category counts (persisted, split by category_id NULL / not)
-    combined = _keep(sessions.rollup_and_kinds(dated, params, params.split_ids), checkpoint)
-    kept.append(combined)
+    combined = keep(sessions.rollup_and_kinds(dated, params, params.split_ids))
     rolled = sessions.rollup_part(combined)
-    profile = _keep(sessions.session_profile(rolled, users, kept, measure_users=True), checkpoint)
+    variants = user_variants(users)
+    if reuse:
+        variants, _ = broadcast_if_small(variants, kept)  # aggregated and measured once
+    profile = keep(sessions.session_profile(rolled, users, variants=variants))
     filtered = predicates.filter_sessions(profile, params)
     stat = stats.session_aggr_stat(filtered, taskid)
     if require_sessions:
         row = stat.first()  # the one-row result of a global aggregate
         if row is None or not row["session_count"]:
-            for df in [profile, *kept]:
-                df.unpersist()
             raise ValueError(f"task {taskid}: no session matches the task parameters")
         stat = stat.sparkSession.createDataFrame([row], stat.schema)
 
     if params.top_scope == "filtered":
         weights = topn.session_weights(filtered)
     else:
-        weights = topn.user_weights(users, kept, measure=True)
+        weights = topn.user_weights(None, variants=variants)
     kinds = sessions.kinds_part(combined)
     top_cat = topn.top_categories(topn.category_counts_from(kinds, weights), params.top_n, taskid)
-    top_sess = _keep(
-        topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid),
-        checkpoint,
-    )
-    kept += [profile, top_sess]
+    top_sess = keep(topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid))
     detail_src = dated if params.restrict_dates else visits
 
     def detail() -> DataFrame:
-        return topn.session_detail(detail_src, top_sess, taskid, kept)
+        return topn.session_detail(detail_src, top_sess, taskid, kept, measure=reuse)
 
     def sample() -> DataFrame:
         return extract.random_extract_from_parts(
-            profile, kinds, sessions.keywords_part(combined), params.extract_per_day, params.extract_seed, taskid, kept
+            profile, kinds, sessions.keywords_part(combined), params.extract_per_day, params.extract_seed, taskid, kept, reuse
         )
 
     return TaskResults(stat, top_cat, top_sess, detail, sample if params.extract_per_day > 0 else None), kept
@@ -168,9 +178,13 @@ def run_task(
 
     Raises ValueError when no session passes the filters (nothing is written).
     """
-    results, kept = build_task(visits, users, params, taskid, checkpoint, require_sessions=True)
+    kept: list[DataFrame] = []
     try:
-        return write_all(results.tables(), lambda name, df: write_result(df, out_dir, name))
+        results, _ = build_task(visits, users, params, taskid, checkpoint, require_sessions=True, kept=kept)
+        paths = write_all(results.tables(), lambda name, df: write_result(df, out_dir, name, taskid))
+        if "session_random_extract" not in paths:  # extraction is off: no rows of an earlier run stay
+            clear_result(spark, out_dir, "session_random_extract", taskid)
+        return paths
     finally:
         for df in kept:
             if df.is_cached:

@@ -2,23 +2,51 @@
 
 Written independently of the DataFrame code: joins instead of weights,
 EXISTS instead of per-session hit flags, window functions over whole
-tables.  Tables ``events``, ``customer`` and ``nation`` are views the caller
+tables, bucket bounds and the rounding rule written out.  Only names of
+tasks and the parameters a query runs with come from there.  Tables ``events``, ``customer`` and ``nation`` are views the caller
 registers; the fixture views are rebuilt inline as CTEs.
 """
 
 from __future__ import annotations
 
-from visitlens.functions.buckets import in_bucket_sql
-from visitlens.functions.rounding import half_up_ratio_sql
 from visitlens.plans import queries as Q
-from visitlens.schema import STEP_BUCKETS, VISIT_BUCKETS
+
+# Bucket names and their conditions.
+VISIT_BUCKETS = {
+    "1s_3s": "visit_length IN (1, 2, 3)",
+    "4s_6s": "visit_length IN (4, 5, 6)",
+    "7s_9s": "visit_length IN (7, 8, 9)",
+    "10s_30s": "visit_length >= 10 AND visit_length <= 30",
+    "30s_60s": "visit_length > 30 AND visit_length <= 60",
+    "1m_3m": "visit_length > 60 AND visit_length <= 3 * 60",
+    "3m_10m": "visit_length > 3 * 60 AND visit_length <= 10 * 60",
+    "10m_30m": "visit_length > 10 * 60 AND visit_length <= 30 * 60",
+    "30m": "visit_length > 30 * 60",
+}
+STEP_BUCKETS = {
+    "1_3": "step_length IN (1, 2, 3)",
+    "4_6": "step_length IN (4, 5, 6)",
+    "7_9": "step_length IN (7, 8, 9)",
+    "10_30": "step_length >= 10 AND step_length <= 30",
+    "30_60": "step_length > 30 AND step_length <= 60",
+    "60": "step_length > 60",
+}
+
+
+def _ratio(n: str, d: str) -> str:
+    """Half up to two decimals on the exact binary value of the double quotient: the quotient
+    scaled by 2**60 is an integer, so ties and remainders are compared without rounding."""
+    scaled = f"CAST(({n}::DOUBLE / nullif({d}, 0)::DOUBLE) * 1152921504606846976 AS HUGEINT)"
+    return f"CAST(({scaled} * 200 + 1152921504606846976) // 2305843009213693952 AS DOUBLE) / 100.0"
+
 
 START, END = Q.RANGE
 TIME_FMT = "%Y-%m-%d %H:%M:%S"
 
 
-def _uva(grain: str = "day", divisor: int = 1, dated: bool = True, start: str = START, end: str = END,
+def _uva(grain: str = "day", divisor: int = 1, dated: bool = False, start: str = START, end: str = END,
          name: str = "uva") -> str:
+    dated = dated or (start, end) != (START, END)
     sess_fmt = {"day": "%Y-%m-%d", "month": "%Y-%m"}[grain]
     t = "ts" if divisor == 1 else (
         f"(date_trunc('day', ts) + to_seconds((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) // {divisor}))"
@@ -78,7 +106,7 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _base(grain: str = "day", divisor: int = 1, dated: bool = True) -> list[str]:
+def _base(grain: str = "day", divisor: int = 1, dated: bool = False) -> list[str]:
     return [_uva(grain, divisor, dated), UI, SESS, PROF]
 
 
@@ -106,27 +134,22 @@ def _filtered(where: str) -> str:
 
 def _counts_cte(where: str = "TRUE", name: str = "cnt") -> str:
     cols = ["count(*) AS session_count"]
-    cols += [f"CAST(coalesce(count_if({in_bucket_sql('visit_length', lo, hi)}), 0) AS BIGINT) AS visit_length_{n}"
-             for n, lo, hi in VISIT_BUCKETS]
-    cols += [f"CAST(coalesce(count_if({in_bucket_sql('step_length', lo, hi)}), 0) AS BIGINT) AS step_length_{n}"
-             for n, lo, hi in STEP_BUCKETS]
+    cols += [f"count(*) FILTER ({c}) AS visit_length_{n}" for n, c in VISIT_BUCKETS.items()]
+    cols += [f"count(*) FILTER ({c}) AS step_length_{n}" for n, c in STEP_BUCKETS.items()]
     return f"{name} AS (SELECT {', '.join(cols)} FROM prof p WHERE {where})"
 
 
 def _stat(where: str, **base) -> str:
-    ratios = [f"{half_up_ratio_sql('visit_length_' + n, 'session_count')} AS visit_length_{n}_ratio"
-              for n, _, _ in VISIT_BUCKETS]
-    ratios += [f"{half_up_ratio_sql('step_length_' + n, 'session_count')} AS step_length_{n}_ratio"
-               for n, _, _ in STEP_BUCKETS]
-    return (_with(*_base(**base), _counts_cte(where))
+    names = [f"visit_length_{n}" for n in VISIT_BUCKETS] + [f"step_length_{n}" for n in STEP_BUCKETS]
+    ratios = [f"{_ratio(n, 'session_count')} AS {n}_ratio" for n in names]
+    return (_with(*_base(**{"dated": True, **base}), _counts_cte(where))
             + f"SELECT CAST({Q.TASK_ID} AS BIGINT) AS taskid, session_count, {', '.join(ratios)} FROM cnt")
 
 
-def _histogram(column: str, buckets, **base) -> str:
+def _histogram(buckets: dict, **base) -> str:
     parts = [
-        f"SELECT CAST({i} AS INTEGER) AS bucket_no, '{n}' AS bucket, "
-        f"CAST(coalesce(count_if({in_bucket_sql(column, lo, hi)}), 0) AS BIGINT) AS session_count FROM prof"
-        for i, (n, lo, hi) in enumerate(buckets, 1)
+        f"SELECT CAST({i} AS INTEGER) AS bucket_no, '{n}' AS bucket, count(*) FILTER ({c}) AS session_count FROM prof"
+        for i, (n, c) in enumerate(buckets.items(), 1)
     ]
     return _with(*_base(**base)) + "\nUNION ALL\n".join(parts)
 
@@ -146,11 +169,16 @@ ACTS = """acts AS (
   SELECT session_id, user_id, 'pay', TRY_CAST(pay_category_ids AS BIGINT) FROM uva
   WHERE TRY_CAST(pay_category_ids AS BIGINT) IS NOT NULL)"""
 
+# Orders of two categories each: the event's own and its product's number.
+ACTS_SPLIT = """acts AS (
+  SELECT session_id, user_id, 'order' AS kind, TRY_CAST(unnest([order_category_ids, order_product_ids]) AS BIGINT) AS category_id
+  FROM uva WHERE order_category_ids IS NOT NULL)"""
+
 ACTS_JOINED = "acts a JOIN ui u ON a.user_id = u.userid"
 
 
-def _kind_count(kind: str) -> str:
-    return (_with(_uva(dated=False), UI, ACTS)
+def _kind_count(kind: str, acts: str = ACTS) -> str:
+    return (_with(_uva(dated=False), UI, acts)
             + f"SELECT a.category_id, CAST(count(*) AS BIGINT) AS {kind}_count FROM {ACTS_JOINED} "
               f"WHERE a.kind = '{kind}' GROUP BY a.category_id")
 
@@ -171,10 +199,14 @@ SCC = f"""scc AS (
   SELECT a.session_id, a.category_id, CAST(count(*) AS BIGINT) AS click_count
   FROM {ACTS_JOINED} WHERE a.kind = 'click' GROUP BY a.session_id, a.category_id)"""
 
-TOP_SESS = f"""top AS (
+def _top(n: int) -> str:
+    return f"""top AS (
   SELECT CAST({Q.TASK_ID} AS BIGINT) AS taskid, category_id AS categoryid, session_id AS sessionid, click_count,
          CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS INTEGER) AS rank
-  FROM scc QUALIFY rank <= 10)"""
+  FROM scc QUALIFY rank <= {n})"""
+
+
+TOP_SESS = _top(10)
 
 DETAIL_COLS = f"""CAST({Q.TASK_ID} AS BIGINT) AS taskid, v.user_id AS userid, v.session_id AS sessionid, v.page_id AS pageid,
   strftime(v.action_time, '{TIME_FMT}') AS action_time, v.search_keyword,
@@ -251,7 +283,7 @@ FILTER_ALL = (
 )
 
 SQL: dict[str, str] = {
-    "visit_scan": _with(_uva())
+    "visit_scan": _with(_uva(dated=True))
     + f"""SELECT datestr, session_id, user_id, strftime(action_time, '{TIME_FMT}') AS action_time,
        search_keyword, click_category_id, order_category_ids, pay_category_ids FROM uva""",
     "user_scan": _with(UI) + "SELECT userid, age, professional, city, sex FROM ui",
@@ -268,6 +300,12 @@ SQL: dict[str, str] = {
        coalesce(array_to_string(list_sort(list_distinct(list(order_category_ids))), ','), '') AS order_category_ids,
        coalesce(array_to_string(list_sort(list_distinct(list(pay_category_ids))), ','), '') AS pay_category_ids
 FROM uva GROUP BY session_id, user_id""",
+    "session_values": _with(_uva())
+    + """SELECT session_id, user_id, kind, value, count(*) AS n FROM (
+  SELECT session_id, user_id, 'search' AS kind, search_keyword AS value FROM uva
+  UNION ALL SELECT session_id, user_id, 'click', CAST(click_category_id AS VARCHAR) FROM uva
+  UNION ALL SELECT session_id, user_id, 'order', order_category_ids FROM uva
+  UNION ALL SELECT session_id, user_id, 'pay', pay_category_ids FROM uva) WHERE value IS NOT NULL GROUP BY ALL""",
     "filter_age": _filtered("p.age BETWEEN 20 AND 40"),
     "filter_age_open": _filtered("p.age >= 50"),
     "filter_professional": _filtered(f"p.professional IN ({_in_list(Q.PROFESSIONALS)})"),
@@ -279,16 +317,24 @@ FROM uva GROUP BY session_id, user_id""",
     "filter_keywords_substring": _filtered(_exists_action("strpos(a.search_keyword, 'w1') > 0")),
     "filter_categories_substring": _filtered(_exists_action("strpos(CAST(a.click_category_id AS VARCHAR), '7') > 0")),
     "filter_all": _filtered(FILTER_ALL),
+    "filter_keywords_ignore": _filtered("TRUE"),
+    "filter_categories_ignore": _filtered("TRUE"),
+    "filter_professional_substring": _filtered("strpos('AUTOMOBILE,BUILDING', p.professional) > 0"),
     "kv_between": _kv(KV_BETWEEN),
+    "kv_between_no_param": _kv("TRUE"),
+    "kv_in_no_field": _with(*_base())
+    + """SELECT session_id, user_id, concat_ws('|', 'age=' || age, 'professional=' || professional, 'city=' || city, 'sex=' || sex) AS info,
+       count(*) AS weight FROM prof WHERE city IN ('NATION_10', 'NATION_2') AND right(city, 1) NOT IN ('0', '1') GROUP BY ALL""",
     "kv_in": _kv(KV_IN),
     "kv_equal": _kv(KV_EQUAL),
     "category_click_counts": _kind_count("click"),
     "category_order_counts": _kind_count("order"),
     "category_pay_counts": _kind_count("pay"),
+    "category_order_counts_split": _kind_count("order", ACTS_SPLIT),
     "session_category_clicks": _with(_uva(dated=False), UI, ACTS, SCC) + "SELECT session_id, category_id, click_count FROM scc",
-    "visit_length_histogram": _histogram("visit_length", VISIT_BUCKETS, divisor=Q.TIME_DIVISOR, dated=False),
-    "step_length_histogram": _histogram("step_length", STEP_BUCKETS, grain="month", dated=False),
-    "session_bucket_counts": _with(*_base(), _counts_cte(STAT_WHERE)) + "SELECT * FROM cnt",
+    "visit_length_histogram": _histogram(VISIT_BUCKETS, divisor=Q.TIME_DIVISOR),
+    "step_length_histogram": _histogram(STEP_BUCKETS, grain="month"),
+    "session_bucket_counts": _with(*_base(dated=True), _counts_cte(STAT_WHERE)) + "SELECT * FROM cnt",
     "session_aggr_stat": _stat(STAT_WHERE),
     "session_aggr_stat_substring": _stat(STAT_WHERE_SUBSTRING),
     "session_aggr_stat_all": _stat("TRUE", divisor=Q.TIME_DIVISOR, dated=False),
@@ -298,12 +344,13 @@ FROM uva GROUP BY session_id, user_id""",
         [SESS, PROF, "fprof AS (SELECT session_id, user_id FROM prof WHERE age BETWEEN 20 AND 40 AND sex = 'male')"],
     ),
     "top10_session": _with(_uva(dated=False), UI, ACTS, SCC, TOP_SESS) + "SELECT * FROM top",
+    "top_sessions_large": _with(_uva(), UI, ACTS, SCC, _top(5000)) + "SELECT * FROM top",
     "top_session_ids": _with(_uva(dated=False), UI, ACTS, SCC, TOP_SESS) + "SELECT DISTINCT sessionid AS session_id FROM top",
     "session_detail": _with(_uva(dated=False), UI, ACTS, SCC, TOP_SESS)
     + f"SELECT {DETAIL_COLS} FROM uva v WHERE v.session_id IN (SELECT sessionid FROM top)",
     "session_detail_inner": _with(_uva(dated=False), UI, ACTS, SCC, TOP_SESS)
     + f"SELECT {DETAIL_COLS}, t.categoryid FROM uva v JOIN top t ON v.session_id = t.sessionid",
-    "session_detail_in_range": _with(_uva(), UI, ACTS, SCC, TOP_SESS)
+    "session_detail_in_range": _with(_uva(dated=True), UI, ACTS, SCC, TOP_SESS)
     + f"SELECT {DETAIL_COLS} FROM uva v WHERE v.session_id IN (SELECT sessionid FROM top)",
     "sessions_per_hour": _with(*_base(dated=False))
     + "SELECT strftime(start_time, '%Y-%m-%d_%H') AS date_hour, count(*) AS session_count FROM prof "
@@ -313,11 +360,12 @@ FROM uva GROUP BY session_id, user_id""",
       "WHERE start_time IS NOT NULL GROUP BY 1",
     "extract_quotas": _with(*_base(dated=False), HOURS) + "SELECT day, date_hour, hour_count, day_count, quota FROM quotas",
     "random_extract": _with(*_base(dated=False), HOURS, DRAWN) + EXTRACT_SELECT,
+    "random_extract_large": _with(*_base(), _hours(5000), DRAWN) + EXTRACT_SELECT,
     # the task job: everything over the date range, except the detail export (all dates)
     "task_session_aggr_stat": _stat(STAT_WHERE),
     "task_top10_category": _top10_category(ACTS_JOINED, [], dated=True),
-    "task_top10_session": _with(_uva(), UI, ACTS, SCC, TOP_SESS) + "SELECT * FROM top",
-    "task_session_detail": _with(_uva(), UI, ACTS, SCC, TOP_SESS, _uva(dated=False, name="uva_all"))
+    "task_top10_session": _with(_uva(dated=True), UI, ACTS, SCC, TOP_SESS) + "SELECT * FROM top",
+    "task_session_detail": _with(_uva(dated=True), UI, ACTS, SCC, TOP_SESS, _uva(dated=False, name="uva_all"))
     + f"SELECT {DETAIL_COLS} FROM uva_all v WHERE v.session_id IN (SELECT sessionid FROM top)",
-    "task_random_extract": _with(*_base(), HOURS, DRAWN) + EXTRACT_SELECT,
+    "task_random_extract": _with(*_base(dated=True), HOURS, DRAWN) + EXTRACT_SELECT,
 }

@@ -148,6 +148,3 @@ RESULT_TABLES = {
     "session_detail": SESSION_DETAIL,
     "session_random_extract": SESSION_RANDOM_EXTRACT,
 }
-
-# Text form of a timestamp in every result table.
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"

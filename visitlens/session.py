@@ -65,8 +65,9 @@ def apply_job_conf(spark: SparkSession, scale: bool = False) -> None:
         spark.conf.set(k, v)
     if scale:
         configured = spark.sparkContext.getConf()
+        default = spark.newSession().conf  # what holds without settings of this session
         for k, v in SCALE_CONF.items():
-            if not configured.contains(k):
+            if not configured.contains(k) and spark.conf.get(k, None) == default.get(k, None):
                 spark.conf.set(k, v)
 
 

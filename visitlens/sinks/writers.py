@@ -1,15 +1,15 @@
 """Result sinks.
 
-Results are written partitioned by ``taskid`` with dynamic partition
-overwrite, so re-running a task replaces its rows instead of appending a
-second copy (the reference appends).  Each executor writes its own files;
+A task's results go to its own ``taskid=<id>`` folder of each table, which is
+overwritten, so re-running a task replaces its rows, with fewer or none too,
+instead of appending a second copy (the reference appends).  Each executor writes its own files;
 nothing passes through the driver.  A JDBC writer is provided for
 relational targets: Spark batches inserts per partition (``batchsize``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.schema import RESULT_TABLES
@@ -24,20 +24,22 @@ def conform_result(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_result(df: DataFrame, base_path: str, table: str, fmt: str = "parquet") -> str:
-    """Write ``df`` as ``<base_path>/<table>/taskid=<id>/``, replacing that task's rows."""
+def write_result(df: DataFrame, base_path: str, table: str, taskid: int, fmt: str = "parquet") -> str:
+    """Write ``df`` as ``<base_path>/<table>/taskid=<id>/``, replacing that task's rows.
+
+    The task's folder itself is overwritten, so an empty result replaces the
+    old rows too; other tasks' folders are never touched.
+    """
     path = f"{base_path.rstrip('/')}/{table}"
-    (
-        conform_result(df, table)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")  # replace only this task's partition
-        .partitionBy("taskid")
-        .format(fmt)
-        .save(path)
-    )
+    conform_result(df, table).drop("taskid").write.mode("overwrite").format(fmt).save(f"{path}/taskid={int(taskid)}")
     return path
 
 
+def clear_result(spark: SparkSession, base_path: str, table: str, taskid: int, fmt: str = "parquet") -> str:
+    """Leave no rows of the task in a result table."""
+    return write_result(spark.createDataFrame([], RESULT_TABLES[table]), base_path, table, taskid, fmt)
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

@@ -27,17 +27,20 @@ def task_by_id(tasks: DataFrame, taskid: int) -> DataFrame:
     return tasks.where(F.col("taskid") == F.lit(int(taskid)).cast("bigint"))
 
 
-def decode_params(tasks: DataFrame) -> DataFrame:
-    """One text column per JSON key (``get_json_object``: arrays stay JSON text)."""
+def decode_params(tasks: DataFrame, *kept: str) -> DataFrame:
+    """``taskid``, the ``kept`` columns and one text column per JSON key
+    (``get_json_object``: arrays stay JSON text)."""
     cols = [F.get_json_object("task_param", f"$.{key}").alias(attr) for key, attr in JSON_KEYS.items()]
-    return tasks.select("taskid", *cols)
+    return tasks.select("taskid", *kept, *cols)
 
 
 def load_params(tasks: DataFrame, taskid: int, **options: Any) -> TaskParams:
-    """Parameters of one task as a driver-side object (one row is fetched)."""
-    row = task_by_id(tasks, taskid).select("task_param").limit(1).collect()
+    """Parameters of one task as a driver-side object; its key must be unique."""
+    row = task_by_id(tasks, taskid).select("task_param").limit(2).collect()
     if not row:
         raise KeyError(f"no task with taskid={taskid}")
+    if len(row) > 1:
+        raise ValueError(f"several tasks with taskid={taskid}")
     return TaskParams.from_json(row[0]["task_param"], **options)
 
 

@@ -55,22 +55,9 @@ def read_visit_text(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(VISIT_ACTION_TEXT)
         .option("sep", FIELD_SEP)
         .option("nullValue", NULL_TEXT)
+        .option("quote", "")  # the format has no quotes; a leading " is data
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
     return conform(raw)
 
-
-def scan_visits(
-    visits: DataFrame,
-    start_date: str | None = None,
-    end_date: str | None = None,
-    columns: list[str] | None = None,
-) -> DataFrame:
-    """Date range (inclusive, on ``datestr``) + projection.  An absent bound is open."""
-    out = visits
-    if start_date:
-        out = out.where(F.col("datestr") >= F.lit(start_date))
-    if end_date:
-        out = out.where(F.col("datestr") <= F.lit(end_date))
-    return out.select(*(columns or VISIT_COLUMNS))

@@ -11,6 +11,8 @@ failed query resumes without duplicating files (file sink is exactly-once).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,6 +27,7 @@ def visit_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
         spark.readStream.schema(VISIT_ACTION_TEXT)
         .option("sep", FIELD_SEP)
         .option("nullValue", NULL_TEXT)
+        .option("quote", "")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -43,10 +46,13 @@ def start_ingest(
 
     Progress is kept in ``checkpoint_location``; by default a sub-folder of the
     session's ``spark.checkpoint.dir`` (the cluster's shared folder), never a
-    machine-local one; without either the call fails.
+    machine-local one; without either the call fails.  The default folder is
+    named after the query and the table, so the same source can feed several
+    tables.
     """
     if checkpoint_location is None:
-        checkpoint_location = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
+        table = hashlib.sha256(table_path.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint_location = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}-{table}"
     writer = (
         stream.writeStream.format("parquet")
         .option("path", table_path)
