@@ -1,0 +1,47 @@
+import random
+
+import pytest
+
+from visitlens.llm.tables import ship_code
+
+VOCABULARY = [f"w{i}" for i in range(300)]
+
+
+@pytest.fixture
+def documents(spark):
+    """A function from ``{doc_id: text}`` to a documents table with clashing extra columns."""
+    ship_code(spark)
+
+    def make(texts: dict, lang=None, source=None, order=None):
+        rows = [
+            (d, t, (lang or {}).get(d, "en"), (source or {}).get(d, "s1"), len(t or ""), 7, "x", -1)
+            for d, t in (order or list(texts.items()))
+        ]
+        schema = "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept string, component_id int"
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+@pytest.fixture
+def corpus():
+    """Families of near copies about the threshold, shared passages, copies, ties and blanks."""
+    rng = random.Random(5)
+
+    def prose(n):
+        return [rng.choice(VOCABULARY) for _ in range(n)]
+
+    texts = []
+    base = prose(120)
+    for _ in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = rng.choice(VOCABULARY)
+        texts.append(" ".join(w))
+    passage = prose(70)
+    for _ in range(40):
+        texts.append(" ".join(prose(rng.randint(3, 40)) + passage + prose(rng.randint(0, 60))))
+    texts += ["", " \t\n", None, "one two", "ONE  two", "a b c d e", "A B\nC D E", "x " * 3000, "é日本 " * 60, "q " * 60 + "\x1c z"]
+    texts += texts[:6] + [texts[70]] * 3
+    ids = rng.sample(range(1000), len(texts))
+    return dict(zip(ids, texts))
