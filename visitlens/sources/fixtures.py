@@ -20,30 +20,6 @@ from visitlens.schema import VISIT_COLUMNS
 GRAINS = ("day", "month")
 
 
-def _memo(spark: SparkSession) -> dict:
-    # Per-session memo of the fixture DataFrames (plans only, no data): the
-    # testdata is immutable, so resolving each parquet footer and analysing
-    # each view once per session is enough.
-    memo = getattr(spark, "_visitlens_fixtures", None)
-    if memo is None:
-        memo = {}
-        spark._visitlens_fixtures = memo
-    return memo
-
-
-def _memoised(fn):
-    def wrapper(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-        key = (fn.__name__, sf_dir.rstrip("/"), tuple(sorted(kw.items())))
-        memo = _memo(spark)
-        if key not in memo:
-            memo[key] = fn(spark, sf_dir, **kw)
-        return memo[key]
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -56,7 +32,6 @@ def _scaled_time(ts: Column, divisor: int) -> Column:
     return F.timestamp_add("SECOND", F.floor(sec_of_day / divisor).cast("int"), midnight)
 
 
-@_memoised
 def visit_actions(
     spark: SparkSession,
     sf_dir: str,
@@ -103,12 +78,11 @@ def visit_actions(
     return out.select(*VISIT_COLUMNS)
 
 
-@_memoised
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User profiles from ``customer`` joined to ``nation`` (a fixed 25-row table)."""
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     return j.select(
         F.col("c_custkey").alias("userid"),
         (F.lit(18) + F.col("c_custkey") % 43).cast("int").alias("age"),
@@ -129,7 +103,6 @@ def register_views(spark: SparkSession, sf_dir: str, grain: str = "day") -> list
     return ["user_visit_action", "user_info"]
 
 
-@_memoised
 def task_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task table derived from ``events``: one task per distinct day of data.
 
