@@ -95,7 +95,7 @@ def repetition_shares(text: str | None, top: dict, dup: dict) -> dict[str, float
     out = {}
     for n in top:
         grams = Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
-        most = max((c * sum(map(len, g)) for g, c in grams.items() if c > 1), default=0)
+        most = max((c * sum(map(len, g)) for g, c in grams.items() if c > 2), default=0)
         out[f"top_{n}gram_share"] = min(1.0, most / total)
     for n in dup:
         seen, covered = set(), set()
