@@ -14,10 +14,10 @@ def documents(spark):
 
     def make(texts: dict, lang=None, source=None, order=None):
         rows = [
-            (d, t, (lang or {}).get(d, "en"), (source or {}).get(d, "s1"), len(t or ""), 7, "x", -1)
+            (d, t, (lang or {}).get(d, "en"), (source or {}).get(d, "s1"), len(t or ""), 7, "x", -1, 0.5)
             for d, t in (order or list(texts.items()))
         ]
-        schema = "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept string, component_id int"
+        schema = "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept string, component_id int, label double"
         return spark.createDataFrame(rows, schema)
 
     return make

@@ -9,15 +9,15 @@ from .langid import held_out
 from .tables import only_ids, ship_code, written
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
-    """Documents with a 0/1 ``label``, about ``most`` of them at most, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """Rows of ``docs`` (``doc_id`` and what the classifier reads) with a 0/1 ``label``, about
+    ``most`` of them at most, chosen by a hash of the id.
 
     Held-out ids never train; an id labelled both 0 and 1 counts as not labelled."""
     ship_code(docs.sparkSession)
-    marks = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
+    marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
     marks = marks.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("high")).filter("label = high")
     share = min(1.0, most / max(1, marks.count()))
     chosen = written(marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).drop("high"), "labelled-sample")
-    rows = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
-    return only_ids(rows, chosen.select("doc_id"), "doc_id").join(chosen, "doc_id")
+    return only_ids(docs, chosen.select("doc_id"), "doc_id").join(chosen, "doc_id")

@@ -146,16 +146,16 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*arrays, batch.column(3).slice(lo, hi - lo)], ["doc_id", "columns", "values", "label"])
 
 
-def _inputs(docs: DataFrame, text_col: str, length_col: str | None, *more) -> list:
+def _inputs(docs: DataFrame, text_col: str, length_col: str | None) -> list:
     length = docs[length_col].cast("long") if length_col else F.lit(0).cast("long")
-    return [docs[text_col].alias("text"), length.alias("recorded"), *more]
+    return [docs[text_col].alias("text"), length.alias("recorded")]
 
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", text_col: str = "text", length_col: str | None = "n_chars", sample: int = SAMPLE
 ) -> FactorisationMachine:
-    rows = labelled_sample(docs, labels, label, sample)
-    rows = rows.select(rows["doc_id"].cast("long"), *_inputs(rows, text_col, length_col, rows["label"]))
+    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *_inputs(docs, text_col, length_col))
+    rows = labelled_sample(read, labels, label, sample)
     got = rows.mapInArrow(_examples, "doc_id long, columns binary, values binary, label int").orderBy("doc_id", "columns").toArrow()
     examples = [
         (np.frombuffer(c, np.int32), np.frombuffer(x, np.float32).astype(float), y)

@@ -43,8 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode without one."""
-    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-")
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="visitlens-") if local else None)
+    sc = spark.sparkContext
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    local = sc.master.startswith("local") and not sc.master.startswith("local-")
+    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="visitlens-") if local and not named else None)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:

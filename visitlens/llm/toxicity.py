@@ -156,8 +156,8 @@ def _bags(vocabulary: np.ndarray):
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", sample: int = SAMPLE) -> BagModel:
-    rows = labelled_sample(docs, labels, label, sample)
-    rows = rows.select(rows["doc_id"].cast("long"), rows[text_col].alias("text"), rows["label"])
+    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = labelled_sample(read, labels, label, sample)
     all_docs, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     counts = rows.select("text", "label").mapInArrow(_feature_counts, "feature long, docs long, toxic long")
     counts = counts.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic")).filter(F.col("docs") >= MIN_DOCS)
