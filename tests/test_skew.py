@@ -198,3 +198,60 @@ def test_extract_from_parts_equals_extract_from_visits(data):
     b = extract.random_extract(prof, v, 7, "s")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.fixture
+def split_joins(spark):
+    """Broadcasts off and skew thresholds small enough for test data."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def many_visits(spark, hot_session: bool):
+    """Half of the sessions belong to user 1; with ``hot_session`` they are one session."""
+    hot = "id % 2 = 0"
+    return spark.range(0, 60_000, numPartitions=6).selectExpr(
+        "'2024-01-01' AS datestr",
+        f"CASE WHEN {hot} THEN 1 ELSE id % 997 + 2 END AS user_id",
+        f"CASE WHEN {hot} AND {str(hot_session).lower()} THEN 's' ELSE concat('s', id) END AS session_id",
+        "id AS page_id",
+        "make_timestamp_ntz(2024, 1, 1, 1, 1, 1) AS action_time",
+        "cast(null AS string) AS search_keyword",
+        "id % 3 AS click_category_id",
+        "id AS click_product_id",
+        "cast(null AS string) AS order_category_ids", "cast(null AS string) AS order_product_ids",
+        "cast(null AS string) AS pay_category_ids", "cast(null AS string) AS pay_product_ids",
+    )
+
+
+def test_hot_user_is_split(split_joins):
+    users = split_joins.range(1, 1000).selectExpr(
+        "id AS userid", "20 AS age", "'p' AS professional", "'c' AS city", "'male' AS sex")
+    visits = many_visits(split_joins, hot_session=False)
+    clicks = topn.session_category_clicks(topn.category_actions(visits, kind="click"), topn.user_weights(users))
+    assert "skew=true" in final_plan(clicks)
+
+
+def test_hot_session_is_split(split_joins):
+    visits = many_visits(split_joins, hot_session=True)
+    top = split_joins.createDataFrame([("s", 1)] + [(f"s{i}", 1) for i in range(1, 4000, 2)], "sessionid string, categoryid long")
+    detail = topn.session_detail(visits, top, 1, measure=False)
+    assert "skew=true" in final_plan(detail)
+    assert detail.count() == 30_000 + 2000
