@@ -24,9 +24,10 @@ they meet: the sets of the documents with survivors join their block, and only a
 forest of the links leaves the task.  No cap drops a pair.
 
 Defined results: null, empty or blank text has an empty set, is linked with nothing and is
-kept; a null id gets a null component and is kept; rows that repeat an id count as one
-document (its rows get one component); one row results per input row; other columns are
-ignored; an empty table gives an empty result.
+kept; a null id gets a null component and is kept; rows that repeat an id are one document
+and get one component (they are expected to repeat its text: of differing texts under one id
+one is compared); one row results per input row; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
