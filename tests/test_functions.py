@@ -5,36 +5,27 @@ from visitlens.functions.buckets import in_bucket
 from visitlens.schema import STEP_BUCKETS, VISIT_BUCKETS
 
 
-def java_split(s: str, sep: str) -> list[str]:
-    parts = s.split(sep)
-    if s == "":
-        return [""]
-    while parts and parts[-1] == "":
-        parts.pop()
-    return parts
-
-
-def java_field(s, field):
-    """Reference rule for name=value|... records, in plain Python."""
-    if s is None:
-        return None
-    for part in java_split(s, "|"):
-        kv = java_split(part, "=")
-        if len(kv) == 2 and kv[0] == field:
-            return kv[1]
-    return None
-
-
-KV_ROWS = ["a=1|b=2", "a=|a=3", "a=1=2|a=4", "a=1=|b=2", "a==1|a=9", "=v|a=0", "", "|||", "b=7", "a=x|a=y",
-           "a=5==|", None]
-
-
-def test_kv_field_matches_java_rules(spark):
+# record -> value of the field "a", value of the field ""
+KV_ROWS = {
+    "a=1|b=2": ("1", None),
+    "a=|a=3": ("3", None),
+    "a=1=2|a=4": ("4", None),
+    "a=1=|b=2": ("1", None),
+    "a==1|a=9": ("9", None),
+    "=v|a=0": ("0", "v"),
+    "": (None, None),
+    "|||": (None, None),
+    "b=7": (None, None),
+    "a=x|a=y": ("x", None),
+    "a=5==|": ("5", None),
+    None: (None, None),
+}
+
+
+def test_kv_field(spark):
     df = spark.createDataFrame([(r,) for r in KV_ROWS], "r string")
     got = df.select("r", text.kv_field("r", "a").alias("a"), text.kv_field("r", "").alias("e")).collect()
-    for row in got:
-        assert row.a == java_field(row.r, "a"), row
-        assert row.e == java_field(row.r, ""), row
+    assert {row.r: (row.a, row.e) for row in got} == KV_ROWS
 
 
 def test_kv_predicates(spark):
@@ -57,11 +48,9 @@ def test_kv_predicates(spark):
 
 
 def test_java_split_drops_trailing_empties(spark):
-    vals = ["a,b", "a,b,", ",a", "", ",,,", "a,,b"]
-    df = spark.createDataFrame([(v,) for v in vals], "v string")
-    got = {r.v: list(r.s) for r in df.select("v", text.java_split("v", ",").alias("s")).collect()}
-    for v in vals:
-        assert got[v] == java_split(v, ","), v
+    want = {"a,b": ["a", "b"], "a,b,": ["a", "b"], ",a": ["", "a"], "": [""], ",,,": [], "a,,b": ["a", "", "b"]}
+    df = spark.createDataFrame([(v,) for v in want], "v string")
+    assert {r.v: list(r.s) for r in df.select("v", text.java_split("v", ",").alias("s")).collect()} == want
 
 
 def test_trim_comma_and_pad(spark):
@@ -162,3 +151,13 @@ def test_kv_predicates_random_records(spark):
         i = True if want is None else (city is not None and bool(set(java_split(city, ",")) & set(java_split(want, ","))))
         e = True if want is None else (city is not None and city == want)
         assert (r.b, r.i, r.e) == (b, i, e), r
+
+
+def test_today_and_yesterday(spark):
+    from visitlens.functions.dates import today, yesterday
+
+    r = spark.range(1).select(
+        today().alias("t"), yesterday().alias("y"), F.date_format(F.current_date(), "yyyy-MM-dd").alias("now"),
+        F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd").alias("before"),
+    ).first()
+    assert (r.t, r.y) == (r.now, r.before) and len(r.t) == 10
