@@ -30,6 +30,7 @@ empty result.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -44,7 +45,7 @@ from .words import IS_LEAD, byte_view
 
 SPACE = "▁"
 SLICE = 1 << 20
-MEMORY = 200_000  # segments, and pairs of pieces, a worker remembers
+MEMORY = 400_000  # segments, and pairs of pieces, a worker remembers
 UNKNOWN_PENALTY = 10.0
 # Piece types and model types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -106,16 +107,18 @@ class PieceModel:
         self.bytes = {int(p[3:-1], 16): k for k, (p, kind) in enumerate(zip(self.pieces, self.types)) if kind == BYTE}
         self.ids = {p: k for k, (p, kind) in enumerate(zip(self.pieces, self.types)) if kind == NORMAL}
         self.unknown_weight = UNKNOWN_PENALTY - min((self.scores[k] for k in self.ids.values()), default=0.0)
-        self.lexicon: dict = {}
+        #: the trie: character -> [what may follow, id of the piece that ends here or None]
+        self.lexicon: dict[str, list] = {}
         self.joined = np.zeros((256, 256), bool)  # byte pairs inside a piece, U+2581 as a space
         for piece, k in self.ids.items():
-            node = self.lexicon
+            following, node = self.lexicon, [None, None]
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = k
+                node = following.setdefault(c, [{}, None])
+                following = node[0]
+            node[1] = k
             b = np.frombuffer(piece.replace(SPACE, " ").encode(), np.uint8)
             self.joined[b[:-1], b[1:]] = True
-        self.solved: dict[bytes, list[int]] = {}
+        self.solved: dict[bytes, bytes] = {}
         self.agreed: dict[int, dict[int, bool]] = {}
         self.n_agreed = 0
         self.built: dict[int, tuple | None] = {}
@@ -153,7 +156,7 @@ class PieceModel:
 
     def agreed_after(self, before: int) -> dict[int, bool]:
         """What is known so far of ``agree(before, piece)``, by piece."""
-        if self.n_agreed >= 4 * MEMORY:
+        if self.n_agreed >= 2 * MEMORY:
             self.agreed.clear()
             self.n_agreed = 0
         return self.agreed.setdefault(before, {})
@@ -190,35 +193,8 @@ class PieceModel:
 
     def shortest(self, text: str) -> list[int]:
         """Ids on the path of least weight through the composition with ``text``."""
-        n, far, bpe, scores = len(text), float("inf"), self.bpe, self.scores
-        # states of the composition: place in the text, and for BPE the last piece.  Greedy
-        # merging of a prefix is unique, so one state a place suffices for either kind.
-        weight = [far] * (n + 1)
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        weight[0] = 0.0
-        for i in range(n):
-            so_far = weight[i]
-            if so_far == far:
-                continue
-            node, known, before = self.lexicon, False, last[i]
-            after = self.agreed_after(before) if bpe else None
-            for j in range(i, n):
-                node = node.get(text[j])
-                if node is None:
-                    break
-                k = node.get("")
-                if k is None:
-                    continue
-                known |= j == i
-                if bpe:
-                    follows = after.get(k)
-                    if self.agree(before, k) if follows is None else follows:
-                        weight[j + 1], last[j + 1], start[j + 1] = 0.0, k, i
-                elif so_far - scores[k] < weight[j + 1]:
-                    weight[j + 1], last[j + 1], start[j + 1] = so_far - scores[k], k, i
-            if not known and so_far + self.unknown_weight < weight[i + 1]:
-                weight[i + 1], last[i + 1], start[i + 1] = so_far + (0.0 if bpe else self.unknown_weight), -1, i
-        path, at = [], n
+        last, start = self._forward_bpe(text) if self.bpe else self._forward_unigram(text)
+        path, at = [], len(text)
         while at:
             path.append((last[at], text[start[at] : at]))
             at = start[at]
@@ -232,6 +208,53 @@ class PieceModel:
                 ids.append(self.unknown)
         return ids
 
+    def _forward_bpe(self, text: str) -> tuple[list[int], list[int]]:
+        """For every place the last piece of the path to it (-1: a character outside the
+        vocabulary, -2: no path) and where that piece starts.
+
+        A state of the composition is a place and the last piece.  All weights are 0 or
+        infinite, and greedy merging of a prefix is unique, so one state a place is live."""
+        n = len(text)
+        last, start = [-2] * (n + 1), [0] * (n + 1)
+        last[0] = -1
+        for i in range(n):
+            before = last[i]
+            if before == -2:
+                continue
+            after = self.agreed_after(before)
+            following, j = self.lexicon, i
+            while j < n:
+                node = following.get(text[j])
+                if node is None:
+                    break
+                following, k = node
+                j += 1
+                if k is not None:
+                    follows = after.get(k)
+                    if self.agree(before, k) if follows is None else follows:
+                        last[j], start[j] = k, i
+            if last[i + 1] == -2 and text[i] not in self.ids:
+                last[i + 1], start[i + 1] = -1, i
+        return last, start
+
+    def _forward_unigram(self, text: str) -> tuple[list[int], list[int]]:
+        """The same where pieces have weights: a state is a place, its weight the least one."""
+        n, far, scores = len(text), float("inf"), self.scores
+        weight, last, start = [0.0] + [far] * n, [-1] * (n + 1), [0] * (n + 1)
+        for i in range(n):
+            following, j = self.lexicon, i
+            while j < n:
+                node = following.get(text[j])
+                if node is None:
+                    break
+                following, k = node
+                j += 1
+                if k is not None and weight[i] - scores[k] < weight[j]:
+                    weight[j], last[j], start[j] = weight[i] - scores[k], k, i
+            if text[i] not in self.ids and weight[i] + self.unknown_weight < weight[i + 1]:
+                weight[i + 1], last[i + 1], start[i + 1] = weight[i] + self.unknown_weight, -1, i
+        return last, start
+
     # -- batches ----------------------------------------------------------------------
 
     def normalised(self, texts: pa.Array) -> pa.Array:
@@ -268,8 +291,8 @@ class PieceModel:
         segments = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
         coded = segments.dictionary_encode()
         solved = [self._segment(s) for s in coded.dictionary.to_pylist()]
-        flat, gathered = _ragged([len(s) for s in solved], coded.indices.to_numpy(zero_copy_only=False))
-        ids = np.fromiter((k for s in solved for k in s), np.int32, sum(map(len, solved)))[flat]
+        flat, gathered = _ragged([len(s) // 4 for s in solved], coded.indices.to_numpy(zero_copy_only=False))
+        ids = np.frombuffer(b"".join(solved), np.int32)[flat]
         per_text = np.bincount(np.searchsorted(begin[full], at, "right") - 1, gathered, int(full.sum()))
         counts = np.zeros(len(size), np.int64)
         counts[full] = per_text.astype(np.int64)
@@ -282,10 +305,11 @@ class PieceModel:
             pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids), mask=pa.array(null)
         )
 
-    def _segment(self, segment: bytes) -> list[int]:
+    def _segment(self, segment: bytes) -> bytes:
+        """The segment's ids, packed."""
         found = self.solved.get(segment)
         if found is None:
-            found = self.shortest(segment.decode().replace(" ", SPACE))
+            found = array("i", self.shortest(segment.decode().replace(" ", SPACE))).tobytes()
             if len(self.solved) >= MEMORY:
                 self.solved.clear()
             if len(segment) <= 256:
