@@ -45,7 +45,7 @@ from .words import IS_LEAD, byte_view
 
 SPACE = "▁"
 SLICE = 1 << 20
-MEMORY = 400_000  # segments, and pairs of pieces, a worker remembers
+MEMORY = 100_000  # segments, and pairs of pieces, a worker remembers
 UNKNOWN_PENALTY = 10.0
 # Piece types and model types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
