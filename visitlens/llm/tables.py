@@ -16,15 +16,19 @@ from ..session import checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors (``addPyFile``), once per application.
+    """Send this package to the executors (``addPyFile``), once per application, and hand
+    Python workers smaller batches where the session has no setting of its own.
 
     Functions passed to Spark find it only if they are passed afterwards, so every operator
     begins with this."""
     app = spark.sparkContext.applicationId
+    if spark.conf.get(_BATCH_ROWS) == "10000":  # Spark's default, large for whole texts
+        spark.conf.set(_BATCH_ROWS, "1000")
     if app in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
