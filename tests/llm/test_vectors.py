@@ -1,6 +1,7 @@
 """The pivot index against brute force."""
 
 import numpy as np
+import pyarrow as pa
 
 from visitlens.llm import pivots
 from visitlens.llm.tables import ship_code
@@ -41,6 +42,28 @@ def test_recall_close_to_the_threshold(spark):
     assert 0.97 * want <= found <= want
 
 
+def link_counts(x, threshold=0.9):
+    x = unit(x.astype(float))
+    return np.concatenate([(x[i : i + 500] @ x.T >= threshold).sum(1) - 1 for i in range(0, len(x), 500)])
+
+
+def test_a_third_of_the_rows_in_one_dense_group(spark):
+    """Near copies at cosine 0.91 on average, not byte-equal; and a wide group at 0.75."""
+    rng = np.random.default_rng(2)
+
+    def group(n, cos):
+        c, noise = unit(rng.normal(size=(1, 64))), rng.normal(size=(n, 64))
+        return np.sqrt(cos) * c + np.sqrt(1 - cos) * unit(noise - (noise @ c.T) * c)
+
+    x = np.concatenate((group(10_000, 0.91), group(3_000, 0.75), unit(rng.normal(size=(17_000, 64))))).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
+    got = pivots.near_vectors(df).select("vec_id", "n_links").toArrow().sort_by("vec_id")["n_links"].to_numpy()
+    want = link_counts(x)
+    assert (got <= want).all()
+    assert got[:10_000].sum() >= 0.995 * want[:10_000].sum()
+    assert got.sum() >= 0.99 * want.sum()
+
+
 def test_unusual_vectors(spark):
     ship_code(spark)
     nan, inf = float("nan"), float("inf")

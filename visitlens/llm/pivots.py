@@ -7,13 +7,19 @@ a pair of vectors is looked at in the list of its two smallest shared pivots onl
 shared-pivot counts below that list decide.  Every candidate's cosine is then taken in
 double precision, so no link is below the threshold.
 
+Dense groups would fill the prefixes of their members with pivots of their own.  So no two
+pivots are within twice the threshold's angle, and every pivot has one more list, of all
+vectors within that angle (its close vectors), which is compared in full.  A vector within
+the threshold of a pivot has all its links in that list (triangle inequality of angles), so
+it is in no list of pairs; pairs that share several close pivots belong to the smallest.
+
 Scale: pivots are a bounded sample of the vectors (about sqrt(n / 3), so lists keep their
-mean length as n grows; ``MAX_PIVOTS`` at most), filled up with fixed random directions on
-small tables.  Equal vectors are folded to one row with a count by a pre-aggregated
+mean length as n grows; ``MAX_PIVOTS`` at most), filled up with fixed random directions
+where the sample leaves too few.  Equal vectors are folded to one row with a count by a pre-aggregated
 grouping before anything else.  A list longer than ``BLOCK`` is compared in blocks dealt to
 different tasks; within a block only link counts and a spanning forest leave the task, never
-pairs.  Only a list's links cost more than its length: a group of g near copies takes g * g
-comparisons in all, because every link counts in ``n_links``.
+pairs.  What costs more than a list's length are vectors that are close to one pivot: a group
+of g near copies takes g * g comparisons in all, because every link counts in ``n_links``.
 
 Measured recall of links at cosine 0.9 and above is 0.99 or more (tests and README).
 
@@ -52,30 +58,66 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
-    """Numbers of the ``k`` nearest pivots of every row, nearest first."""
-    near = np.empty((len(x), k), np.int64)
-    for part in range(0, len(x), 512):
-        distance = -(_unit(x[part : part + 512]) @ pivots.T)
-        some = np.sort(np.argpartition(distance, k - 1, axis=1)[:, :k], 1)
-        order = np.argsort(np.take_along_axis(distance, some, 1), axis=1, kind="stable")
-        near[part : part + 512] = np.take_along_axis(some, order, 1)
-    return near
+def close_cosine(threshold: float) -> float:
+    """Cosine of twice the threshold's angle, a little lower to allow for rounding."""
+    return float(np.cos(min(np.pi, 2 * np.arccos(np.clip(threshold, -1, 1))))) - 1e-9
 
 
-def _postings(pivots: np.ndarray, kind: type, k: int):
-    """One row per vector and pair of its pivots: list, id, count, vector, pivots."""
+def thinned(x: np.ndarray, most: int, cosine: float) -> np.ndarray:
+    """Up to ``most`` unit vectors of the rows, in order, no two at the cosine or above."""
+    kept = np.empty((min(most, len(x)), x.shape[1]))
+    n = 0
+    for part in range(0, len(x), 512):
+        some = _unit(x[part : part + 512])
+        free = ~(some @ kept[:n].T >= cosine).any(1)
+        some = some[free]
+        near = some @ some.T >= cosine
+        left = np.ones(len(some), bool)
+        for i in range(len(some)):
+            if left[i] and n < len(kept):
+                kept[n] = some[i]
+                n += 1
+                left &= ~near[i]
+    return kept[:n]
+
+
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int, cosine: float, threshold: float):
+    """Numbers of the ``k`` nearest pivots of every row, ascending; row and pivot of all pairs
+    at ``cosine`` or above; whether a row has a pivot at ``threshold`` or above."""
+    near, covered = np.empty((len(x), k), np.int64), np.empty(len(x), bool)
+    rows, close = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for part in range(0, len(x), 512):
+        cosines = _unit(x[part : part + 512]) @ pivots.T
+        near[part : part + 512] = np.sort(np.argpartition(-cosines, k - 1, axis=1)[:, :k], 1)
+        covered[part : part + 512] = cosines.max(1) >= threshold
+        row, pivot = np.nonzero(cosines >= cosine)
+        rows.append(row + part)
+        close.append(pivot)
+    return near, np.concatenate(rows), np.concatenate(close), covered
+
+
+def _postings(pivots: np.ndarray, kind: type, k: int, threshold: float):
+    """One row per vector and list of it: list, id, count, vector, nearest and close pivots.
+    List a * pivots + b is that of the pair a < b, and with a = b of the close vectors of a."""
     pairs = list(combinations(range(k), 2))
+    names = ["list", "vec_id", "copies", "vec", "near", "close"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = np.sort(nearest_pivots(_rows(batch.column(2), pivots.shape[1], kind), pivots, k), 1)
-            packed = pa.array([row.tobytes() for row in near.astype(np.uint16)], pa.binary())
+            x = _rows(batch.column(2), pivots.shape[1], kind)
+            near, row, pivot, covered = nearest_pivots(x, pivots, k, close_cosine(threshold), threshold)
+            ends = np.searchsorted(row, np.arange(len(x) + 1))
+            packed = [pa.array([r.tobytes() for r in near.astype(np.uint16)], pa.binary())]
+            packed.append(pa.array([pivot[i:j].astype(np.uint16).tobytes() for i, j in zip(ends, ends[1:])], pa.binary()))
+            whole = pa.RecordBatch.from_arrays([*batch.columns, *packed], names[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(pivot * (len(pivots) + 1)), *whole.take(pa.array(row)).columns], names)
+            open_ones = np.flatnonzero(~covered)
+            whole, near = whole.take(pa.array(open_ones)), near[open_ones]
             for a, b in pairs:
                 key = near[:, a] * len(pivots) + near[:, b]
-                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns, packed], ["list", "vec_id", "copies", "vec", "near"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *whole.columns], names)
 
     return run
 
@@ -89,12 +131,19 @@ def _compare(size: int, kind: type, k: int, n_pivots: int, threshold: float):
         first, second = divmod(group.column("list")[0].as_py(), n_pivots)
         low, high = group.column("low_chunk")[0].as_py(), group.column("high_chunk")[0].as_py()
         x = _rows(group.column("vec"), size, kind).astype(float)
-        near = _rows(group.column("near"), k, np.uint16)
         norm = np.sqrt((x * x).sum(1))
-        earlier = np.zeros((len(x), second + 1), np.float32)  # shared pivots that belong to another list
-        rows, places = np.nonzero((near < second) & (near != first))
-        earlier[rows, near[rows, places]] = 1
-        earlier = earlier[:, earlier.any(0)]
+        close = group.column("close").to_pylist()  # pairs that share any of these belong to another list
+        rows = np.repeat(np.arange(len(x)), [len(c) // 2 for c in close])
+        marks = np.frombuffer(b"".join(close), np.uint16).astype(np.int64)
+        if first == second:
+            rows, marks = rows[marks < first], marks[marks < first]
+        else:
+            near = _rows(group.column("near"), k, np.uint16)
+            more, places = np.nonzero((near < second) & (near != first))
+            rows, marks = np.append(rows, more), np.append(marks, n_pivots + near[more, places].astype(np.int64))
+        used, column = np.unique(marks, return_inverse=True)
+        earlier = np.zeros((len(x), len(used)), np.float32)
+        earlier[rows, column] = 1
         left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
         links = (x[left] @ x[right].T) / (norm[left][:, None] * norm[right][None, :]) >= threshold
         links &= earlier[left] @ earlier[right].T == 0
@@ -149,17 +198,20 @@ def near_vectors(
 
     n = classes.count()
     wanted = pivots or max(MIN_PIVOTS, min(MAX_PIVOTS, ceil(sqrt(n / 3))))
-    share = min(1.0, 1.5 * wanted / max(1, n))
+    share = min(1.0, 3 * wanted / max(1, n))
     sample = classes.filter(F.pmod(F.xxhash64("h1", F.lit("pivot")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = [r["vec"] for r in sample.select("h1", "h2", "vec").orderBy("h1", "h2").limit(wanted).collect()]
+    found = [r["vec"] for r in sample.select("h1", "h2", "vec").orderBy("h1", "h2").limit(2 * wanted).collect()]
     points = np.frombuffer(b"".join(map(bytes, found)), kind).reshape(-1, size)
-    fill = np.random.default_rng(0).normal(size=(wanted - len(points), size))
-    points = _unit(np.concatenate((points, fill)))
+    points = thinned(points, wanted, close_cosine(threshold))
+    if len(points) < wanted:
+        fill = np.random.default_rng(0).normal(size=(wanted, size))
+        points = thinned(np.concatenate((points, fill, -fill[:1])), wanted, close_cosine(threshold))
+    wanted = len(points)
     k = min(nearest, wanted)
 
-    schema = "list long, vec_id long, copies long, vec binary, near binary"
+    schema = "list long, vec_id long, copies long, vec binary, near binary, close binary"
     described = classes.select("vec_id", "copies", "vec")
-    postings = described.repartition(spark.sparkContext.defaultParallelism * 2, "vec_id").mapInArrow(_postings(points, kind, k), schema)
+    postings = described.repartition(spark.sparkContext.defaultParallelism * 2, "vec_id").mapInArrow(_postings(points, kind, k, threshold), schema)
     postings = written(postings, "pivot-postings")
     lists = postings.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
     lists = written(lists.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "pivot-lists")
