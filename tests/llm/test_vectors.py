@@ -64,6 +64,18 @@ def test_a_third_of_the_rows_in_one_dense_group(spark):
     assert got.sum() >= 0.99 * want.sum()
 
 
+def test_recall_does_not_fall_with_the_number_of_pivots(spark):
+    rng = np.random.default_rng(3)
+    a, noise = unit(rng.normal(size=(2000, 64))), rng.normal(size=(2000, 64))
+    noise -= (noise * a).sum(1, keepdims=True) * a
+    pairs = np.concatenate((a, 0.9001 * a + np.sqrt(1 - 0.9001**2) * unit(noise)))
+    x = np.concatenate((pairs, unit(rng.normal(size=(16_000, 64))))).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
+    want = link_counts(x).sum()
+    found = sum(r.n_links for r in pivots.near_vectors(df, pivots=1826).select("n_links").collect())
+    assert 0.99 * want <= found <= want
+
+
 def test_unusual_vectors(spark):
     ship_code(spark)
     nan, inf = float("nan"), float("inf")
