@@ -43,6 +43,13 @@ def test_substrings_text_and_repeated_ids(spark, documents):
     assert got == sorted([(1, 0, None), (1, 0, None), (2, 60, "a"), (None, 0, None), (3, 60, "")], key=str)
 
 
+def test_substrings_of_different_texts_with_one_id(spark, documents):
+    long = " ".join(f"v{i}" for i in range(60))
+    df = documents({}, order=[(1, long), (2, "a " + long), (2, None), (2, "a b c d e")]).coalesce(1)
+    got = sorted(((r.doc_id, r.n_removed, r.kept_text) for r in substring.dedup_substrings(df, with_text=True).collect()), key=str)
+    assert got == sorted([(1, 0, None), (2, 60, "a"), (2, 0, None), (2, 0, None)], key=str)
+
+
 @pytest.mark.parametrize("block", [512, 16])
 def test_near_documents_equal_brute_force(documents, corpus, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)

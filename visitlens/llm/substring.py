@@ -102,8 +102,9 @@ def _anchors(window: int):
                 keep = at_cover[place % period] & (t.n_words[doc] >= window)
                 at, doc, place = at[keep], doc[keep], place[keep]
                 h = Rolling(t.word_hashes()).spans(at, at + length)
-                arrays = [signed(h), pa.array(ids[lo:hi][doc]), pa.array(place.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "place"])
+                whole = Rolling(t.word_hashes()).spans(t.first[:-1], t.first[1:])
+                arrays = [signed(h), pa.array(ids[lo:hi][doc]), signed(whole[doc]), pa.array(place.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "s1", "place"])
 
     return run
 
@@ -185,19 +186,20 @@ def dedup_substrings(
     copies = written(only_copies.select("doc_id"), "substring-copy-ids")
 
     firsts = only_ids(rows.filter("doc_id IS NOT NULL"), copies, "doc_id", "left_anti")
-    anchors = firsts.mapInArrow(_anchors(window), "h long, doc_id long, place int")
+    anchors = firsts.mapInArrow(_anchors(window), "h long, doc_id long, s1 long, place int")
     shared = written(_shared(anchors, "h"), "substring-anchors")
     found = anchors.join(shared.select("h"), "h")
-    places = written(found.groupBy("doc_id").agg(F.collect_list("place").alias("places")), "substring-places")
+    places = written(found.groupBy("doc_id", "s1").agg(F.collect_list("place").alias("places")), "substring-places")
 
-    some = only_ids(rows, places.select("doc_id"), "doc_id").join(places, "doc_id")
-    some = written(some.select("doc_id", "text", "places"), "substring-texts")
+    some = only_ids(rows, places.select("doc_id"), "doc_id")
+    some = some.mapInArrow(_with_key, "doc_id long, text string, s1 long").join(places, ["doc_id", "s1"])
+    some = written(some.select("doc_id", "text", "places", "s1"), "substring-texts")
     windows = some.mapInArrow(_windows(window), "w1 long, w2 long, doc_id long, s1 long, place int")
     twice = written(_shared(windows, "w1", "w2"), "substring-windows")
     later = windows.join(twice, ["w1", "w2"]).filter("doc_id > low")
     lost = later.groupBy("doc_id", "s1").agg(F.collect_set("place").alias("lost"))
 
-    texts = some.mapInArrow(_with_key, "doc_id long, text string, s1 long").dropDuplicates(["doc_id", "s1"])
+    texts = some.select("doc_id", "text", "s1").dropDuplicates(["doc_id", "s1"])
     cut = texts.join(lost, ["doc_id", "s1"]).select("doc_id", "s1", "text", "lost")
     cut = cut.mapInArrow(
         _cut(window, with_text), "doc_id long, s1 long, n_removed long, kept_sha256 string, kept_text string"
