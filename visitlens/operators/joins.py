@@ -6,10 +6,12 @@ big side (that stage has no dependencies, so it starts first).  When one
 side is a bounded result (top sessions, drawn sessions) and the other is the
 whole visit log, that wasted shuffle is the most expensive step of the job.
 
-``broadcast_if_small`` materialises the small side once (persisted, so it is
-not recomputed), measures it with one aggregate, and adds a broadcast hint
-only when the measured size is under the session's broadcast threshold.
-Beyond it the join stays a sort-merge join (with AQE skew splitting).
+``broadcast_if_small`` measures the small side with one aggregate and adds a
+broadcast hint only when the measured size is under the session's broadcast
+threshold.  Beyond it the join stays a sort-merge join (with AQE skew
+splitting).  A caller that passes a ``kept`` list owns the persisted side and
+releases it; without one nothing is persisted, and the side is computed once
+more when the join runs.
 """
 
 from __future__ import annotations
@@ -48,13 +50,14 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
 def broadcast_if_small(
     df: DataFrame, kept: list[DataFrame] | None = None, max_bytes: int | None = None
 ) -> tuple[DataFrame, bool]:
-    """Persist ``df``, measure it, and return it with a broadcast hint when small.
+    """Measure ``df`` and return it with a broadcast hint when small.
 
-    Persisted frames are appended to ``kept`` so the caller can unpersist them.
+    With ``kept`` the frame is persisted and appended there; its owner unpersists it.
     """
     limit = broadcast_threshold(df) if max_bytes is None else max_bytes
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    small = df
     if kept is not None:
+        small = df.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(small)
     _, size = measured_bytes(small)
     if 0 <= size <= limit:
