@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express, as plain brute force.
 
-Learned models (5, 7, 8, 9), Newton iterations (3), n-gram coverage verdicts (4) and greedy
+Learned models (5, 7, 8, 9), Newton and eigenvector iterations (3, 12), n-gram coverage verdicts (4) and greedy
 merging (1) are not expressed; tests hold them against brute-force versions instead.
 """
 
@@ -63,8 +63,53 @@ SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, coalesce(com
 FROM embeddings v LEFT JOIN n ON n.vec_id = v.vec_id LEFT JOIN low ON low.vec_id = v.vec_id
 """
 
+_TERMS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+b AS (SELECT item_id, {_TERMS} AS ws FROM benchmark),
+item_windows AS (
+  SELECT item_id, least(len(ws), 10) AS k, unnest(list_transform(range(1, greatest(len(ws) - 8, 2)),
+    lambda i: array_to_string(ws[i:i + 9], ' '))) AS w
+  FROM b WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT k FROM item_windows),
+places AS (
+  SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS i,
+         unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS w
+  FROM d CROSS JOIN sizes WHERE len(ws) >= k),
+found AS (SELECT doc_id, i, p.k, item_id FROM places p JOIN item_windows m ON m.w = p.w AND m.k = p.k),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+long AS (SELECT doc_id, len(ws) AS n FROM d WHERE len(ws) > 0),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM long),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * max(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs CROSS JOIN total GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+lengths AS (SELECT doc_id, CAST(10 + (90 * n * big_n) // big_l AS BIGINT) AS m FROM long CROSS JOIN total),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRINGS,
     "op6_embedding_near_dedup": NEAR_VECTORS,
     "op10_minhash_near_dedup": NEAR_DOCUMENTS,
+    "op11_decontamination": CONTAMINATION,
+    "op13_lexical_search": RANKED_SEARCH,
 }

@@ -1,13 +1,16 @@
-"""Registered queries of the ten operators: ``opN_<name>(spark, sf_dir)``."""
+"""Registered queries of the thirteen operators: ``opN_<name>(spark, sf_dir)``."""
 
 from __future__ import annotations
 
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as _oracle
+from .decontamination import find_contamination
 from .langid import fit_language_model, held_out, predict_languages
+from .lexical import lexical_search
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .pivots import near_vectors
@@ -18,7 +21,7 @@ from .substring import dedup_substrings
 from .tables import table
 from .toxicity import fit_toxicity, score_toxicity
 from .urls import filter_urls
-
+from .whitening import whiten
 
 #: Folder of the public tokenizers' vocabulary files, and the piece model in it.
 TOKENIZERS, PIECES = "/opt/tokenizers", "piece_bpe_32k.model"
@@ -67,6 +70,27 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
@@ -78,6 +102,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filters": op9_url_filters,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_decontamination": op11_decontamination,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = dict(_oracle.SQL)
