@@ -17,7 +17,7 @@ Method:
    bound is below the best 10 found so far; what it returns is ranked once more.
 
 Scale: the index is keyed by (m, block), so no stratum, term or item gathers its postings in
-one task; a block has about ``BLOCK_POSTINGS`` postings.  Bounds are tight enough to drop a
+one task; a block has about ``BLOCK_DOCUMENTS`` documents and ``BLOCK_POSTINGS`` postings at most.  Bounds are tight enough to drop a
 block, never a document with a score that counts: results are exact.  Items are taken in
 blocks of about ``QUERY_TERMS`` terms (their dictionary is what every task holds), each
 searched against all documents; a task returns 10 rows per item at most.
@@ -47,7 +47,7 @@ from .tables import BROADCAST_BYTES, ship_code, written
 from .terms import raw_texts, term_list
 
 TOP = 10
-BLOCK_POSTINGS, QUERY_TERMS = 1 << 19, 1 << 18
+BLOCK_POSTINGS, BLOCK_DOCUMENTS, QUERY_TERMS = 1 << 17, 1 << 10, 1 << 18
 #: Sums below this are exact in doubles.
 _EXACT = 1 << 53
 
@@ -265,8 +265,9 @@ def build_index(docs: DataFrame, terms: list[bytes], id_col: str = "doc_id", tex
 
     m = F.expr(f"10L + (90L * n * {size['docs']}L) div {max(1, size['words'])}L")
     forward = forward.filter(F.length("entries") > 0).select("doc_id", "entries", "salt", m.alias("m"))
-    strata = forward.groupBy("m").agg(F.sum(F.length("entries")).alias("bytes"))
-    strata = written(strata.select("m", F.ceil(F.col("bytes") / (8 * BLOCK_POSTINGS)).cast("int").alias("blocks")), "lexical-strata")
+    strata = forward.groupBy("m").agg(F.sum(F.length("entries")).alias("bytes"), F.count("*").alias("docs"))
+    blocks = F.ceil(F.greatest(F.col("bytes") / (8 * BLOCK_POSTINGS), F.col("docs") / BLOCK_DOCUMENTS)).cast("int")
+    strata = written(strata.select("m", blocks.alias("blocks")), "lexical-strata")
     if strata.count() * 64 <= BROADCAST_BYTES:
         strata = F.broadcast(strata)
     dealt = forward.join(strata, "m").withColumn("block", F.pmod(F.xxhash64("doc_id", "salt"), F.col("blocks")).cast("int"))
