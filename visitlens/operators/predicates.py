@@ -8,6 +8,8 @@ Keyword and category filters ask whether *any* action of the session matches.
 Instead of collecting each session's actions into a list, the rollup computes
 ``bool_or`` of the row-level test (``keyword_hit`` / ``category_hit``): a
 partial aggregate, so a session with billions of actions costs nothing extra.
+Lists of more than ``LONG_LIST`` items do not become literals: they are a parameter
+table that the actions meet in an equi-join (``mark_listed``), which marks the hits.
 """
 
 from __future__ import annotations
@@ -19,10 +21,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.operators.joins import COLUMN_OVERHEAD, ROW_OVERHEAD, broadcast_threshold
 from visitlens.params import TaskParams, is_empty, tokens
 
 KEYWORD_HIT = "keyword_hit"
 CATEGORY_HIT = "category_hit"
+#: Items up to which a list is written into the plan.
+LONG_LIST = 1000
+#: Marks of actions whose keyword / clicked category is in a long list.
+KEYWORD_LISTED, CATEGORY_LISTED = "_keyword_listed", "_category_listed"
 
 
 def date_range(visits: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
@@ -70,6 +77,8 @@ def keyword_action_test(params: TaskParams) -> Column | None:
     words = tokens(params.keywords)
     if not words or params.keyword_mode == "ignore":
         return None
+    if _is_long(words, params.keyword_mode):
+        return F.col(KEYWORD_LISTED)
     kw = F.col("search_keyword")
     if params.keyword_mode == "substring":
         return reduce(lambda a, b: a | b, [F.instr(kw, F.lit(w)) > 0 for w in words])
@@ -81,14 +90,54 @@ def category_action_test(params: TaskParams) -> Column | None:
     ids = tokens(params.category_ids)
     if not ids or params.category_mode == "ignore":
         return None
+    if _is_long(ids, params.category_mode):
+        return F.col(CATEGORY_LISTED)
     cat = F.col("click_category_id")
     if params.category_mode == "substring":
         text = cat.cast("string")
         return reduce(lambda a, b: a | b, [F.instr(text, F.lit(i)) > 0 for i in ids])
-    nums = [int(i) for i in ids if re.fullmatch(r"-?[0-9]+", i)]
+    nums = _numbers(ids)
     return cat.isin(nums) if nums else F.lit(False)
 
 
+def _numbers(ids: list[str]) -> list[int]:
+    """The ids that are 64-bit integers; no click can have any other."""
+    return [n for n in (int(i) for i in ids if re.fullmatch(r"-?[0-9]+", i)) if -(1 << 63) <= n < 1 << 63]
+
+
+def _is_long(items: list[str], mode: str) -> bool:
+    return mode == "any" and len(items) > LONG_LIST
+
+
+def mark_listed(actions: DataFrame, params: TaskParams | None) -> DataFrame:
+    """``actions`` with a mark column for every long list of the parameters.
+
+    The list is distributed as a table and joined on the value; it is broadcast if its
+    size (known here) is below the session's broadcast limit.  Rows are neither lost nor
+    repeated, as the list's items are distinct."""
+    if params is None:
+        return actions
+    lists = []
+    words = tokens(params.keywords)
+    if _is_long(words, params.keyword_mode):
+        lists.append((KEYWORD_LISTED, "search_keyword", "string", set(words)))
+    ids = tokens(params.category_ids)
+    if _is_long(ids, params.category_mode):
+        lists.append((CATEGORY_LISTED, "click_category_id", "bigint", set(_numbers(ids))))
+    for mark, column, kind, items in lists:
+        table = actions.sparkSession.createDataFrame([(i,) for i in sorted(items)], f"_item {kind}").withColumn(mark, F.lit(True))
+        size = sum(len(i.encode()) if isinstance(i, str) else 8 for i in items) + len(items) * (ROW_OVERHEAD + 2 * COLUMN_OVERHEAD)
+        if size <= broadcast_threshold(actions):
+            table = F.broadcast(table)
+        actions = actions.join(table, actions[column] == table["_item"], "left").drop("_item")
+    return actions
+
+
+def listed_marks(actions: DataFrame) -> list[str]:
+    """The mark columns ``mark_listed`` added."""
+    return [c for c in (KEYWORD_LISTED, CATEGORY_LISTED) if c in actions.columns]
+
+
 def session_hit_aggregates(params: TaskParams | None) -> list[Column]:
     """Aggregates the rollup adds so the keyword/category filters can run."""
     if params is None:

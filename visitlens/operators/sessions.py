@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from visitlens.functions.dates import seconds_between
 from visitlens.operators import topn
 from visitlens.operators.joins import broadcast_if_small
-from visitlens.operators.predicates import session_hit_aggregates
+from visitlens.operators.predicates import listed_marks, mark_listed, session_hit_aggregates
 from visitlens.operators.users import user_variants
 from visitlens.params import TaskParams
 
@@ -36,7 +36,7 @@ def session_rollup(visits: DataFrame, params: TaskParams | None = None) -> DataF
     applied here (``predicates.date_range`` comes first, as in ``run_task``).
     """
     extra = session_hit_aggregates(params)
-    agg = visits.groupBy("session_id", "user_id").agg(
+    agg = mark_listed(visits, params).groupBy("session_id", "user_id").agg(
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count("session_id").alias("step_length"),
@@ -145,13 +145,15 @@ def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_
         topn._token_structs("pay", F.col("pay_category_ids"), split_ids),
     )
     kind, token = F.col("kind"), F.col("token")
+    visits = mark_listed(visits, params)
+    marks = listed_marks(visits)
     long = visits.select(
-        "session_id", "user_id", "action_time", "search_keyword", "click_category_id",
+        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", *marks,
         F.inline(F.filter(items, lambda s: (s["kind"] == "base") | s["token"].isNotNull())),
     )
     is_category = kind.isin(*topn.KINDS)
     long = long.select(
-        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", "kind",
+        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", *marks, "kind",
         F.when(is_category & ~token.isin(*topn.MISSING_TOKENS), token.try_cast("bigint")).alias("category_id"),
         F.when(kind == "search", token).alias("keyword"),
     ).where((kind == "base") | F.col("category_id").isNotNull() | F.col("keyword").isNotNull())

@@ -15,8 +15,10 @@ Plan shape (scope "all"):
 Top sessions:
   actions -> agg on (session, user, category) -> join weights
           -> agg on (session, category)
-          -> exact rank in buckets of equal clicks (``operators.ranking``): only
-             buckets within the first N rows of a category are ranked.
+          -> small N: one window with a partial limit in every task; else an exact
+             rank in buckets of equal clicks, cut further at sampled ids
+             (``operators.ranking``): only buckets within the first N rows of a
+             category are ranked.
 User weights keep one row per distinct user variant, so the join with them has
 exchanges on both sides and a hot user can be split.
 Detail export: the distinct top-session ids (<= N x categories rows) are
@@ -25,19 +27,21 @@ measured and broadcast, so the visit log is probed map-side, not shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import format_time
-from visitlens.operators.joins import broadcast_if_small
-from visitlens.operators.ranking import bucket_offsets, rank_in_buckets
+from visitlens.operators.joins import broadcast_if_small, probably_in
+from visitlens.operators.ranking import bucket_offsets, rank_in_buckets, split_large_groups
 from visitlens.operators.users import user_variants
 
 KINDS = ("click", "order", "pay")
 MISSING_TOKENS = ("", "null")
 _FIELDS = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
-# Characters of the session id that cut a bucket of equal click counts further.
-TIE_PREFIX = 3
+# Up to this N every task keeps N rows per category before the shuffle (Spark's window
+# group limit), so a category's window holds N rows a task at most; beyond, ranks are
+# taken in buckets.  Both are exact.
+PARTIAL_TOP = 100
 
 
 def _token_structs(kind: str, column: Column, split: bool) -> Column:
@@ -56,18 +60,19 @@ def category_actions(visits: DataFrame, split_ids: bool = False, kind: str | Non
 
     Click ids are one number; order/pay id fields are one token each unless
     ``split_ids`` splits them on commas.  NULL, ``""`` and ``"null"`` tokens
-    are missing; tokens that are not integers are dropped.
+    are missing.  With ``kind`` "order" or "pay", ``category_id`` is the token's
+    text and every token is kept, ``3,5`` as one (the reference counts it
+    so).  Without ``kind`` the rows serve the categories that are clicked,
+    ordered and paid: a token that is no number equals no click id and is left out.
     """
-    wanted = KINDS if kind is None else (kind,)
     if kind is not None:
         visits = visits.where(F.col(_FIELDS[kind]).isNotNull())
-    if kind is not None and (kind == "click" or not split_ids):
         field = F.col(_FIELDS[kind])
-        number = field.cast("bigint") if kind == "click" else F.when(~field.isin(*MISSING_TOKENS), field.try_cast("bigint"))
-        long = visits.select("session_id", "user_id", F.lit(kind).alias("kind"), number.alias("category_id"))
-        return long.where(F.col("category_id").isNotNull())
+        token = field.cast("bigint") if kind == "click" else F.explode(F.split(field, ",")) if split_ids else field
+        long = visits.select("session_id", "user_id", F.lit(kind).alias("kind"), token.alias("category_id"))
+        return long.where(F.col("category_id").isNotNull() if kind == "click" else ~F.col("category_id").isin(*MISSING_TOKENS))
     items = F.concat(*[
-        _token_structs(k, F.col(_FIELDS[k]).cast("string"), split_ids and k != "click") for k in wanted
+        _token_structs(k, F.col(_FIELDS[k]).cast("string"), split_ids and k != "click") for k in KINDS
     ])
     kept = F.filter(items, lambda s: s["token"].isNotNull() & ~s["token"].isin(*MISSING_TOKENS))
     long = visits.select("session_id", "user_id", F.inline(kept))
@@ -184,13 +189,19 @@ def session_category_clicks(actions: DataFrame, weights: DataFrame) -> DataFrame
 
 def top_sessions_per_category(clicks: DataFrame, n: int = 10, taskid: int | None = None) -> DataFrame:
     """Top ``n`` sessions of *every* category by clicks (desc), ties by session id."""
-    buckets = ["_clicks", "_prefix"]
-    clicks = clicks.where(F.col("category_id").isNotNull()).withColumns({
-        "_clicks": -F.col("click_count"),
-        "_prefix": F.coalesce(F.substring("session_id", 1, TIE_PREFIX), F.lit("")),
-    })
-    offsets = bucket_offsets(clicks, ["category_id"], buckets).where(F.col("rows_before") < F.lit(int(n)))
-    ranked = rank_in_buckets(clicks, offsets, ["category_id"], buckets, ["session_id"]).where(F.col("rank") <= F.lit(int(n)))
+    clicks = clicks.where(F.col("category_id").isNotNull())
+    if n <= PARTIAL_TOP:
+        by_clicks = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
+        ranked = clicks.withColumn("rank", F.row_number().over(by_clicks))
+    else:
+        clicks = clicks.withColumn("_clicks", -F.col("click_count"))
+        first = bucket_offsets(clicks, ["category_id"], ["_clicks"]).where(F.col("rows_before") < F.lit(int(n)))
+        near = clicks.join(first.select("category_id", "_clicks"), ["category_id", "_clicks"], "left_semi")
+        near = split_large_groups(near, ["category_id", "_clicks"], ["session_id"])
+        buckets = ["_clicks", "_bucket"]
+        offsets = bucket_offsets(near, ["category_id"], buckets).where(F.col("rows_before") < F.lit(int(n)))
+        ranked = rank_in_buckets(near, offsets, ["category_id"], buckets, ["session_id"])
+    ranked = ranked.where(F.col("rank") <= F.lit(int(n)))
     cols = [F.lit(int(taskid)).cast("bigint").alias("taskid")] if taskid is not None else []
     return ranked.select(
         *cols,
@@ -234,14 +245,18 @@ def session_detail(
 
     The id set is at most ``n`` x categories rows.  It is materialised and
     measured first; when under the broadcast threshold the visit log is
-    probed map-side and never shuffled.  Beyond it the top sessions join as
-    they are (a semi join needs no distinct ids), with an exchange on both
-    sides, so AQE can split a hot session.  Without ``measure`` nothing runs
-    or is kept here, and AQE chooses the join.
+    probed map-side and never shuffled.  Beyond it the log is first probed with
+    a bitmap of the ids (``joins.probably_in``), so little more than the result is
+    shuffled; the top sessions then join as they are (a semi join needs no
+    distinct ids), with an exchange on both sides, so AQE can split a hot
+    session.  Without ``measure`` nothing runs or is kept here, and AQE chooses
+    the join.
     """
     small = False
     if measure:
         ids, small = broadcast_if_small(top_session_ids(top_sessions), kept)
+        if not small:
+            visits = probably_in(visits, ids, "session_id")
     if not small:
         ids = top_sessions.select(F.col("sessionid").alias("session_id"))
     return visits.join(ids, "session_id", "left_semi").select(*_detail_columns(taskid))

@@ -9,11 +9,16 @@
       profile -> hour quotas + draw; lists from the category and keyword
         rows -> session_random_extract
 
+With daily states (``operators.daily``) the aggregate is merged from them instead, and only
+the detail export reads the visit log.
+
 Shared intermediates are persisted (MEMORY_AND_DISK: a lost executor's
 blocks are recomputed from the short lineage).  ``checkpoint=True`` cuts
 the lineage instead, writing to the shared ``spark.checkpoint.dir`` of the
 session.  No intermediate passes through the driver; the one value read
 back is the single stat row, to refuse a task that matches no session.
+The five tables are written beside the old ones and published by one commit
+(``sinks.commits``): a failure in any of them leaves all old results as they were.
 """
 
 from __future__ import annotations
@@ -25,11 +30,13 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.operators import extract, predicates, sessions, stats, topn
+from visitlens.operators import daily, extract, predicates, sessions, stats, topn
 from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.users import user_variants
 from visitlens.params import TaskParams
 from visitlens.session import checkpoint_dir
+from visitlens.schema import RESULT_TABLES
+from visitlens.sinks.commits import commit, discard, new_run
 from visitlens.sinks.writers import clear_result, write_result
 
 
@@ -93,6 +100,7 @@ def build_task(
     require_sessions: bool = False,
     kept: list[DataFrame] | None = None,
     reuse: bool = True,
+    states: daily.DailyStates | None = None,
 ) -> tuple[TaskResults, list[DataFrame]]:
     """Result tables of one task plus the intermediates kept for reuse.
 
@@ -101,7 +109,8 @@ def build_task(
     the stat table is then that computed row.  Intermediates are added to
     ``kept`` as they are made, so a caller can release them after a failure.
     Without ``reuse`` nothing is kept and nothing runs: one result is to be
-    read, and Catalyst prunes what it does not need.
+    read, and Catalyst prunes what it does not need.  With ``states`` everything
+    but the detail export comes from the daily states.
     """
     kept = [] if kept is None else kept
 
@@ -112,10 +121,17 @@ def build_task(
         return df
 
     dated = predicates.date_range(visits, params.start_date, params.end_date)
-    # one scan + one shuffle of the visit log for both the rollup and the
-    # session x category counts (persisted, split by category_id NULL / not)
-    combined = keep(sessions.rollup_and_kinds(dated, params, params.split_ids))
-    rolled = sessions.rollup_part(combined)
+    if states is not None:
+        days = states.between(params.start_date, params.end_date)
+        rolled = daily.rollup_from_daily(*days, params)
+        kinds = keep(daily.kinds_from_daily(days.values, params.split_ids))
+        keywords = daily.keywords_from_daily(days.values)
+    else:
+        # one scan + one shuffle of the visit log for both the rollup and the
+        # session x category counts (persisted, split by category_id NULL / not)
+        combined = keep(sessions.rollup_and_kinds(dated, params, params.split_ids))
+        rolled = sessions.rollup_part(combined)
+        kinds, keywords = sessions.kinds_part(combined), sessions.keywords_part(combined)
     variants = user_variants(users)
     if reuse:
         variants, _ = broadcast_if_small(variants, kept)  # aggregated and measured once
@@ -132,7 +148,6 @@ def build_task(
         weights = topn.session_weights(filtered)
     else:
         weights = topn.user_weights(None, variants=variants)
-    kinds = sessions.kinds_part(combined)
     top_cat = topn.top_categories(topn.category_counts_from(kinds, weights), params.top_n, taskid)
     top_sess = keep(topn.top_sessions_per_category(topn.session_clicks_from(kinds, weights), params.top_n, taskid))
     detail_src = dated if params.restrict_dates else visits
@@ -142,7 +157,7 @@ def build_task(
 
     def sample() -> DataFrame:
         return extract.random_extract_from_parts(
-            profile, kinds, sessions.keywords_part(combined), params.extract_per_day, params.extract_seed, taskid, kept, reuse
+            profile, kinds, keywords, params.extract_per_day, params.extract_seed, taskid, kept, reuse
         )
 
     return TaskResults(stat, top_cat, top_sess, detail, sample if params.extract_per_day > 0 else None), kept
@@ -173,18 +188,25 @@ def run_task(
     taskid: int,
     out_dir: str,
     checkpoint: bool = False,
+    states: daily.DailyStates | None = None,
 ) -> dict[str, str]:
-    """Compute and write the task's result tables; returns table -> path.
+    """Compute, write and publish the task's result tables; returns table -> path.
 
-    Raises ValueError when no session passes the filters (nothing is written).
+    Raises ValueError when no session passes the filters.  Whatever fails, readers keep
+    the task's old results in all tables; on success they get all new ones.
     """
     kept: list[DataFrame] = []
+    run = new_run()
     try:
-        results, _ = build_task(visits, users, params, taskid, checkpoint, require_sessions=True, kept=kept)
-        paths = write_all(results.tables(), lambda name, df: write_result(df, out_dir, name, taskid))
+        results, _ = build_task(visits, users, params, taskid, checkpoint, require_sessions=True, kept=kept, states=states)
+        paths = write_all(results.tables(), lambda name, df: write_result(df, out_dir, name, taskid, run=run))
         if "session_random_extract" not in paths:  # extraction is off: no rows of an earlier run stay
-            clear_result(spark, out_dir, "session_random_extract", taskid)
+            clear_result(spark, out_dir, "session_random_extract", taskid, run=run)
+        commit(spark, out_dir, taskid, run, list(RESULT_TABLES))
         return paths
+    except BaseException:
+        discard(spark, out_dir, taskid, run, list(RESULT_TABLES))
+        raise
     finally:
         for df in kept:
             if df.is_cached:

@@ -169,10 +169,33 @@ ACTS = """acts AS (
   SELECT session_id, user_id, 'pay', TRY_CAST(pay_category_ids AS BIGINT) FROM uva
   WHERE TRY_CAST(pay_category_ids AS BIGINT) IS NOT NULL)"""
 
-# Orders of two categories each: the event's own and its product's number.
+# Order and pay fields as the text they hold.
+ACTS_TEXT = """acts AS (
+  SELECT session_id, user_id, 'order' AS kind, order_category_ids AS category_id FROM uva
+  UNION ALL SELECT session_id, user_id, 'pay', pay_category_ids FROM uva)"""
+
+# Orders and payments of two categories each: the event's own and its product's number.
 ACTS_SPLIT = """acts AS (
-  SELECT session_id, user_id, 'order' AS kind, TRY_CAST(unnest([order_category_ids, order_product_ids]) AS BIGINT) AS category_id
+  SELECT session_id, user_id, 'order' AS kind, unnest([order_category_ids, order_product_ids]) AS category_id
   FROM uva WHERE order_category_ids IS NOT NULL)"""
+ACTS_LISTS = """acts AS (
+  SELECT session_id, user_id, 'order' AS kind, order_category_ids || ',' || order_product_ids AS category_id FROM uva
+  UNION ALL SELECT session_id, user_id, 'pay', pay_category_ids || ',' || pay_product_ids FROM uva)"""
+
+# Every value of a session in arrival order.
+LISTS = """vals AS (
+  SELECT session_id, user_id, kind, list(value ORDER BY action_time, page_id, value) AS l FROM (
+    SELECT session_id, user_id, action_time, page_id, 'search' AS kind, search_keyword AS value FROM uva
+    UNION ALL SELECT session_id, user_id, action_time, page_id, 'click', CAST(click_category_id AS VARCHAR) FROM uva
+    UNION ALL SELECT session_id, user_id, action_time, page_id, 'order', order_category_ids FROM uva
+    UNION ALL SELECT session_id, user_id, action_time, page_id, 'pay', pay_category_ids FROM uva)
+  WHERE value IS NOT NULL GROUP BY session_id, user_id, kind)"""
+
+
+def _list_of(kind: str) -> str:
+    """A profile row's list of one kind."""
+    found = f"SELECT array_to_string(l, chr(1)) FROM vals v WHERE v.session_id = p.session_id AND v.user_id = p.user_id AND kind = '{kind}'"
+    return f"coalesce(({found}), '')"
 
 ACTS_JOINED = "acts a JOIN ui u ON a.user_id = u.userid"
 
@@ -180,7 +203,7 @@ ACTS_JOINED = "acts a JOIN ui u ON a.user_id = u.userid"
 def _kind_count(kind: str, acts: str = ACTS) -> str:
     return (_with(_uva(dated=False), UI, acts)
             + f"SELECT a.category_id, CAST(count(*) AS BIGINT) AS {kind}_count FROM {ACTS_JOINED} "
-              f"WHERE a.kind = '{kind}' GROUP BY a.category_id")
+              f"WHERE a.kind = '{kind}' AND a.category_id IS NOT NULL GROUP BY a.category_id")
 
 
 def _top10_category(source: str, extra_ctes: list[str], dated: bool = False) -> str:
@@ -287,6 +310,12 @@ SQL: dict[str, str] = {
     + f"""SELECT datestr, session_id, user_id, strftime(action_time, '{TIME_FMT}') AS action_time,
        search_keyword, click_category_id, order_category_ids, pay_category_ids FROM uva""",
     "user_scan": _with(UI) + "SELECT userid, age, professional, city, sex FROM ui",
+    "lenient_times": """WITH e AS (
+  SELECT event_id, date_trunc('second', ts) AS plain, CASE WHEN event_id % 17 > 0 THEN date_trunc('month', ts) + to_months(event_id % 15)
+    + to_days(day(ts) - 1 + event_id % 40) + to_hours(hour(ts) + event_id % 30) + to_minutes(minute(ts) + event_id % 70)
+    + to_seconds(second(ts) + event_id % 100) END AS t FROM (SELECT ts, CAST(event_id AS INTEGER) AS event_id FROM events))
+SELECT CAST(event_id AS BIGINT) AS event_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS time_read, coalesce(t < plain, FALSE) AS is_before,
+       coalesce(t > plain, FALSE) AS is_after, CAST(coalesce(date_diff('second', plain, t), 0) AS BIGINT) AS seconds FROM e""",
     "task_params": _with(TASKS) + f"SELECT {DECODED} FROM tasks",
     "task_lookup": _with(TASKS) + f"SELECT task_name, task_type, task_status, {DECODED} FROM tasks "
     f"WHERE taskid = {Q.LOOKUP_TASK_ID}",
@@ -306,6 +335,17 @@ FROM uva GROUP BY session_id, user_id""",
   UNION ALL SELECT session_id, user_id, 'click', CAST(click_category_id AS VARCHAR) FROM uva
   UNION ALL SELECT session_id, user_id, 'order', order_category_ids FROM uva
   UNION ALL SELECT session_id, user_id, 'pay', pay_category_ids FROM uva) WHERE value IS NOT NULL GROUP BY ALL""",
+    "session_value_chunks": _with(_uva("month"), LISTS)
+    + f"""SELECT session_id, user_id, kind, CAST(c AS BIGINT) AS chunk_no,
+       array_to_string(l[{Q.VALUE_CHUNK} * c + 1:{Q.VALUE_CHUNK} * (c + 1)], chr(1)) AS chunk_values
+FROM (SELECT *, unnest(range(0, (len(l) + {Q.VALUE_CHUNK} - 1) // {Q.VALUE_CHUNK})) AS c FROM vals)""",
+    "session_profile_lists": _with(*_base(), LISTS)
+    + f"""SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length, age, professional, city,
+       sex, count(*) AS weight, CAST(0 AS BIGINT) AS chunk_no, {_list_of('search')} AS search_keywords,
+       {_list_of('click')} AS click_category_ids, {_list_of('order')} AS order_category_ids, {_list_of('pay')} AS pay_category_ids
+FROM prof p GROUP BY ALL""",
+    "rollup_from_daily": _with(_uva("month"), SESS)
+    + f"SELECT session_id, user_id, strftime(start_time, '{TIME_FMT}') AS start_time, visit_length, step_length FROM sess",
     "filter_age": _filtered("p.age BETWEEN 20 AND 40"),
     "filter_age_open": _filtered("p.age >= 50"),
     "filter_professional": _filtered(f"p.professional IN ({_in_list(Q.PROFESSIONALS)})"),
@@ -317,6 +357,8 @@ FROM uva GROUP BY session_id, user_id""",
     "filter_keywords_substring": _filtered(_exists_action("strpos(a.search_keyword, 'w1') > 0")),
     "filter_categories_substring": _filtered(_exists_action("strpos(CAST(a.click_category_id AS VARCHAR), '7') > 0")),
     "filter_all": _filtered(FILTER_ALL),
+    "filter_keywords_long": _filtered(_exists_action("a.search_keyword IN ('kw1', 'kw8')")),
+    "filter_categories_long": _filtered(_exists_action("a.click_category_id % 9 = 4")),
     "filter_keywords_ignore": _filtered("TRUE"),
     "filter_categories_ignore": _filtered("TRUE"),
     "filter_professional_substring": _filtered("strpos('AUTOMOBILE,BUILDING', p.professional) > 0"),
@@ -328,8 +370,10 @@ FROM uva GROUP BY session_id, user_id""",
     "kv_in": _kv(KV_IN),
     "kv_equal": _kv(KV_EQUAL),
     "category_click_counts": _kind_count("click"),
-    "category_order_counts": _kind_count("order"),
-    "category_pay_counts": _kind_count("pay"),
+    "category_order_counts": _kind_count("order", ACTS_TEXT),
+    "category_pay_counts": _kind_count("pay", ACTS_TEXT),
+    "category_order_counts_lists": _kind_count("order", ACTS_LISTS),
+    "category_pay_counts_lists": _kind_count("pay", ACTS_LISTS),
     "category_order_counts_split": _kind_count("order", ACTS_SPLIT),
     "session_category_clicks": _with(_uva(dated=False), UI, ACTS, SCC) + "SELECT session_id, category_id, click_count FROM scc",
     "visit_length_histogram": _histogram(VISIT_BUCKETS, divisor=Q.TIME_DIVISOR),
@@ -369,3 +413,5 @@ FROM uva GROUP BY session_id, user_id""",
     + f"SELECT {DETAIL_COLS} FROM uva_all v WHERE v.session_id IN (SELECT sessionid FROM top)",
     "task_random_extract": _with(*_base(dated=True), HOURS, DRAWN) + EXTRACT_SELECT,
 }
+# the same tables from daily states
+SQL |= {f"daily_{name}": SQL[f"task_{name}"] for name in ("session_aggr_stat", "top10_category", "top10_session", "random_extract")}

@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.functions.dates import format_time
+from visitlens.functions.dates import after, before, format_time, minus, parse_time
 from visitlens.functions.text import kv_between, kv_equal, kv_in, kv_record
-from visitlens.operators import extract, predicates, sessions, stats, topn
+from visitlens.operators import daily, extract, lists, predicates, sessions, stats, topn
 from visitlens.params import TaskParams
 from visitlens.sources import fixtures
 
@@ -41,6 +41,9 @@ TIME_DIVISOR = 40  # compresses the clock so every visit-length bucket is hit
 KV_PARAM = "startAge=20|endAge=40|cities=NATION_10,NATION_2|sex=male"
 LOOKUP_TASK_ID = 20240115
 LARGE_N = 5000
+LONG_KEYWORDS = ",".join(f"kw{7 * i + 1}" for i in range(100_000))
+LONG_CATEGORY_IDS = ",".join(str(9 * i + 4) for i in range(100_000))
+VALUE_CHUNK = 4  # values of a chunk, few enough that sessions have several
 KV_NO_PARAM = "sex=male"  # neither ages nor cities are given
 
 PROFILE_OUT = ["session_id", "user_id", "start_time", "visit_length", "step_length", "age", "professional", "city", "sex",
@@ -80,6 +83,25 @@ def visit_scan(spark, sf_dir):
     )
 
 
+def lenient_times(spark, sf_dir):
+    """Times whose fields are out of range or followed by text, read leniently and compared."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    number = lambda part, m: (F.col(part).cast("int") + F.col("event_id") % m).cast("string")
+    parts = {"y": F.year("ts"), "mo": F.month("ts"), "d": F.dayofmonth("ts"), "h": F.hour("ts"), "mi": F.minute("ts"), "s": F.second("ts")}
+    t = events.select("event_id", format_time("ts").alias("plain"), *[c.alias(n) for n, c in parts.items()])
+    rolled = F.concat(F.col("y").cast("string"), F.lit("-"), number("mo", 15), F.lit("-"), number("d", 40), F.lit(" "),
+                      number("h", 30), F.lit(":"), number("mi", 70), F.lit(":"), number("s", 100), F.lit(" GMT+1"))
+    t1 = F.when(F.col("event_id") % 17 == 0, F.lit("not a time")).otherwise(rolled)
+    t = t.select("event_id", t1.alias("t1"), F.concat("plain", F.lit(".5Z")).alias("t2"))
+    return t.select(
+        "event_id",
+        format_time(parse_time("t1", lenient=True)).alias("time_read"),
+        before("t1", "t2", lenient=True).alias("is_before"),
+        after("t1", "t2", lenient=True).alias("is_after"),
+        minus("t1", "t2", lenient=True).alias("seconds"),
+    )
+
+
 def user_scan(spark, sf_dir):
     return fixtures.user_info(spark, sf_dir)
 
@@ -115,6 +137,27 @@ def session_values(spark, sf_dir):
     return sessions.session_values(_visits(spark, sf_dir))
 
 
+def session_value_chunks(spark, sf_dir):
+    """Each session's values in arrival order, in chunks joined by the reference's separator."""
+    chunks = lists.session_value_chunks(_visits(spark, sf_dir, grain="month"), VALUE_CHUNK)
+    return chunks.select("session_id", "user_id", "kind", "chunk_no", F.concat_ws(lists.SEPARATOR, "values").alias("chunk_values"))
+
+
+def session_profile_lists(spark, sf_dir):
+    """P1: the profile with its four ordered lists."""
+    visits = _visits(spark, sf_dir)
+    profile = sessions.session_profile(sessions.session_rollup(visits), fixtures.user_info(spark, sf_dir))
+    wide = lists.session_profile_lists(profile, visits)
+    return wide.withColumn("start_time", format_time("start_time"))
+
+
+def rollup_from_daily(spark, sf_dir):
+    """Sessions of a month merged from one state per session and day."""
+    states = daily.daily_sessions(_visits(spark, sf_dir, grain="month"))
+    r = daily.rollup_from_daily(states)
+    return r.select("session_id", "user_id", format_time("start_time").alias("start_time"), "visit_length", "step_length")
+
+
 def session_profile(spark, sf_dir):
     return _profile_out(_profile(spark, sf_dir))
 
@@ -184,9 +227,9 @@ def step_length_histogram(spark, sf_dir):
 
 # --- top-N -------------------------------------------------------------------------
 
-def _actions_and_weights(spark, sf_dir, params: TaskParams = TaskParams(), kind: str | None = None):
+def _actions_and_weights(spark, sf_dir, params: TaskParams = TaskParams(), kind: str | None = None, id_lists: bool = False):
     visits = _visits(spark, sf_dir)
-    if params.split_ids:
+    if id_lists:
         visits = _with_id_lists(visits)
     acts = topn.category_actions(visits, params.split_ids, kind)
     if params.top_scope == "filtered":
@@ -206,9 +249,9 @@ def _with_id_lists(visits: DataFrame) -> DataFrame:
     })
 
 
-def _kind_counts(kind: str, params: TaskParams = TaskParams()):
+def _kind_counts(kind: str, params: TaskParams = TaskParams(), id_lists: bool = False):
     def run(spark, sf_dir):
-        acts, w = _actions_and_weights(spark, sf_dir, params, kind)
+        acts, w = _actions_and_weights(spark, sf_dir, params, kind, id_lists)
         return topn.kind_counts(acts, w, kind)
 
     return run
@@ -297,12 +340,13 @@ def random_extract_large(spark, sf_dir):
 TASK_PARAMS = STAT_PARAMS.with_options(extract_per_day=EXTRACT_PER_DAY, extract_seed=EXTRACT_SEED)
 
 
-def _task_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _task_table(name: str, from_states: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from visitlens.plans.job import build_task
 
         visits, users = fixtures.visit_actions(spark, sf_dir), fixtures.user_info(spark, sf_dir)
-        results, _ = build_task(visits, users, TASK_PARAMS, TASK_ID, reuse=False)
+        states = daily.daily_states(visits) if from_states else None
+        results, _ = build_task(visits, users, TASK_PARAMS, TASK_ID, reuse=False, states=states)
         return getattr(results, name)
 
     return run
@@ -311,12 +355,16 @@ def _task_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_scan": visit_scan,
     "user_scan": user_scan,
+    "lenient_times": lenient_times,
     "task_params": task_params,
     "task_lookup": task_lookup,
     "session_rollup": session_rollup,
     "session_profile": session_profile,
     "session_value_lists": session_value_lists,
     "session_values": session_values,
+    "session_value_chunks": session_value_chunks,
+    "session_profile_lists": session_profile_lists,
+    "rollup_from_daily": rollup_from_daily,
     "filter_age": _filtered(TaskParams(start_age="20", end_age="40")),
     "filter_age_open": _filtered(TaskParams(start_age="50")),
     "filter_professional": _filtered(TaskParams(professionals=PROFESSIONALS)),
@@ -331,6 +379,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         TaskParams(start_age="20", end_age="60", professionals=PROFESSIONALS, sex="female",
                    keywords=KEYWORDS, category_ids=CATEGORY_IDS)
     ),
+    "filter_keywords_long": _filtered(TaskParams(keywords=LONG_KEYWORDS)),
+    "filter_categories_long": _filtered(TaskParams(category_ids=LONG_CATEGORY_IDS)),
     "filter_keywords_ignore": _filtered(TaskParams(keywords=KEYWORDS, keyword_mode="ignore")),
     "filter_categories_ignore": _filtered(TaskParams(category_ids=CATEGORY_IDS, category_mode="ignore")),
     "filter_professional_substring": _filtered(TaskParams(professionals=PROFESSIONALS, list_match="substring")),
@@ -342,7 +392,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_click_counts": _kind_counts("click"),
     "category_order_counts": _kind_counts("order"),
     "category_pay_counts": _kind_counts("pay"),
-    "category_order_counts_split": _kind_counts("order", TaskParams(split_ids=True)),
+    "category_order_counts_split": _kind_counts("order", TaskParams(split_ids=True), id_lists=True),
+    "category_order_counts_lists": _kind_counts("order", id_lists=True),
+    "category_pay_counts_lists": _kind_counts("pay", id_lists=True),
     "session_category_clicks": session_category_clicks,
     "visit_length_histogram": visit_length_histogram,
     "step_length_histogram": step_length_histogram,
@@ -368,4 +420,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "task_top10_session": _task_table("top10_session"),
     "task_session_detail": _task_table("session_detail"),
     "task_random_extract": _task_table("session_random_extract"),
+    "daily_session_aggr_stat": _task_table("session_aggr_stat", from_states=True),
+    "daily_top10_category": _task_table("top10_category", from_states=True),
+    "daily_top10_session": _task_table("top10_session", from_states=True),
+    "daily_random_extract": _task_table("session_random_extract", from_states=True),
 }
