@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.schema import VISIT_ACTION_TEXT
 from visitlens.session import checkpoint_dir
-from visitlens.sources.visits import FIELD_SEP, NULL_TEXT, conform
+from visitlens.sources.visits import FIELD_SEP, NULL_TEXT, checked_visits, conform
 
 
 def visit_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,6 +34,42 @@ def visit_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return conform(reader.csv(path))
 
 
+def checked_text_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, strict_values: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``(visits, rejects)``, two streams over the same files (``sources.visits.checked_visits``)."""
+    reader = spark.readStream.option("lineSep", "\n")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return checked_visits(reader.text(path), strict_values=strict_values)
+
+
+def _checkpoint(stream: DataFrame, table_path: str, name: str) -> str:
+    table = hashlib.sha256(table_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}-{table}"
+
+
+def start_reject_log(
+    rejects: DataFrame,
+    table_path: str,
+    checkpoint_location: str | None = None,
+    available_now: bool = False,
+    processing_time: str = "1 minute",
+    name: str = "visit_log_rejects",
+) -> StreamingQuery:
+    """Append rejected lines to a table of their own, partitioned by ``reason``."""
+    writer = (
+        rejects.writeStream.format("parquet")
+        .option("path", table_path)
+        .option("checkpointLocation", checkpoint_location or _checkpoint(rejects, table_path, name))
+        .partitionBy("reason")
+        .outputMode("append")
+        .queryName(name)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def start_ingest(
     stream: DataFrame,
     table_path: str,
@@ -51,8 +87,7 @@ def start_ingest(
     tables.
     """
     if checkpoint_location is None:
-        table = hashlib.sha256(table_path.rstrip("/").encode()).hexdigest()[:16]
-        checkpoint_location = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{name}-{table}"
+        checkpoint_location = _checkpoint(stream, table_path, name)
     writer = (
         stream.writeStream.format("parquet")
         .option("path", table_path)
