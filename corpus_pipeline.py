@@ -22,19 +22,30 @@ from visitlens.llm.sentencepieces import encode_texts
 from visitlens.llm.substring import dedup_substrings
 from visitlens.llm.tables import only_ids, ship_code, table, written
 
-#: A document goes if its best language has a lower calibrated probability.
-MIN_LANGUAGE_SCORE = 0.4
+#: A document goes if its best language has a lower calibrated probability, or if fewer of its
+#: n-grams are known from the training documents (which also tells texts of no learned
+#: language, however few languages are learned).
+MIN_LANGUAGE_SCORE, MIN_FAMILIAR = 0.4, 0.5
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have (names are compared without case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; ``lang`` itself is left as it is."""
     ship_code(spark)
     model = fit_language_model(docs.filter(~held_out(docs["doc_id"])))
-    return keep_identified(docs, model, MIN_LANGUAGE_SCORE)
+    return keep_identified(docs, model, MIN_LANGUAGE_SCORE, min_familiar=MIN_FAMILIAR)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates; one row per id."""
+    """The document with the smallest id of every group of near duplicates; one row per id (of
+    several texts under one id the one with the smallest hash)."""
     ship_code(spark)
     found = written(near_duplicates(docs), "stage-groups").filter("doc_id IS NOT NULL")
     dropped = written(found.filter("NOT kept").select("doc_id").distinct(), "stage-dropped")
@@ -42,30 +53,35 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     repeated = written(repeated, "stage-repeated")
     kept = only_ids(docs, dropped, "doc_id", "left_anti")
     once = only_ids(kept, repeated, "doc_id", "left_anti")
-    return once.unionByName(only_ids(kept, repeated, "doc_id").dropDuplicates(["doc_id"])).select(*docs.columns)
+    rest, row = [c for c in docs.columns if c != "doc_id"], _free(docs, "row")
+    least = F.min_by(F.struct(*rest), F.struct(F.xxhash64("text"), "text"))
+    one = only_ids(kept, repeated, "doc_id").groupBy("doc_id").agg(least.alias(row)).select("doc_id", f"{row}.*")
+    return once.unionByName(one.select(*docs.columns)).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier documents hold; a document that loses all
     its words goes.  Texts that lose words are written as their words joined by one space."""
     ship_code(spark)
+    kept_text, left = _free(docs, "kept_text"), _free(docs, "left_words")
     cut = dedup_substrings(docs, with_text=True).filter("n_removed > 0")
-    cut = cut.groupBy("doc_id").agg(F.max("kept_text").alias("__text"), F.max(F.col("n_words") - F.col("n_removed")).alias("__left"))
-    out = docs.join(written(cut, "stage-cut"), "doc_id", "left").filter("__left IS NULL OR __left > 0")
-    out = out.withColumn("text", F.coalesce("__text", "text"))
+    cut = cut.groupBy("doc_id").agg(F.max("kept_text").alias(kept_text), F.max(F.col("n_words") - F.col("n_removed")).alias(left))
+    out = docs.join(written(cut, "stage-cut"), "doc_id", "left").filter(F.col(left).isNull() | (F.col(left) > 0))
+    out = out.withColumn("text", F.coalesce(kept_text, "text"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("__text").isNull(), F.col("n_chars")).otherwise(length))
+        out = out.withColumn("n_chars", F.when(F.col(kept_text).isNull(), F.col("n_chars")).otherwise(length))
     return out.select(*docs.columns)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     ship_code(spark)
-    copies = mix_sources(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    taken = F.when(F.col("doc_id").isNull(), 1).otherwise(F.coalesce("__copies", F.lit(0)))
-    out = docs.join(written(copies, "stage-copies"), "doc_id", "left").withColumn("__copies", taken.cast("int")).filter("__copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+    copies, copy = _free(docs, "copies"), _free(docs, "copy")
+    wanted = mix_sources(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("copies").alias(copies))
+    taken = F.when(F.col("doc_id").isNull(), 1).otherwise(F.coalesce(copies, F.lit(0)))
+    out = docs.join(written(wanted, "stage-copies"), "doc_id", "left").withColumn(copies, taken.cast("int")).filter(F.col(copies) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
