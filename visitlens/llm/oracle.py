@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, as plain brute force.
 
-Learned models (5, 7, 8, 9), Newton and eigenvector iterations (3, 12), n-gram coverage verdicts (4) and greedy
-merging (1) are not expressed; tests hold them against brute-force versions instead.
+Learned models (5, 7, 8, 9), Newton and eigenvector iterations (3, 12) and greedy merging (1)
+are not expressed; tests hold them against brute-force versions instead.
 """
 
 from __future__ import annotations
@@ -63,6 +63,54 @@ SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, coalesce(com
 FROM embeddings v LEFT JOIN n ON n.vec_id = v.vec_id LEFT JOIN low ON low.vec_id = v.vec_id
 """
 
+_BLANKS = r"[\x20\x09-\x0D]+"
+
+REPETITION = f"""
+WITH w AS (SELECT doc_id, text, coalesce({_WORDS.format(text="text")}, []) AS ws FROM documents),
+size AS (
+  SELECT doc_id, len(ws) AS n, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS chars,
+         coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0) AS symbols FROM w),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(list_transform(ws, lambda x: length(x))) AS chars FROM w),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM w),
+marked AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id, line ORDER BY place) > 1 AS again, length(regexp_replace(line, '{_BLANKS}', '', 'g')) AS chars
+  FROM lines WHERE length(regexp_replace(line, '{_BLANKS}', '', 'g')) > 0),
+per_line AS (
+  SELECT doc_id, count(*) AS n, count_if(again) AS dup, coalesce(sum(chars) FILTER (again), 0) AS dup_chars FROM marked GROUP BY doc_id),
+runs AS (
+  SELECT doc_id, p AS i, word, {", ".join(f"lead(word, {k}) OVER (PARTITION BY doc_id ORDER BY p) AS w{k}" for k in range(1, 10))}
+  FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM w)),
+grams AS (
+  {" UNION ALL ".join(f"SELECT doc_id, {n} AS n, i, concat_ws(' ', word, {', '.join(f'w{k}' for k in range(1, n))}) AS g FROM runs WHERE w{n - 1} IS NOT NULL" for n in range(2, 11))}),
+counted AS (
+  SELECT doc_id, n, i, length(g) - n + 1 AS chars, count(*) OVER (PARTITION BY doc_id, n, g) AS times,
+         row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS nth FROM grams),
+top AS (
+  SELECT doc_id, {", ".join(f"max(times * chars) FILTER (n = {n}) AS t{n}" for n in (2, 3, 4))}
+  FROM counted WHERE n <= 4 AND times >= 3 GROUP BY doc_id),
+spread AS (
+  SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS p FROM counted WHERE (n >= 5 AND nth > 1) OR (n = 3 AND times > 1)),
+covered AS (
+  SELECT doc_id, count(*) FILTER (n = 3) AS repeated, {", ".join(f"sum(chars) FILTER (n = {n}) AS d{n}" for n in range(5, 11))}
+  FROM spread JOIN words USING (doc_id, p) GROUP BY doc_id),
+shares AS (
+  SELECT s.doc_id, s.n AS n_words, s.chars AS word_chars, CAST(symbols AS BIGINT) AS n_symbols, CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated, 0) AS BIGINT) AS n_repeat_words, coalesce(CAST(l.dup AS DOUBLE) / l.n, 0.0) AS dup_line_share,
+         coalesce(CAST(l.dup_chars AS DOUBLE), 0.0) / greatest(s.chars, 1) AS dup_line_char_share,
+         {", ".join(f"coalesce(CAST(t{n} AS DOUBLE), 0.0) / greatest(s.chars, 1) AS t{n}" for n in (2, 3, 4))},
+         {", ".join(f"coalesce(CAST(d{n} AS DOUBLE), 0.0) / greatest(s.chars, 1) AS dup_{n}gram_share" for n in range(5, 11))}
+  FROM size s LEFT JOIN per_line l ON l.doc_id = s.doc_id LEFT JOIN top ON top.doc_id = s.doc_id LEFT JOIN covered c ON c.doc_id = s.doc_id),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM shares)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND dup_line_char_share <= 0.20 AND t2 <= 0.20 AND t3 <= 0.18 AND t4 <= 0.16 AND dup_5gram_share <= 0.20
+         AND dup_6gram_share <= 0.19 AND dup_7gram_share <= 0.18 AND dup_8gram_share <= 0.17 AND dup_9gram_share <= 0.16
+         AND dup_10gram_share <= 0.15 AS kept,
+       dup_line_share, dup_line_char_share, least(t2, 1.0) AS top_2gram_share, least(t3, 1.0) AS top_3gram_share,
+       least(t4, 1.0) AS top_4gram_share, dup_5gram_share, dup_6gram_share, dup_7gram_share, dup_8gram_share, dup_9gram_share,
+       dup_10gram_share
+FROM judged
+"""
+
 _TERMS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
 CONTAMINATION = f"""
@@ -108,6 +156,7 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE
 
 SQL = {
     "op2_substring_dedup": SUBSTRINGS,
+    "op4_quality_rules": REPETITION,
     "op6_embedding_near_dedup": NEAR_VECTORS,
     "op10_minhash_near_dedup": NEAR_DOCUMENTS,
     "op11_decontamination": CONTAMINATION,

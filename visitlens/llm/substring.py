@@ -14,12 +14,13 @@ offset.  So:
    the first, so only the first goes on (it has the smallest id, so nothing is lost);
 2. anchors are hashed and counted by one pre-aggregated grouping; anchors that occur in
    two documents are joined back to their places;
-3. only windows that hold a shared anchor are extended to the full length: their 128-bit
+3. only windows that hold a shared anchor are extended to the full length: their 124-bit
    hashes are grouped, and the smallest id that holds a window decides.
 
 Places of a hot anchor or window meet in joins whose sides are both read from written
 tables, so adaptive execution can split them; no group is gathered in one task.  Equality
-of windows is equality of two independent 64-bit hashes.
+of windows is equality of two independent hashes of 62 bits each (polynomials modulo a
+prime over hashed words).
 
 Defined results: a null or empty text has no words; a row with a null id keeps its words
 and removes none; rows with the same id never remove words of each other; documents
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import only_ids, ship_code, written
-from .words import Rolling, Texts, mix, signed, slices
+from .words import Rolling, Texts, signed, slices
 
 # Perfect difference sets, period: members.
 COVERS = {
@@ -50,7 +51,6 @@ COVERS = {
     57: (0, 1, 3, 13, 32, 36, 43, 52),
 }
 WINDOW = 50
-_OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def is_cover(period: int, members: tuple[int, ...]) -> bool:
@@ -68,7 +68,7 @@ def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
 
 def _hash_pair(t: Texts) -> tuple[Rolling, Rolling]:
     h = t.word_hashes()
-    return Rolling(h), Rolling(mix(h ^ _OTHER))
+    return Rolling(h), Rolling(h, 1)
 
 
 def _sha(words: list[bytes]) -> str:
@@ -101,9 +101,9 @@ def _anchors(window: int):
                 place = at - t.first[doc]
                 keep = at_cover[place % period] & (t.n_words[doc] >= window)
                 at, doc, place = at[keep], doc[keep], place[keep]
-                h = Rolling(t.word_hashes()).spans(at, at + length)
-                whole = Rolling(t.word_hashes()).spans(t.first[:-1], t.first[1:])
-                arrays = [signed(h), pa.array(ids[lo:hi][doc]), signed(whole[doc]), pa.array(place.astype(np.int32))]
+                rolling = Rolling(t.word_hashes())
+                whole = rolling.spans(t.first[:-1], t.first[1:])
+                arrays = [signed(rolling.spans(at, at + length)), pa.array(ids[lo:hi][doc]), signed(whole[doc]), pa.array(place.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "s1", "place"])
 
     return run

@@ -1,12 +1,15 @@
 """Words and their hashes for a batch of texts, in numpy.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, which is the pattern
-``[^\\x20\\x09-\\x0D]+`` on the UTF-8 text.  Batches are cut into slices of 256 KB (or
+``[^\\x20\\x09-\\x0D]+`` on the UTF-8 text.  Word hashes mix eight bytes at a time, and
+hashes of word sequences are polynomials modulo a prime, so no text is built to collide by
+its regularity (powers of two as modulus would let Thue-Morse sequences).  Batches are cut into slices of 256 KB (or
 one longer text), so a task's memory follows the longest text and not the batch.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +18,11 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 18
 _U = np.uint64
 _GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
-_R = 0x2545F4914F6CDD1D | 1
-_RINV = pow(_R, -1, 1 << 64)
+#: Rolling hashes are polynomials modulo this Mersenne prime; fixed bases, two a hash.
+_P = _U((1 << 31) - 1)
+_BASES = ((1_082_269_761, 1_766_319_049), (913_447_657, 2_038_074_743))
+#: Spans of more bytes are digested one by one; shorter ones eight bytes of all at a time.
+LONG_SPAN = 512
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -35,35 +41,76 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix((np.arange(256, dtype=_U) + _U(1)) * _GOLD)
-_pow = [np.ones(1, _U), np.ones(1, _U)]
+def _mod(x: np.ndarray) -> np.ndarray:
+    """``x`` (below 2 ** 62) modulo the prime."""
+    x = (x & _P) + (x >> _U(31))
+    x = (x & _P) + (x >> _U(31))
+    return x - _P * (x >= _P)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``R**i`` and ``R**-i`` modulo 2**64 for i < n."""
-    if len(_pow[0]) < n:
+def _power_table(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, _U)
+    done, step = 1, base  # step is base ** done
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = _mod(out[:more] * _U(step))
+        done, step = done + more, step * step % int(_P)
+    return out
+
+
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base ** i`` and ``base ** -i`` modulo the prime for i < n."""
+    if base not in _tables or len(_tables[base][0]) < n:
         size = max(n, 1 << 16)
-        for k, base in enumerate((_R, _RINV)):
-            steps = np.full(size, _U(base), _U)
-            steps[0] = 1
-            _pow[k] = np.cumprod(steps, dtype=_U)
-    up, down = _pow[0][:n], _pow[1][:n]
-    if len(_pow[0]) > 1 << 23:  # a very long text: do not hold on to its tables
-        _pow[:] = [np.ones(1, _U), np.ones(1, _U)]
+        _tables[base] = _power_table(base, size), _power_table(pow(base, -1, int(_P)), size)
+    up, down = _tables[base][0][:n], _tables[base][1][:n]
+    if len(_tables[base][0]) > 1 << 23:  # a very long text: do not hold on to its tables
+        del _tables[base]
     return up, down
 
 
 class Rolling:
-    """Rolling hashes over a sequence of 64-bit values: any span in constant time."""
+    """Rolling hashes over a sequence of 64-bit values: any span in constant time.
+
+    Two polynomials modulo a prime, over different 31 bits of the values; hashes of another
+    ``seed`` are independent."""
 
-    def __init__(self, h: np.ndarray):
-        up, self.down = powers(len(h) + 1)
-        self.total = np.zeros(len(h) + 1, _U)
-        np.cumsum(h * up[:-1], out=self.total[1:])
+    def __init__(self, h: np.ndarray, seed: int = 0):
+        h = mix(h ^ _U(seed * 0x632BE59BD9B4E019)) if seed else h
+        self.lanes = []
+        for base, bits in zip(_BASES[seed], (_U(0), _U(31))):
+            up, down = powers(base, len(h) + 1)
+            total = np.zeros(len(h) + 1, _U)
+            np.cumsum(_mod(_mod((h >> bits) & _U((1 << 31) - 1)) * up[:-1]), out=total[1:])
+            self.lanes.append((total, down))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A hash of every ``h[start:end]``, its length included."""
-        return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(_U) * _GOLD)
+        found = [_mod(_mod(total[end] - total[start]) * down[start]) for total, down in self.lanes]
+        return mix((found[0] | (found[1] << _U(31))) + (end - start).astype(_U) * _GOLD)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span, by chained mixing; spans of up to eight
+    bytes and equal length never collide."""
+    h = mix(length.astype(_U) * _GOLD)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    loads = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # eight bytes from any place
+    rows = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+    done = 0
+    while len(rows):
+        left = length[rows] - done
+        cut = (_U(8) * (_U(8) - np.minimum(left, 8).astype(_U)))
+        part = (loads[start[rows] + done] << cut) >> cut
+        h[rows] = mix(h[rows] ^ part)
+        rows, done = rows[left > 8], done + 8
+    for row in np.flatnonzero(length > LONG_SPAN):
+        raw = data[start[row] : start[row] + length[row]].tobytes()
+        h[row] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+    return h
 
 
 class Texts:
@@ -89,29 +136,19 @@ class Texts:
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), self.n_words)
 
-    def _byte_sums(self, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Running sums over the words' bytes, and each word's first place in them and length."""
-        length = self.end - self.start
-        at = np.cumsum(length) - length
-        raw = self.data[self.solid]
-        place = np.arange(len(raw)) - np.repeat(at, length)
-        total = np.zeros(len(raw) + 1, _U)
-        np.cumsum(_BYTE[LOWER[raw] if lower else raw] * powers(int(length.max(initial=1)))[0][place], out=total[1:])
-        return total, at, length
-
     def word_hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of every word; with ``lower`` A-Z count as a-z."""
-        total, at, length = self._byte_sums(lower)
-        return mix(total[at + length] - total[at] + length.astype(_U))
+        return span_hashes(LOWER[self.data] if lower else self.data, self.start, self.end - self.start)
 
     def prefix_hashes(self, sizes: tuple[int, ...], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Word and hash of every word's first bytes, for every size shorter than the word."""
-        total, at, length = self._byte_sums(lower)
+        data, length = LOWER[self.data] if lower else self.data, self.end - self.start
         words, found = [], []
         for k in sizes:
             long = np.flatnonzero(length > k)
             words.append(long)
-            found.append(mix((total[at[long] + k] - total[at[long]]) ^ mix(np.full(1, k, _U))))
+            h = span_hashes(data, self.start[long], np.full(len(long), k))
+            found.append(mix(h ^ mix(np.full(1, k, _U))))
         return np.concatenate(words), np.concatenate(found)
 
     def word_chars(self) -> np.ndarray:
