@@ -10,15 +10,22 @@ bracket; each is one grouping over a histogram, and only two numbers reach the d
 
 Rates are then rounded into whole copies so that each source's tokens land near its target:
 size cell by size cell (large first) the copies are rounded and the remainder carried to
-the next cell; inside a cell, documents are taken in the order of a hash of their id.
+the next cell; inside a cell, documents are taken in the order of a hash of their id, size
+and text.  Rows equal in id, source and text are folded to one row with a count, which takes
+as many consecutive places, so reruns agree whatever ids are null or repeated.
 
 Scale: the texts are read once for their sizes.  The histogram has one row per source and
 size cell (sizes up to 4096 are cells of their own, larger ones 64 cells per doubling), so
 a hot source is as small as any other after map-side aggregation, and the carried rounding
 sees at most a few thousand rows per source.  Cells with many documents are dealt into
 subcells of about ``SUBCELL`` documents before any ranking, so no window holds a hot group.
+Sources are ranked in sampled buckets of their names, so there may be many.
 
-Defined results: a null or blank text has size 0 and takes nothing; null is a source of its
+Rates follow a document's own size up to 4096 words and its cell's mean beyond (cells are 1.1 %
+wide).  A dual that does not converge in ``ROUNDS`` steps raises an error.
+
+Defined results: a null or blank text has size 0 and takes nothing; a very long text needs
+memory for itself only; null is a source of its
 own, last in order; rows that repeat an id are rows of their own; a source of size 0 has
 target 0; other columns are ignored; an empty table gives an empty result.
 """
@@ -26,6 +33,7 @@ target 0; other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -33,8 +41,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import ship_code, written
-from .words import slices
+from ..operators.joins import measured_bytes
+from ..operators.ranking import bucket_offsets, split_large_groups
+from .tables import BROADCAST_BYTES, ship_code, written
+from .words import byte_view, slices
 
 WEIGHTS, SHARE, MAX_COPIES = (5.0, 2.0, 1.0), 1.5, 2
 SUBCELL = 1000
@@ -44,17 +54,23 @@ TOLERANCE = 1e-7  # of the target
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        data, offsets, _ = byte_view(batch.column(2))
+        digests = [blake2b(data[a:b].tobytes(), digest_size=8).digest() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+        digest = np.frombuffer(b"".join(digests), np.int64)
         for lo, hi, t in slices(batch.column(2)):
             kept = [batch.column(k).slice(lo, hi - lo) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(t.n_words.astype(np.int64))], ["doc_id", "source", "size"])
+            arrays = [*kept, pa.array(t.n_words.astype(np.int64)), pa.array(digest[lo:hi])]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "source", "size", "digest"])
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
-    """``sources`` (source, source_size) with sid (rank by code point, null last) and target.
-
-    The window over all sources sees one row per source."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sources.withColumn("sid", F.row_number().over(order).cast("long"))
+    """``sources`` (source, source_size) with sid (rank by code point, null last) and target."""
+    named = sources.withColumns({"every": F.lit(1), "unnamed": F.col("source").isNull()})
+    named = split_large_groups(named, ["every"], ["unnamed", "source"])
+    offsets = bucket_offsets(named, ["every"], ["_bucket"]).select("_bucket", "rows_before")
+    within = Window.partitionBy("_bucket").orderBy("unnamed", "source")
+    ranked = named.join(offsets, "_bucket").withColumn("sid", (F.col("rows_before") + F.row_number().over(within)).cast("long"))
+    ranked = ranked.select("source", "source_size", "sid")
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     weight = F.element_at(cycle, (F.pmod(F.col("sid") - 1, F.lit(len(weights))) + 1).cast("int"))
     ranked = written(ranked.withColumn("weight", weight), "mix-sources")
@@ -107,8 +123,8 @@ def solve_dual(cells: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
             "mix-dual",
         )
         if not state.filter("NOT done").limit(1).count():
-            break
-    return state.select("sid", "lam")
+            return state.select("sid", "lam")
+    raise RuntimeError(f"the dual of some sources did not converge in {ROUNDS} steps")
 
 
 def _round_cells(cap: float):
@@ -137,15 +153,18 @@ def mix_sources(
     """doc_id, size, source_size, target, taken, source, copies and rate of every input row."""
     ship_code(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), docs[text_col].alias("text"))
-    sized = written(rows.mapInArrow(_sizes, "doc_id long, source string, size long"), "mix-sizes")
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sized = rows.mapInArrow(_sizes, "doc_id long, source string, size long, digest long")
+    sized = written(sized.groupBy("doc_id", "source", "size", "digest").agg(F.count("*").alias("rows")), "mix-sizes")
+    sources = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     sources = written(source_targets(sources, weights, share, max_copies), "mix-targets")
     size = F.col("size").cast("double")
     cell = F.when(F.col("size") <= 4096, F.col("size")).otherwise(4097 + F.floor(F.log2(size / 4096) * 64))
     keys = sources.select(F.col("source").alias("named"), "sid", "source_size", "target")
-    placed = sized.withColumn("cell", cell).join(F.broadcast(keys) if sources.count() <= 100_000 else keys, F.col("source").eqNullSafe(F.col("named"))).drop("named")
-    cells = placed.groupBy("sid", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("tokens"))
-    per_source = sources.select("sid", "source_size").join(placed.groupBy("sid").agg(F.count("*").alias("docs")), "sid")
+    if measured_bytes(keys)[1] <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    placed = sized.withColumn("cell", cell).join(keys, F.col("source").eqNullSafe(F.col("named"))).drop("named")
+    cells = placed.groupBy("sid", "cell").agg(F.sum("rows").alias("n"), F.sum(F.col("size") * F.col("rows")).alias("tokens"))
+    per_source = sources.select("sid", "source_size").join(placed.groupBy("sid").agg(F.sum("rows").alias("docs")), "sid")
     scale = per_source.select("sid", (F.col("source_size") / F.col("docs")).alias("scale"))
     cells = cells.join(scale, "sid").withColumn("mean", F.col("tokens") / F.col("n"))
     cells = written(cells.withColumn("x", F.coalesce(F.try_divide("mean", "scale"), F.lit(0.0))), "mix-cells")
@@ -157,18 +176,20 @@ def mix_sources(
     schema = "sid long, cell long, n long, copies long, rate double"
     rounded = written(rated.groupBy("sid").applyInPandas(_round_cells(max_copies), schema), "mix-copies")
 
-    draw = F.xxhash64("doc_id", F.lit("mix"))
-    dealt = placed.join(rounded, ["sid", "cell"]).withColumn("draw", draw)
+    dealt = placed.join(rounded, ["sid", "cell"]).withColumn("draw", F.xxhash64("doc_id", "size", "digest", F.lit("mix")))
     dealt = dealt.withColumn("sub", F.pmod(F.xxhash64("draw"), F.ceil(F.col("n") / SUBCELL)))
-    subs = dealt.groupBy("sid", "cell", "sub").agg(F.count("*").alias("m"), F.first("n").alias("n"), F.first("copies").alias("copies"))
+    subs = dealt.groupBy("sid", "cell", "sub").agg(F.sum("rows").alias("m"), F.first("n").alias("n"), F.first("copies").alias("copies"))
     upto = Window.partitionBy("sid", "cell").orderBy("sub")
     subs = subs.withColumn("upto", F.sum("m").over(upto))
     whole = lambda c: F.floor(F.col("copies").cast("decimal(19,0)") * c.cast("decimal(19,0)") / F.col("n")).cast("long")
     subs = subs.withColumn("own", whole(F.col("upto")) - whole(F.col("upto") - F.col("m")))
     subs = written(subs.select("sid", "cell", "sub", "m", "own"), "mix-subcells")
-    rank = F.row_number().over(Window.partitionBy("sid", "cell", "sub").orderBy("draw", "doc_id"))
-    dealt = dealt.withColumn("rank", rank).join(subs, ["sid", "cell", "sub"])
-    copies = F.expr("own div m") + F.when(F.col("rank") <= F.expr("own % m"), 1).otherwise(0)
+    order = Window.partitionBy("sid", "cell", "sub").orderBy("draw", "doc_id", "size", "digest")
+    before = F.coalesce(F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    dealt = dealt.withColumn("before", before).join(subs, ["sid", "cell", "sub"])
+    more = F.greatest(F.lit(0), F.least(F.col("rows"), F.expr("own % m") - F.col("before")))  # rows that take one more copy
+    dealt = dealt.withColumn("more", more).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    copies = F.expr("own div m") + F.when(F.col("row") <= F.col("more"), 1).otherwise(0)
     dealt = dealt.withColumn("copies", copies.cast("long"))
     return dealt.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies", "rate"
