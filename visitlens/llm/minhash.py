@@ -26,7 +26,7 @@ forest of the links leaves the task.  No cap drops a pair.
 Defined results: null, empty or blank text has an empty set, is linked with nothing and is
 kept; a null id gets a null component and is kept; rows that repeat an id are one document
 and get one component (they are expected to repeat its text: of differing texts under one id
-one is compared); one row results per input row; other columns are ignored; an empty table
+the one whose set has the smallest hash is compared); one row results per input row; other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -83,6 +83,17 @@ def _signatures(h: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _sums(h: np.ndarray, n: np.ndarray) -> list[pa.Array]:
+    """Two hashes of every set; set i has n[i] of the hashes."""
+    full, sums = np.flatnonzero(n), []
+    for salt in (0, 0xD6E8FEB86659FD93):
+        total = np.zeros(len(n), np.uint64)
+        if len(h):
+            total[full] = np.add.reduceat(mix(h ^ np.uint64(salt)), (np.cumsum(n) - n)[full])
+        sums.append(signed(total))
+    return sums
+
+
 def _sketches(k: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,12 +101,7 @@ def _sketches(k: int, size: int):
                 doc, h = shingle_sets(t, k)
                 n = np.bincount(doc, minlength=t.n)
                 full = np.flatnonzero(n)
-                sums = []
-                for salt in (0, 0xD6E8FEB86659FD93):
-                    total = np.zeros(t.n, np.uint64)
-                    if len(h):
-                        total[full] = np.add.reduceat(mix(h ^ np.uint64(salt)), (np.cumsum(n) - n)[full])
-                    sums.append(signed(total))
+                sums = _sums(h, n)
                 sig: list[bytes | None] = [None] * t.n
                 if len(h):
                     rows = _signatures(h, (np.cumsum(n) - n)[full], size)
@@ -240,9 +246,10 @@ def _sets(k: int):
         for batch in batches:
             for lo, hi, t in slices(batch.column(1)):
                 doc, h = shingle_sets(t, k)
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=t.n)))).astype(np.int32)
-                sets = pa.ListArray.from_arrays(pa.array(offsets), signed(h))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], ["doc_id", "shingles"])
+                n = np.bincount(doc, minlength=t.n)
+                sets = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), signed(h))
+                arrays = [batch.column(0).slice(lo, hi - lo), *_sums(h, n), sets]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "s1", "s2", "shingles"])
 
     return run
 
@@ -273,17 +280,21 @@ def near_duplicates(
         "minhash-copies",
     )
 
-    ones = only_ids(full.select("doc_id", "sig"), copy_links.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    ones = only_ids(full.select("doc_id", "s1", "s2", "sig"), copy_links.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti")
     buckets = ones.select("doc_id", "sig").mapInArrow(_buckets(bands, rows), "bucket long, doc_id long")
     crowded = buckets.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("high"))
     crowded = written(crowded.filter("leader < high").drop("high"), "minhash-buckets")
     members = written(buckets.join(crowded, "bucket").distinct(), "minhash-members")
     member_ids = written(members.select("doc_id").distinct(), "minhash-member-ids")
-    sigs = written(only_ids(ones, member_ids, "doc_id").dropDuplicates(["doc_id"]), "minhash-signatures")
+    # of differing texts under one id, the one with the smallest sums is compared, here and below
+    near = only_ids(ones, member_ids, "doc_id").groupBy("doc_id").agg(F.min(F.struct("s1", "s2", "sig")).alias("least"))
+    sigs = written(near.select("doc_id", "least.sig"), "minhash-signatures")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        found = only_ids(texts, written(ids.distinct(), "minhash-set-ids"), "doc_id").dropDuplicates(["doc_id"])
-        return written(found.mapInArrow(_sets(shingle), "doc_id long, shingles array<long>"), "minhash-sets")
+        found = only_ids(texts, written(ids.distinct(), "minhash-set-ids"), "doc_id")
+        sets = found.mapInArrow(_sets(shingle), "doc_id long, s1 long, s2 long, shingles array<long>").filter(F.size("shingles") > 0)
+        sets = sets.groupBy("doc_id").agg(F.min(F.struct("s1", "s2", "shingles")).alias("least"))
+        return written(sets.select("doc_id", "least.shingles"), "minhash-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (a, b), on their full sets."""
