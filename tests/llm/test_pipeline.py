@@ -67,6 +67,6 @@ def test_registration():
     import __spark_entry__ as E
 
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(oracle.SQL) <= set(queries.QUERIES) and "pipeline" in E.queries()
     assert [n for n, _ in C.STAGES] == ["language_id", "minhash_near_dedup", "substring_dedup", "mix_sources", "sentencepiece"]

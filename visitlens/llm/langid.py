@@ -18,7 +18,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ LENGTHS = (1, 2, 3)
 PER_CLASS, SAMPLE = 1000, 6000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.2
 UNKNOWN = "und"
+#: Share of the training documents from which an n-gram is known.
+KNOWN_SHARE = 0.05
 
 _fold: list[np.ndarray] = []
 
@@ -85,19 +87,27 @@ class LanguageModel:
     idf: np.ndarray
     weights: np.ndarray  # a row per feature and one for the bias, a column per language
     temperature: float = 1.0
+    #: features found in ``KNOWN_SHARE`` of the training documents or more
+    known: np.ndarray = field(default_factory=lambda: np.ones(FEATURES, bool))
 
     def scores(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language (-1: none) and its probability, for every text."""
+        return self.judge(t)[:2]
+
+    def judge(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``scores``, and the share of every text's n-grams that training documents know,
+        which unlike a probability is low for texts of no learned language."""
         best, score = np.full(t.n, -1), np.zeros(t.n)
         if not self.languages:
-            return best, score
+            return best, score, score
         doc, feature, count, letter = ngrams(t)
+        familiar = np.bincount(doc, count * self.known[feature], t.n) / np.maximum(np.bincount(doc, count, t.n), 1)
         value = _vectors(doc, feature, count, self.idf, t.n)
         logits = np.stack([np.bincount(doc, value * w[:-1][feature], t.n) + w[-1] for w in self.weights.T], 1)
         p = _softmax(logits / self.temperature)
         best[letter] = p.argmax(1)[letter]
         score[letter] = p.max(1)[letter]
-        return best, score
+        return best, score, familiar
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -171,6 +181,10 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "features", "counts"])
 
 
+#: Values of the language column a model may learn; its weights have this many columns.
+MAX_LANGUAGES = 1000
+
+
 def held_out(id_col: Column) -> Column:
     """Whether a document is kept from training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -183,21 +197,35 @@ def fit_language_model(
     ship_code(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
     rows = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    languages = [r[0] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = {r["lang"]: r["n"] for r in sizes.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: the column holds something else")
     if not languages:
         return LanguageModel([], np.ones(FEATURES), np.zeros((FEATURES + 1, 0)))
     counts = rows.select("text").mapInArrow(_document_counts, "feature long, docs long").groupBy("feature").agg(F.sum("docs").alias("docs"))
     found = dict(counts.collect())  # at most FEATURES + 1 rows
     total = found.pop(-1, 0)
     idf = np.full(FEATURES, np.log((1 + total) / 1) + 1)
+    known = np.zeros(FEATURES, bool)
     for feature, n in found.items():
         idf[feature] = np.log((1 + total) / (1 + n)) + 1
+        known[feature] = n >= KNOWN_SHARE * total
 
     most = max(1, min(per_class, sample // len(languages)))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= most)
-    chosen = written(chosen.select("doc_id").distinct(), "langid-sample")
-    got = only_ids(rows, chosen, "doc_id").mapInArrow(_examples, "doc_id long, lang string, features binary, counts binary").toArrow()
+    # about 1.5 times as many ids as wanted pass a threshold that follows the language's size,
+    # so the ranking sees a bounded number whatever the language's share of the rows
+    share = F.create_map(*[F.lit(x) for name, n in languages.items() for x in (name, min(1.0, 1.5 * (most + 20) / n))])
+    languages = list(languages)
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    near = rows.select("doc_id", "lang").filter(drawn < F.element_at(share, F.col("lang")) * (1 << 30)).distinct()
+    first = Window.partitionBy("lang").orderBy(drawn, "doc_id")
+    chosen = near.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= most).select("doc_id", "lang")
+    chosen = written(chosen.groupBy("doc_id").agg(F.min("lang").alias("taken")), "langid-sample")
+    texts = only_ids(rows, chosen.select("doc_id"), "doc_id").join(chosen, "doc_id").filter("lang = taken")
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    texts = texts.groupBy("doc_id", "lang").agg(least.alias("text"))  # one text an id
+    got = texts.mapInArrow(_examples, "doc_id long, lang string, features binary, counts binary").toArrow()
     examples, apart = [], []
     ids = got.column("doc_id").to_numpy()
     order = np.lexsort((ids, mix(ids.astype(np.uint64))))
@@ -209,7 +237,7 @@ def fit_language_model(
         (apart if rank % 5 == 4 else examples).append(one)
     weights = ftrl(examples, len(languages))
     logits = np.array([x @ weights[at] for at, x, _ in apart]).reshape(len(apart), len(languages))
-    return LanguageModel(languages, idf, weights, fit_temperature(logits, np.array([y for *_, y in apart], int)))
+    return LanguageModel(languages, idf, weights, fit_temperature(logits, np.array([y for *_, y in apart], int)), known)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,9 +258,12 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose language is known with ``min_score`` or more;
-    if no language was learned, the rows with a letter."""
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text", min_familiar: float = 0.0
+) -> DataFrame:
+    """The rows, with all their columns, whose language is known with ``min_score`` or more and
+    whose n-grams are known to a share of ``min_familiar`` or more; if no language was
+    learned, the rows with a letter."""
     ship_code(docs.sparkSession)
     at = docs.columns.index(text_col)
 
@@ -240,8 +271,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, tex
         for batch in batches:
             for lo, hi, t in slices(batch.column(at)):
                 if model.languages:
-                    best, score = model.scores(t)
-                    keep = (best >= 0) & (score >= min_score)
+                    best, score, familiar = model.judge(t)
+                    keep = (best >= 0) & (score >= min_score) & (familiar >= min_familiar)
                 else:
                     keep = ngrams(t)[3]
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep))

@@ -7,7 +7,7 @@ recorded length.  The score is the logistic of
     bias + sum_i w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)
 
 so all pairwise interactions cost time linear in the vector's size.  The model is fitted by
-Adagrad on a bounded sample of labelled documents (``SAMPLE``); scoring is one pass over
+Adagrad on a bounded sample of labelled documents (``SAMPLE``, and ``labelled.PAYLOAD`` bytes); scoring is one pass over
 the table.
 
 Defined results: null and empty texts have no words and are scored by their statistics;
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import labelled_sample
+from .labelled import labelled_sample, to_driver
 from .langid import held_out
 from .repetition import repeated_lines
 from .tables import ship_code
@@ -156,7 +156,7 @@ def fit_quality(
 ) -> FactorisationMachine:
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *_inputs(docs, text_col, length_col))
     rows = labelled_sample(read, labels, label, sample)
-    got = rows.mapInArrow(_examples, "doc_id long, columns binary, values binary, label int").orderBy("doc_id", "columns").toArrow()
+    got = to_driver(rows.mapInArrow(_examples, "doc_id long, columns binary, values binary, label int"), ["columns", "values"])
     examples = [
         (np.frombuffer(c, np.int32), np.frombuffer(x, np.float32).astype(float), y)
         for c, x, y in zip(*(got.column(k).to_pylist() for k in ("columns", "values", "label")), strict=True)

@@ -11,12 +11,12 @@ so only document labels are needed to train, and the sentences that carry the sc
 located.  The leak takes up labels that no sentence explains; without it every long text
 would drift towards 1.
 
-Training uses a bounded sample of labelled documents (``SAMPLE``).  A grouping counts each
-feature's documents by label; features in ``MIN_DOCS`` documents or more whose smoothed
-log-odds are ``MIN_ODDS`` or more from the average form the vocabulary (``VOCABULARY`` at
-most, the strongest first).  Weights are fitted by about ``UPDATES`` Adagrad steps
-through the noisy-or.  Scoring is
-one pass over the whole texts.
+A grouping over all labelled documents counts each feature's documents by label; features in
+``MIN_DOCS`` documents or more whose smoothed log-odds are ``MIN_ODDS`` or more from the
+average form the vocabulary (``VOCABULARY`` at most, the size of the model: the strongest
+first).  Weights are fitted by about ``UPDATES`` Adagrad steps through the noisy-or on a
+bounded sample of labelled documents (``SAMPLE``, and ``labelled.PAYLOAD`` bytes).  Scoring
+is one pass over the whole texts.
 
 Defined results: null and empty texts have no sentences and score the leak; without labels
 the leak is 0.5; rows are scored one by one, so repeated rows repeat their result; a null
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import labelled_sample
+from .labelled import labelled_documents, labelled_sample, to_driver
 from .langid import held_out
 from .tables import ship_code
 from .words import NOT_LETTER, Texts, groups, salted, signed, slices
@@ -157,17 +157,18 @@ def _bags(vocabulary: np.ndarray):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", sample: int = SAMPLE) -> BagModel:
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    rows = labelled_sample(read, labels, label, sample)
-    all_docs, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    counts = rows.select("text", "label").mapInArrow(_feature_counts, "feature long, docs long, toxic long")
+    every = labelled_documents(read, labels, label)
+    all_docs, positive = every.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    counts = every.select("text", "label").mapInArrow(_feature_counts, "feature long, docs long, toxic long")
     counts = counts.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic")).filter(F.col("docs") >= MIN_DOCS)
     usual = float(np.log((positive + 0.5) / (all_docs - positive + 0.5)))
     odds = F.abs(F.log((F.col("toxic") + 0.5) / (F.col("docs") - F.col("toxic") + 0.5)) - usual)
     chosen = counts.withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
     chosen = chosen.orderBy(F.col("odds").desc(), "feature").limit(VOCABULARY).select("feature").toArrow()
     vocabulary = np.sort(chosen.column("feature").to_numpy().view(np.uint64))
-    got = rows.mapInArrow(_bags(vocabulary), "doc_id long, sentences binary, words binary, n long, label int")
-    got = got.orderBy("doc_id", "words").toArrow()
+    rows = labelled_sample(read, labels, label, sample)
+    bags = rows.mapInArrow(_bags(vocabulary), "doc_id long, sentences binary, words binary, n long, label int")
+    got = to_driver(bags, ["sentences", "words"])
     names = ("sentences", "words", "n", "label")
     bags = [
         (np.frombuffer(s, np.int32).astype(np.int64), np.frombuffer(at, np.int32).astype(np.int64), n, y)

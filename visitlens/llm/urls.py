@@ -2,7 +2,7 @@
 
 A rule is ``host/path``: it fits its host and all subdomains when the url's path starts with
 the rule's path; the longest fitting rule wins.  URLs that a rule covers are the labelled
-ones.  On a bounded sample of them (``SAMPLE``, by a hash of the url) trees are boosted with
+ones.  On a bounded sample of the distinct ones (about ``SAMPLE``, by a hash of the url) trees are boosted with
 Newton steps on the logistic loss over histograms of lexical features: lengths, depth, digit
 ratio, character entropy, parameter counts, punctuation, and suffix statistics.  The latter
 are smoothed block rates of the host's last label and last two labels, counted over every
@@ -42,6 +42,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 SAMPLE, BINS, PRIOR = 20_000, 4096, 20.0
+LEXICAL = 14  # lexical features
 TREES, DEPTH, RATE, LEVELS, LEAST, RIDGE = 60, 3, 0.2, 64, 20, 1.0
 
 Rules = Sequence[tuple[str, str, str]]
@@ -105,7 +106,14 @@ def lexical_features(url: pa.Array, host: pa.Array, path: pa.Array) -> np.ndarra
         counts = [t.count(c) for c in (_SLASH, _DOT, _DASH, _PARAMS, _SEPARATORS, _ESCAPES, _QUERY, _UPPER, _DIGITS)]
         ratio = counts[-1] / np.maximum(size, 1)
         parts.append(np.stack([size, *sizes, *counts, ratio, entropy], 1).astype(float))
-    return np.concatenate(parts) if parts else np.empty((0, 14))
+    return np.concatenate(parts) if parts else np.empty((0, LEXICAL))
+
+
+def _packed_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the sample with their lexical features packed, whatever the url's length."""
+    for batch in batches:
+        x = pa.array([row.tobytes() for row in lexical_features(*batch.columns[1:4])], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), x, *batch.columns[4:]], ["draw", "x", "bin1", "bin2", "label"])
 
 
 @dataclass
@@ -185,13 +193,16 @@ def _fit(rows: DataFrame, sample: int) -> UrlModel:
             n[at], bad[at] = count, blocks
         total, blocked = n.sum(), bad.sum()
         rates[k] = (bad + PRIOR * (blocked + 0.5) / (total + 1)) / (n + PRIOR)
-    share = min(1.0, sample / max(1, total))
-    chosen = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    got = chosen.select("url", "host", "path", "bin1", "bin2", "label").orderBy("url").toArrow().combine_chunks()
+    urls = labelled.select("url", "host", "path", "bin1", "bin2", "label").distinct()  # a url's label follows from itself
+    urls = urls.withColumn("draw", F.pmod(F.xxhash64("url"), F.lit(1 << 30)))
+    share = min(1.0, sample / max(1, urls.count()))
+    chosen = urls.filter(F.col("draw") < int(share * (1 << 30))).select("draw", "url", "host", "path", "bin1", "bin2", "label")
+    got = chosen.mapInArrow(_packed_features, "draw long, x binary, bin1 int, bin2 int, label int").toArrow()
+    order = np.lexsort((np.array(got.column("x").to_pylist(), dtype=bytes), got.column("draw").to_numpy()))
+    got = got.take(pa.array(order))
     model = UrlModel(Trees(), rates)
-    text = [got.column(c).combine_chunks() for c in ("url", "host", "path")]
-    bins = [got.column(c).to_numpy() for c in ("bin1", "bin2")]
-    x = model.features(*text, *bins)
+    lexical = np.frombuffer(b"".join(got.column("x").to_pylist())).reshape(-1, LEXICAL)
+    x = np.column_stack([lexical, *(rates[k][got.column(f"bin{k + 1}").to_numpy()] for k in (0, 1))])
     # every third row carries the average rates, as a suffix without labelled urls does, so
     # the trees also learn to judge by the other features
     x[::3, -2:] = (blocked + 0.5) / (total + 1)
