@@ -25,7 +25,7 @@ from visitlens.llm.tables import only_ids, ship_code, table, written
 #: A document goes if its best language has a lower calibrated probability, or if fewer of its
 #: n-grams are known from the training documents (which also tells texts of no learned
 #: language, however few languages are learned).
-MIN_LANGUAGE_SCORE, MIN_FAMILIAR = 0.4, 0.5
+MIN_LANGUAGE_SCORE, MIN_FAMILIAR = 0.4, 0.7
 
 
 def _free(docs: DataFrame, name: str) -> str:
