@@ -37,7 +37,7 @@ def row_number_windows(text: str) -> list[str]:
 
 @pytest.mark.parametrize("n", [10, 5000])
 def test_no_window_holds_a_whole_category_or_hour(spark, n):
-    for df, key in ((Q._top_sessions(spark, SF_SMALL, n), "_prefix#"), (Q.random_extract(spark, SF_SMALL, n), "bucket#")):
+    for df, key in ((Q._top_sessions(spark, SF_SMALL, n), "_clicks#"), (Q.random_extract(spark, SF_SMALL, n), "bucket#")):
         found = row_number_windows(plan(df))
         assert found and all(key in w for w in found)
 

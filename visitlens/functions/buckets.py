@@ -25,13 +25,6 @@ def weighted_count_sql(cond: str, weight: str | None = None) -> str:
     return f"CAST(coalesce(sum(CASE WHEN {cond} THEN {weight} END), 0) AS BIGINT)"
 
 
-def weighted_count(cond: Column, weight: Column | None = None) -> Column:
-    """Rows where ``cond`` holds, each counted ``weight`` times (bigint, 0 if none)."""
-    if weight is None:
-        return F.count_if(cond)
-    return F.coalesce(F.sum(F.when(cond, weight)), F.lit(0)).cast("bigint")
-
-
 def _bucket_counts(column: str, buckets, prefix: str, weight: str | None) -> list[Column]:
     # one SQL text per aggregate: parsed in the JVM, not assembled call by call
     return [

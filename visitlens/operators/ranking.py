@@ -67,10 +67,16 @@ def bucket_offsets(df: DataFrame, group: list[str], buckets: list[str], weight:
     )
 
 
-def rank_in_buckets(df: DataFrame, offsets: DataFrame, group: list[str], buckets: list[str], order: list) -> DataFrame:
+def rank_in_buckets(
+    df: DataFrame, offsets: DataFrame, group: list[str], buckets: list[str], order: list, most: int | None = None
+) -> DataFrame:
     """Rows of the buckets in ``offsets`` with their exact ``rank`` in the group (NULL groups too).
 
-    ``order`` ranks the rows of one bucket; the bucket order must agree with it."""
+    ``order`` ranks the rows of one bucket; the bucket order must agree with it.  With
+    ``most`` only the first so many rows of a bucket are kept, in every task before the shuffle
+    (Spark's window group limit)."""
     within = Window.partitionBy(*group, *buckets).orderBy(*order)
-    placed = join_null_safe(df, offsets, [*group, *buckets])
-    return placed.withColumn("rank", F.col("rows_before") + F.row_number().over(within))
+    placed = join_null_safe(df, offsets, [*group, *buckets]).withColumn("_row", F.row_number().over(within))
+    if most is not None:
+        placed = placed.where(F.col("_row") <= F.lit(int(most)))
+    return placed.withColumn("rank", F.col("rows_before") + F.col("_row")).drop("_row")

@@ -15,10 +15,9 @@ Plan shape (scope "all"):
 Top sessions:
   actions -> agg on (session, user, category) -> join weights
           -> agg on (session, category)
-          -> small N: one window with a partial limit in every task; else an exact
-             rank in buckets of equal clicks, cut further at sampled ids
-             (``operators.ranking``): only buckets within the first N rows of a
-             category are ranked.
+          -> exact rank in buckets of equal clicks (``operators.ranking``): only
+             buckets within the first N rows of a category are ranked, with a partial
+             limit in every task for small N, cut further at sampled ids for large N.
 User weights keep one row per distinct user variant, so the join with them has
 exchanges on both sides and a hot user can be split.
 Detail export: the distinct top-session ids (<= N x categories rows) are
@@ -27,7 +26,7 @@ measured and broadcast, so the visit log is probed map-side, not shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import format_time
@@ -38,9 +37,9 @@ from visitlens.operators.users import user_variants
 KINDS = ("click", "order", "pay")
 MISSING_TOKENS = ("", "null")
 _FIELDS = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
-# Up to this N every task keeps N rows per category before the shuffle (Spark's window
-# group limit), so a category's window holds N rows a task at most; beyond, ranks are
-# taken in buckets.  Both are exact.
+# Up to this N every task passes on N rows of a category and click count (Spark's window
+# group limit), so ties need no further buckets; beyond, they are cut at sampled ids.
+# Both are exact.
 PARTIAL_TOP = 100
 
 
@@ -189,13 +188,11 @@ def session_category_clicks(actions: DataFrame, weights: DataFrame) -> DataFrame
 
 def top_sessions_per_category(clicks: DataFrame, n: int = 10, taskid: int | None = None) -> DataFrame:
     """Top ``n`` sessions of *every* category by clicks (desc), ties by session id."""
-    clicks = clicks.where(F.col("category_id").isNotNull())
+    clicks = clicks.where(F.col("category_id").isNotNull()).withColumn("_clicks", -F.col("click_count"))
+    first = bucket_offsets(clicks, ["category_id"], ["_clicks"]).where(F.col("rows_before") < F.lit(int(n)))
     if n <= PARTIAL_TOP:
-        by_clicks = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-        ranked = clicks.withColumn("rank", F.row_number().over(by_clicks))
+        ranked = rank_in_buckets(clicks, first, ["category_id"], ["_clicks"], ["session_id"], n)
     else:
-        clicks = clicks.withColumn("_clicks", -F.col("click_count"))
-        first = bucket_offsets(clicks, ["category_id"], ["_clicks"]).where(F.col("rows_before") < F.lit(int(n)))
         near = clicks.join(first.select("category_id", "_clicks"), ["category_id", "_clicks"], "left_semi")
         near = split_large_groups(near, ["category_id", "_clicks"], ["session_id"])
         buckets = ["_clicks", "_bucket"]
