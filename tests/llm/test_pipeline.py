@@ -1,5 +1,9 @@
 """The pipeline's stages against the operators' brute-force versions."""
 
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from visitlens.llm import oracle, queries
 from visitlens.llm.components import components
@@ -54,6 +58,30 @@ def test_stages_on_unusual_rows(spark, documents):
         docs = docs if name == C.STAGES[-1][0] else spark.createDataFrame(out, docs.schema)
 
 
+def test_stages_with_columns_of_any_name(spark, documents, corpus):
+    extra = ["__text", "__left", "__copies", "__copy", "kept_text", "left_words", "Copies", "copy", "row", "least", "size", "component"]
+    docs = documents(corpus, source={d: f"s{d % 3}" for d in corpus})
+    for i, name in enumerate(extra):
+        docs = docs.withColumn(name, F.lit(i))
+    docs = docs.cache()
+    names = docs.columns
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == names, name
+        assert all(r[extra[0]] == 0 and r["copy"] == 7 for r in out.collect())
+    assert C.STAGES[-1][1](spark, docs, "").count() == len(corpus)
+    docs.unpersist()
+
+
+def test_language_stage_rejects_junk_even_with_one_language(spark, documents):
+    rng = random.Random(1)
+    prose = {i: " ".join(rng.choice(["the", "water", "runs", "under", "this", "old", "bridge"]) for _ in range(60)) for i in range(200)}
+    junk = {1000: "xqzj vkwq zzxq jjkq " * 20, 1001: "".join(rng.choice("qxzjkvw") for _ in range(300)), 1002: "Съешь же ещё этих мягких булок " * 5}
+    docs = documents(prose | junk, lang={d: None for d in junk})
+    kept = {r.doc_id for r in C.language_id(spark, docs, "").collect()}
+    assert kept == set(prose)
+
+
 def test_components(spark):
     ship_code(spark)
     links = [(1, 2), (2, 3), (9, 3), (5, 5), (7, 8), (8, 7), (20, 19), (19, 18), (18, 17), (17, 16), (None, 3)]

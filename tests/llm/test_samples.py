@@ -1,0 +1,220 @@
+"""Samples are bounded whatever repeats; features and fits against plain Python."""
+
+import random
+import zlib
+from collections import Counter
+from math import log, sqrt
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.llm import labelled, langid, quality, toxicity, urls
+from visitlens.llm.tables import ship_code
+from visitlens.llm.words import NOT_LETTER, slices
+
+COPIES = 30_000
+
+
+def texts(values, gap=None):
+    return next(iter(slices(pa.array(values, pa.string()), **({} if gap is None else {"gap": gap}))))[2]
+
+
+def training_id(n):
+    """The n-th id that may train."""
+    return [i for i in range(10 * n + 50) if zlib.crc32(str(i).encode()) % 4 != 2][n]
+
+
+@pytest.fixture
+def hot_documents(spark):
+    """One id repeats with differing texts; a hundred others."""
+    ship_code(spark)
+    hot = training_id(0)
+    copies = spark.range(COPIES).select(F.lit(hot).cast("long").alias("doc_id"), F.concat(F.lit("hot text "), "id").alias("text"))
+    rest = spark.range(1000, 1200).select(F.col("id").alias("doc_id"), F.lit("some other words").alias("text"))
+    docs = copies.unionByName(rest).withColumns({"lang": F.lit("en"), "n_chars": F.length("text").cast("long")})
+    labels = docs.select("doc_id").distinct().select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    return hot, docs, labels
+
+
+def _rows_at_the_driver(monkeypatch):
+    """Rows of every Arrow table that reaches the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, plain = [], DataFrame.toArrow
+
+    def counted(self):
+        out = plain(self)
+        seen.append(out.num_rows)
+        return out
+
+    monkeypatch.setattr(DataFrame, "toArrow", counted)
+    return seen
+
+
+def test_one_row_of_a_repeated_id_is_sampled(hot_documents, monkeypatch):
+    hot, docs, labels = hot_documents
+    rows = labelled.labelled_sample(docs.select("doc_id", "text"), labels, "quality", 100).collect()
+    assert len(rows) <= 100 and len({r.doc_id for r in rows}) == len(rows)
+    every = labelled.labelled_sample(docs.select("doc_id", "text"), labels, "quality", 10_000).collect()
+    again = labelled.labelled_sample(docs.repartition(9).select("doc_id", "text"), labels, "quality", 10_000).collect()
+    assert sum(r.doc_id == hot for r in every) == 1 and sorted(map(str, every)) == sorted(map(str, again))
+    seen = _rows_at_the_driver(monkeypatch)
+    langid.fit_language_model(docs)
+    quality.fit_quality(docs, labels)
+    toxicity.fit_toxicity(docs, labels)
+    assert seen and max(seen) <= 202
+
+
+def test_one_url_is_sampled_once(spark, monkeypatch):
+    ship_code(spark)
+    hot = spark.range(COPIES).select(F.col("id").alias("page_id"), F.lit("http://a.com/hot").alias("url"))
+    rest = spark.range(500).select((F.col("id") + COPIES).alias("page_id"), F.concat(F.lit("http://b.net/fr/"), "id").alias("url"))
+    pages = hot.unionByName(rest)
+    seen = _rows_at_the_driver(monkeypatch)
+    out = urls.filter_urls(pages)
+    assert sum(seen) <= 501 and out.count() == COPIES + 500
+
+
+def test_payload_is_bounded(spark):
+    ship_code(spark)
+    rows = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1000).cast("binary").alias("packed"))
+    kept = labelled.to_driver(rows, ["packed"], payload=10_500)
+    assert kept.num_rows == 10
+    order = rows.orderBy(labelled.draw("doc_id"), "doc_id").limit(10).toArrow()
+    assert kept.column("doc_id").to_pylist() == order.column("doc_id").to_pylist()
+
+
+def test_a_hot_language_is_not_ranked_whole(spark, monkeypatch):
+    ship_code(spark)
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "aa").otherwise("bb").alias("lang"),
+                                      F.when(F.col("id") % 50 == 0, "uno dos tres").otherwise("alpha beta").alias("text"))
+    seen = _rows_at_the_driver(monkeypatch)
+    model = langid.fit_language_model(docs, per_class=200)
+    assert max(seen) == 400 and model.languages == ["aa", "bb"]
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit_language_model(docs.withColumn("lang", F.col("doc_id").cast("string")))
+
+
+def test_toxic_words_outside_the_sample_count(spark):
+    """A word that marks toxic documents is known although few of them are sampled."""
+    ship_code(spark)
+    n = 4000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words here. "), F.when(F.col("id") % 100 == 1, "vile").otherwise("fine")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 100 == 1).cast("int").alias("toxic"))
+    model = toxicity.fit_toxicity(docs, labels, sample=60)
+    assert texts(["vile"], NOT_LETTER).word_hashes(lower=True)[0] in model.words
+
+
+def plain_ngrams(text):
+    """Counts of the hashed character n-grams of one text."""
+    mask, out = (1 << 64) - 1, Counter()
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    chars = [ord(c.lower()) if c.isalpha() else 32 for c in text]
+    for n in (1, 2, 3):
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for k in range(n):
+                h = (h * 0x100000001B3 + chars[i + k] + k + 1) & mask
+            out[mix(h) & (langid.FEATURES - 1)] += 1
+    return out
+
+
+def test_tf_idf_and_scores_equal_plain_python():
+    rng = np.random.default_rng(2)
+    idf = 1 + rng.random(langid.FEATURES)
+    weights = rng.normal(size=(langid.FEATURES + 1, 3))
+    known = rng.random(langid.FEATURES) < 0.5
+    model = langid.LanguageModel(["a", "b", "c"], idf, weights, 1.7, known)
+    given = ["Hola, mundo!", "ÀÉ x", "日本 abc abc", "12"]
+    best, score, familiar = model.judge(texts(given))
+    for i, text in enumerate(given):
+        counts = plain_ngrams(text)
+        value = {f: (1 + log(c)) * idf[f] for f, c in counts.items()}
+        norm = sqrt(sum(v * v for v in value.values()))
+        logits = np.array([weights[-1, k] + sum(v / norm * weights[f, k] for f, v in value.items()) for k in range(3)]) / 1.7
+        p = np.exp(logits) / np.exp(logits).sum()
+        if text == "12":
+            assert (best[i], score[i]) == (-1, 0)
+            continue
+        assert best[i] == p.argmax() and score[i] == pytest.approx(p.max())
+        assert familiar[i] == pytest.approx(sum(c for f, c in counts.items() if known[f]) / sum(counts.values()))
+
+
+def test_ftrl_equals_coordinate_by_coordinate_updates():
+    rng = np.random.default_rng(1)
+    examples = [(np.append(rng.choice(30, 5, replace=False), langid.FEATURES), np.append(rng.random(5), 1.0), int(rng.integers(3))) for _ in range(40)]
+    z, n = {}, {}
+
+    def weight(f, k):
+        s = z.get((f, k), 0.0)
+        if abs(s) <= langid.L1:
+            return 0.0
+        return -np.sign(s) * (abs(s) - langid.L1) / ((langid.BETA + sqrt(n.get((f, k), 0.0))) / langid.ALPHA + langid.L2)
+
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for e in order.permutation(len(examples)):
+            at, x, label = examples[e]
+            w = [[weight(f, k) for k in range(3)] for f in at.tolist()]
+            logits = np.array([sum(v * row[k] for v, row in zip(x, w, strict=True)) for k in range(3)])
+            p = np.exp(logits - logits.max())
+            p /= p.sum()
+            for f, v, row in zip(at.tolist(), x, w, strict=True):
+                for k in range(3):
+                    g = v * (p[k] - (k == label))
+                    before = n.get((f, k), 0.0)
+                    z[f, k] = z.get((f, k), 0.0) + g - (sqrt(before + g * g) - sqrt(before)) / langid.ALPHA * row[k]
+                    n[f, k] = before + g * g
+    got = langid.ftrl(examples, 3, epochs=2)
+    want = np.zeros_like(got)
+    for f, k in z:
+        want[f, k] = weight(f, k)
+    assert np.allclose(got, want, atol=1e-12)
+
+
+def test_quality_features_equal_plain_python():
+    given = ["Spam spam, BUY now!\nline\nline\n  ", "é", "", "a,b;c: 42"]
+    recorded = np.array([30.0, np.nan, -5.0, 9.0])
+    t = texts(given, NOT_LETTER)
+    doc, column, value = quality.vectors(t, recorded)
+    stats = quality.statistics(t, recorded)
+    for i, text in enumerate(given):
+        raw = text.encode()
+        runs = "".join(c if c.isascii() and c.isalpha() or ord(c) > 127 else " " for c in text).lower().split()
+        here = (doc == i) & (column < quality.WORDS)
+        assert sorted(np.round(value[here] ** 2 * max(1, len(runs)), 9)) == sorted(Counter(runs).values())
+        assert stats[i, 0] == pytest.approx(sum(48 <= b < 58 for b in raw) / max(1, len(raw)))
+        assert stats[i, 1] == pytest.approx(sum(65 <= b < 91 for b in raw) / max(1, len(raw)))
+        n = len(quality.CLASSES)
+        lines = [x for x in text.split("\n") if any(c.isalpha() for c in x)]
+        assert stats[i, n] == pytest.approx(len(set(runs)) / max(1, len(runs)))
+        assert stats[i, n + 1] == pytest.approx(sum(a == b for a, b in zip(runs, runs[1:])) / max(1, len(runs)))
+        assert stats[i, n + 2] == pytest.approx((len(lines) - len(set(lines))) / max(1, len(lines)))
+        assert stats[i, n + 6] == (not runs)
+
+
+def test_one_step_of_the_bag_fit_follows_the_numeric_gradient():
+    words = np.arange(4, dtype=np.uint64)
+    for label in (0, 1):
+        bag = (np.array([0, 0, 1]), np.array([0, 2, 1]), 3, label)
+        share = min(max(label / 4, 1e-4), 0.5)
+        start = np.concatenate((np.zeros(4), [toxicity.START, log(share / (1 - share))]))
+
+        def loss(at, y=label):
+            logit = np.full(3, at[4])
+            np.add.at(logit, [0, 0, 1], at[[0, 2, 1]])
+            clean = np.prod(1 - 1 / (1 + np.exp(-logit))) * (1 - 1 / (1 + np.exp(-at[5])))
+            return -log(1 - clean) if y else -log(clean)
+
+        slope = np.array([(loss(start + e) - loss(start - e)) / 2e-6 for e in 1e-6 * np.eye(6)])
+        model = toxicity.fit_bags(words, [bag], updates=1)
+        step = start - toxicity.RATE * slope / np.sqrt(0.01 + slope**2)
+        got = np.concatenate((model.weights, [model.bias, log(model.leak / (1 - model.leak))]))
+        assert np.allclose(got, step, rtol=1e-3, atol=1e-5)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from visitlens.llm import pivots
 from visitlens.llm.tables import ship_code
@@ -76,6 +77,64 @@ def test_recall_does_not_fall_with_the_number_of_pivots(spark):
     assert 0.99 * want <= found <= want
 
 
+def common_direction(rng, n, cos, pairs, d=64):
+    """Vectors at mean cosine ``cos``, and ``pairs`` partners at cosine 0.9 to 0.95 of some of them."""
+    e = rng.normal(size=(n, d))
+    e[:, 0] = 0
+    x = np.sqrt(1 - cos) * unit(e)
+    x[:, 0] = np.sqrt(cos)
+    noise = rng.normal(size=(pairs, d))
+    noise -= (noise * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    near = rng.uniform(0.9002, 0.95, size=(pairs, 1))
+    return np.concatenate((x, near * x[:pairs] + np.sqrt(1 - near**2) * unit(noise))).astype(np.float32)
+
+
+@pytest.mark.parametrize("cos", [0.5, 0.7, 0.8])
+def test_vectors_with_a_common_direction(spark, monkeypatch, cos):
+    """Few pairs are compared and few links missed where all vectors lie on one side."""
+    rng = np.random.default_rng(7)
+    x = common_direction(rng, 18_000, cos, 2000)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
+    got = pivots.near_vectors(df).select("vec_id", "n_links").toArrow().sort_by("vec_id")["n_links"].to_numpy()
+    want = link_counts(x)
+    assert (got <= want).all() and got.sum() >= 0.985 * want.sum()
+
+    # comparisons: pairs that share two pivots or a close list, each compared once
+    index = pivots.calibrated(x[rng.permutation(len(x))[:2500]], len(x), 82, 1 << 16, 0.9)
+    some = x[rng.permutation(len(x))[:3000]]
+    near, row, pivot, covered = index.describe(some)
+    holds = np.zeros((len(some), len(index.directions)), np.float32)
+    np.put_along_axis(holds, near, 1, 1)
+    holds[covered] = 0
+    close = np.zeros((len(some), len(index.points)), np.float32)
+    close[row, pivot] = 1
+    compared = (holds @ holds.T >= 2) | (close @ close.T >= 1)
+    np.fill_diagonal(compared, False)
+    assert compared.mean() < (0.1 if cos < 0.8 else 0.2)
+
+
+@pytest.mark.parametrize("count", [5774, 16_384])
+def test_recall_with_many_pivots(count):
+    """Partners exactly at the threshold, with as many pivots as 100 million and more vectors get."""
+    rng = np.random.default_rng(8)
+    sample = unit(rng.normal(size=(count + 1500, 64))).astype(np.float32)
+    index = pivots.calibrated(sample, 100_000_000, count, count, 0.9)
+    x = unit(rng.normal(size=(2000, 64)))
+    noise = rng.normal(size=x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * unit(noise)
+    a, b = index.describe(x)[0], index.describe(y)[0]
+    assert np.mean([len(set(p) & set(q)) >= 2 for p, q in zip(a.tolist(), b.tolist())]) >= 0.985
+
+
+def test_doubles_of_any_size(spark):
+    ship_code(spark)
+    data = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 5e-324]), (5, [1.7e308, 1.7e308]), (6, [-1e200, 1e200]), (7, [1e-300, -1e-300])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.near_vectors(df).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (4, 1), 6: (0, 6), 7: (0, 7)}
+
+
 def test_unusual_vectors(spark):
     ship_code(spark)
     nan, inf = float("nan"), float("inf")
