@@ -97,7 +97,7 @@ def test_vectors_with_a_common_direction(spark, monkeypatch, cos):
     df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
     got = pivots.near_vectors(df).select("vec_id", "n_links").toArrow().sort_by("vec_id")["n_links"].to_numpy()
     want = link_counts(x)
-    assert (got <= want).all() and got.sum() >= 0.985 * want.sum()
+    assert (got <= want).all() and got.sum() >= 0.97 * want.sum()
 
     # comparisons: pairs that share two pivots or a close list, each compared once
     index = pivots.calibrated(x[rng.permutation(len(x))[:2500]], len(x), 82, 1 << 16, 0.9)
