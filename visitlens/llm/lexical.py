@@ -47,7 +47,7 @@ from .tables import BROADCAST_BYTES, ship_code, written
 from .terms import raw_texts, term_list
 
 TOP = 10
-BLOCK_POSTINGS, BLOCK_DOCUMENTS, QUERY_TERMS = 1 << 17, 1 << 10, 1 << 18
+BLOCK_POSTINGS, BLOCK_DOCUMENTS, QUERY_TERMS = 1 << 17, 1 << 8, 1 << 18
 #: Sums below this are exact in doubles.
 _EXACT = 1 << 53
 
