@@ -62,6 +62,8 @@ RECALL, LONGEST = 0.994, 28
 CALIBRATED, POSTING_COST = 1500, 8
 #: Rows of a list that share a close pivot from which they are left out together.
 DENSE = 32
+#: Rows of short lists that one task compares at a time, about.
+PACKED = 8192
 
 
 def _rows(column: pa.Array, size: int, kind: type) -> np.ndarray:
@@ -248,7 +250,7 @@ def _compare(size: int, kind: type, k: int, n_pivots: int, threshold: float):
     """Links between the two chunks of a block that belong to this list: one row for every
     vector with such links, the smallest id it reaches by them, and their number."""
 
-    def run(group: pa.Table) -> pa.Table:
+    def block(group: pa.Table) -> pa.Table:
         ids, copies, chunk = (group.column(c).to_numpy() for c in ("vec_id", "copies", "chunk"))
         number = group.column("list")[0].as_py()
         low, high = group.column("low_chunk")[0].as_py(), group.column("high_chunk")[0].as_py()
@@ -287,6 +289,17 @@ def _compare(size: int, kind: type, k: int, n_pivots: int, threshold: float):
         some = counts > 0
         return pa.table({"a": pa.array(ids[some], pa.int64()), "b": pa.array(label[some], pa.int64()), "links": pa.array(counts[some], pa.int64())})
 
+    def run(group: pa.Table) -> pa.Table:
+        """A group is one block of a long list, or several short lists."""
+        number = group.column("list").to_numpy()
+        order = np.argsort(number, kind="stable")
+        cuts = np.flatnonzero(np.diff(number[order])) + 1
+        if not len(cuts):
+            return block(group)
+        group = group.take(pa.array(order)).combine_chunks()
+        edges = [0, *cuts.tolist(), len(number)]
+        return pa.concat_tables([block(group.slice(a, b - a)) for a, b in zip(edges, edges[1:])])
+
     return run
 
 
@@ -342,11 +355,14 @@ def near_vectors(
     shared = spark.sparkContext.broadcast(index)
     postings = described.mapInArrow(_postings(shared, kind), schema)
     lists = described.mapInArrow(_postings(shared, kind, True), "list long").groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
-    lists = written(lists.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "pivot-lists")
+    lists = written(lists.select("list", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "pivot-lists")
+    packs = max(1, (lists.filter("chunks = 1").agg(F.sum("n")).first()[0] or 0) // PACKED)
+    pack = F.when(F.col("chunks") > 1, F.col("list")).otherwise(F.pmod(F.xxhash64("list"), F.lit(packs)))
+    lists = lists.select("list", "chunks", (F.col("chunks") > 1).alias("long"), pack.alias("pack"))
     dealt = postings.join(lists, "list").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.withColumn("low_chunk", F.least("chunk", "other")).withColumn("high_chunk", F.greatest("chunk", "other"))
-    blocks = dealt.drop("other", "chunks").groupBy("list", "low_chunk", "high_chunk")
+    blocks = dealt.drop("other", "chunks").groupBy("long", "pack", "low_chunk", "high_chunk")  # short lists are compared some at a time
     links = written(blocks.applyInArrow(_compare(size, kind, index.k, len(index.directions), threshold), "a long, b long, links long"), "pivot-links")
 
     groups = components(links.select("a", "b")).select(F.col("node").alias("rep"), "component")
