@@ -190,6 +190,19 @@ def test_rollup_and_kinds_equal_the_separate_operators(data, split):
     assert k1.exceptAll(k2.select(*k1.columns)).count() == 0 and k2.select(*k1.columns).exceptAll(k1).count() == 0
 
 
+def test_narrow_aggregate_equals_the_wide_one(data):
+    v, u, vp, up = data
+    params = TaskParams(keywords="kw1,kw3", category_ids="2,5")
+    wide, narrow = sessions.rollup_and_kinds(v, params), sessions.rollup_and_kinds(v, params, keywords=False)
+    assert "keyword" not in narrow.columns
+    for part in (sessions.rollup_part, sessions.kinds_part):
+        a, b = part(wide), part(narrow)
+        assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # times and flags stand in the session's own row only
+    assert narrow.where("category_id IS NOT NULL AND (start_time IS NOT NULL OR step_length > 0 OR keyword_hit)").count() == 0
+    assert narrow.count() < wide.count()
+
+
 def test_extract_from_parts_equals_extract_from_visits(data):
     v, u, vp, up = data
     prof = sessions.session_profile(sessions.session_rollup(v), u)

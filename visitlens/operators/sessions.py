@@ -11,6 +11,9 @@ the session x category counts and the sessions' keywords in one aggregate.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,40 +127,46 @@ def session_values(visits: DataFrame, split_ids: bool = False) -> DataFrame:
     return long.groupBy("session_id", "user_id", "kind", F.col("token").alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_ids: bool = False) -> DataFrame:
-    """The session rollup, the session x category counts and the session's
-    searched keywords from one scan and one (partially aggregated) shuffle.
+def rollup_and_kinds(
+    visits: DataFrame, params: TaskParams | None = None, split_ids: bool = False, keywords: bool = True
+) -> DataFrame:
+    """The session rollup, the session x category counts and (with ``keywords``) the
+    session's searched keywords from one scan and one (partially aggregated) shuffle.
 
     Every action yields a base row plus one row per category token and one
     per searched keyword; one ``groupBy(session_id, user_id, category_id,
     keyword)`` then gives the rollup in the groups where both are NULL (they
     hold exactly the session's actions), ``click_n / order_n / pay_n`` where
     ``category_id`` is set, and the distinct keywords where ``keyword`` is set.
+    Times and filter flags come from base rows alone and are NULL or false elsewhere.
     Split the result with ``rollup_part`` / ``kinds_part`` / ``keywords_part``;
-    ``run_task`` persists it so the visit log is read once for all three.
+    ``run_task`` persists it without ``keywords`` (it looks them up for the drawn
+    sessions only), so the log is read once for the rollup and the counts.
     """
-    base = F.array(F.struct(F.lit("base").alias("kind"), F.lit(None).cast("string").alias("token")))
-    items = F.concat(
-        base,
-        F.array(F.struct(F.lit("search").alias("kind"), F.col("search_keyword").alias("token"))),
-        topn._token_structs("click", F.col("click_category_id").cast("string"), False),
-        topn._token_structs("order", F.col("order_category_ids"), split_ids),
-        topn._token_structs("pay", F.col("pay_category_ids"), split_ids),
-    )
+    items = [F.array(F.struct(F.lit("base").alias("kind"), F.lit(None).cast("string").alias("token")))]
+    if keywords:
+        items.append(F.array(F.struct(F.lit("search").alias("kind"), F.col("search_keyword").alias("token"))))
+    items.append(topn._token_structs("click", F.col("click_category_id").cast("string"), False))
+    items += [topn._token_structs(k, F.col(topn._FIELDS[k]), split_ids) for k in ("order", "pay")]
     kind, token = F.col("kind"), F.col("token")
     visits = mark_listed(visits, params)
-    marks = listed_marks(visits)
+    of_session = ["action_time", "search_keyword", "click_category_id", *listed_marks(visits)]
     long = visits.select(
-        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", *marks,
-        F.inline(F.filter(items, lambda s: (s["kind"] == "base") | s["token"].isNotNull())),
+        "session_id", "user_id", *of_session,
+        F.inline(F.filter(F.concat(*items), lambda s: (s["kind"] == "base") | s["token"].isNotNull())),
     )
     is_category = kind.isin(*topn.KINDS)
+    keys = ["session_id", "user_id", "category_id"] + (["keyword"] if keywords else [])
+    named = {
+        "category_id": F.when(is_category & ~token.isin(*topn.MISSING_TOKENS), token.try_cast("bigint")),
+        "keyword": F.when(kind == "search", token),
+    }
     long = long.select(
-        "session_id", "user_id", "action_time", "search_keyword", "click_category_id", *marks, "kind",
-        F.when(is_category & ~token.isin(*topn.MISSING_TOKENS), token.try_cast("bigint")).alias("category_id"),
-        F.when(kind == "search", token).alias("keyword"),
-    ).where((kind == "base") | F.col("category_id").isNotNull() | F.col("keyword").isNotNull())
-    return long.groupBy("session_id", "user_id", "category_id", "keyword").agg(
+        "session_id", "user_id", "kind",
+        *[F.when(kind == "base", F.col(c)).alias(c) for c in of_session],
+        *[named[c].alias(c) for c in keys[2:]],
+    ).where(reduce(or_, [F.col(c).isNotNull() for c in keys[2:]], kind == "base"))
+    return long.groupBy(*keys).agg(
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count_if((kind == "base") & F.col("session_id").isNotNull()).alias("step_length"),
@@ -169,7 +178,10 @@ def rollup_and_kinds(visits: DataFrame, params: TaskParams | None = None, split_
 def rollup_part(combined: DataFrame) -> DataFrame:
     """The ``session_rollup`` rows of a ``rollup_and_kinds`` result."""
     flags = [c for c in combined.columns if c.endswith("_hit")]
-    return combined.where(F.col("category_id").isNull() & F.col("keyword").isNull()).select(
+    base = F.col("category_id").isNull()
+    if "keyword" in combined.columns:
+        base &= F.col("keyword").isNull()
+    return combined.where(base).select(
         "session_id",
         "user_id",
         "start_time",

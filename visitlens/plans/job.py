@@ -1,13 +1,12 @@
 """The task job: one task's five result tables from a visit log and users.
 
-    visits --date range--> one aggregate per (session, user, category|NULL,
-      keyword|NULL) (persisted)
-      --NULL/NULL rows--> rollup --join users--> profile (persisted)
+    visits --date range--> one aggregate per (session, user, category|NULL) (persisted)
+      --NULL rows--> rollup --join users--> profile (persisted)
         profile --filters--> one global aggregate -> session_aggr_stat
       --category rows--> session x category counts -> top10_category,
         top10_session (persisted) -> session_detail (second visit-log scan)
-      profile -> hour quotas + draw; lists from the category and keyword
-        rows -> session_random_extract
+      profile -> hour quotas + draw; keywords and clicked categories of the drawn
+        sessions only, by probing the visit log (third scan) -> session_random_extract
 
 With daily states (``operators.daily``) the aggregate is merged from them instead, and only
 the detail export reads the visit log.
@@ -125,13 +124,11 @@ def build_task(
         days = states.between(params.start_date, params.end_date)
         rolled = daily.rollup_from_daily(*days, params)
         kinds = keep(daily.kinds_from_daily(days.values, params.split_ids))
-        keywords = daily.keywords_from_daily(days.values)
     else:
         # one scan + one shuffle of the visit log for both the rollup and the
         # session x category counts (persisted, split by category_id NULL / not)
-        combined = keep(sessions.rollup_and_kinds(dated, params, params.split_ids))
-        rolled = sessions.rollup_part(combined)
-        kinds, keywords = sessions.kinds_part(combined), sessions.keywords_part(combined)
+        combined = keep(sessions.rollup_and_kinds(dated, params, params.split_ids, keywords=False))
+        rolled, kinds = sessions.rollup_part(combined), sessions.kinds_part(combined)
     variants = user_variants(users)
     if reuse:
         variants, _ = broadcast_if_small(variants, kept)  # aggregated and measured once
@@ -156,9 +153,10 @@ def build_task(
         return topn.session_detail(detail_src, top_sess, taskid, kept, measure=reuse)
 
     def sample() -> DataFrame:
-        return extract.random_extract_from_parts(
-            profile, kinds, keywords, params.extract_per_day, params.extract_seed, taskid, kept, reuse
-        )
+        draw = params.extract_per_day, params.extract_seed, taskid, kept, reuse
+        if states is None:
+            return extract.random_extract(profile, dated, *draw)
+        return extract.random_extract_from_parts(profile, kinds, daily.keywords_from_daily(days.values), *draw)
 
     return TaskResults(stat, top_cat, top_sess, detail, sample if params.extract_per_day > 0 else None), kept
 
