@@ -152,13 +152,12 @@ def random_extract_from_parts(
     kept: list[DataFrame] | None = None,
     measure: bool = True,
 ) -> DataFrame:
-    """``random_extract`` with the lists taken from the task's cached aggregate
-    (``sessions.kinds_part`` / ``keywords_part``) instead of the visit log.
+    """``random_extract`` with the lists taken from session x category counts and keywords
+    (of the daily states, or ``sessions.kinds_part`` / ``keywords_part``) instead of the visit log.
 
     Same rows as ``random_extract``: the clicked categories of a session are its
     ``click_n > 0`` rows, its keywords the keyword rows.  The measured drawn
-    set meets those (cached) tables map-side, so the task reads the visit log
-    once less.
+    set meets those tables map-side, and no action is read.
     """
     drawn = extract_sessions(profile, per_day, seed)
     if measure:
