@@ -57,6 +57,45 @@ def test_near_documents_equal_brute_force(documents, corpus, monkeypatch, block)
     assert got == brute.near_documents(corpus)
 
 
+def test_texts_too_different_to_link_meet_in_no_block(documents, monkeypatch):
+    made, blocks = [], minhash._blocks
+
+    def counted(*args):
+        grouped = blocks(*args)
+        made.append(grouped._df.count())
+        return grouped
+
+    monkeypatch.setattr(minhash, "_blocks", counted)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    texts = {}
+    for d in range(40):  # three words apart from a common text each, in buckets with each other
+        words = [f"w{i}" for i in range(100)]
+        for e in range(3):
+            words[10 + 30 * e + d % 7] = f"d{d}e{e}"
+        texts[d] = " ".join(words)
+    got = rows(minhash.near_duplicates(documents(texts)), "n_shingles", "component_id", "kept")
+    assert got == brute.near_documents(texts)
+    assert made == [0, 0]
+
+
+def test_blocks_grow_with_the_bucket_not_its_square(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    component = {d: 0 if d < 400 else d for d in range(414)}
+    members = spark.createDataFrame([(7, d, 9) for d in component], "bucket long, doc_id long, n long")
+    groups = spark.createDataFrame(list(component.items()), "node long, component long")
+    sigs = spark.createDataFrame([(d, b"") for d in component], "doc_id long, sig binary")
+    found = minhash._blocks(minhash._apart(members, groups), sigs)._df.collect()
+    assert len(found) < 2 * len(component)
+    met, at = {}, {}
+    for r in found:
+        at.setdefault((r.low_chunk, r.high_chunk), []).append((r.doc_id, r.chunk))
+    for (low, high), there in at.items():
+        for a in (d for d, c in there if c == low):
+            for b in (d for d, c in there if c == high and (low != high or d > a)):
+                met[min(a, b), max(a, b)] = met.get((min(a, b), max(a, b)), 0) + 1
+    assert met == {(a, b): 1 for b in component for a in range(b) if component[a] != component[b]}
+
+
 def test_near_documents_repeated_and_null_ids(documents):
     df = documents({}, order=[(4, "a b c d e f"), (4, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (9, None)])
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()), key=str)

@@ -16,8 +16,12 @@ lower-cased; a shorter text is one shingle).  Two documents are linked when
 
 Candidates never become all pairs of a bucket.  Each document is first verified against the
 bucket leader it shares most bands with, which already joins most of a group of copies.
-Only buckets whose members are still in different components go on: their members are
-compared in blocks of ``BLOCK`` (the signatures of one block pair meet in a task), members
+Only buckets whose members are still in different components go on, and of their members only
+those that can link there: shingles that open documents of one component alone hold are in no
+link to another, which bounds a document's similarity from above.  That groups the open
+documents' shingles twice and empties the crowded buckets of families whose members differ
+too much.  The rest are compared in blocks of ``BLOCK`` (the signatures of one block pair
+meet in a task); a bucket's largest component is only compared with the rest, members
 of one component are not compared again, and each document's best candidate is verified.
 In the last round all survivors between components that are still apart are verified where
 they meet: the sets of the documents with survivors join their block, and only a spanning
@@ -125,7 +129,8 @@ def _buckets(bands: int, rows: int):
             for r in range(rows):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, r])
             ids = np.repeat(batch.column(0).to_numpy(), bands)
-            yield pa.RecordBatch.from_arrays([signed(np.ascontiguousarray(key).ravel()), pa.array(ids)], ["bucket", "doc_id"])
+            n = np.repeat(batch.column(2).to_numpy(), bands)
+            yield pa.RecordBatch.from_arrays([signed(np.ascontiguousarray(key).ravel()), pa.array(ids), pa.array(n)], ["bucket", "doc_id", "n"])
 
     return run
 
@@ -280,11 +285,11 @@ def near_duplicates(
         "minhash-copies",
     )
 
-    ones = only_ids(full.select("doc_id", "s1", "s2", "sig"), copy_links.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti")
-    buckets = ones.select("doc_id", "sig").mapInArrow(_buckets(bands, rows), "bucket long, doc_id long")
+    ones = only_ids(full.select("doc_id", "n_shingles", "s1", "s2", "sig"), copy_links.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    buckets = ones.select("doc_id", "sig", "n_shingles").mapInArrow(_buckets(bands, rows), "bucket long, doc_id long, n long")
     crowded = buckets.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("high"))
     crowded = written(crowded.filter("leader < high").drop("high"), "minhash-buckets")
-    members = written(buckets.join(crowded, "bucket").distinct(), "minhash-members")
+    members = written(buckets.join(crowded, "bucket").groupBy("bucket", "doc_id", "leader").agg(F.min("n").alias("n")), "minhash-members")
     member_ids = written(members.select("doc_id").distinct(), "minhash-member-ids")
     # of differing texts under one id, the one with the smallest sums is compared, here and below
     near = only_ids(ones, member_ids, "doc_id").groupBy("doc_id").agg(F.min(F.struct("s1", "s2", "sig")).alias("least"))
@@ -312,11 +317,28 @@ def near_duplicates(
     both = both.join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
     links = verified(both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(size, threshold, miss), "a long, b long"))
 
-    limits = size, threshold, miss
-    blocks = _blocks(_apart(members, components(links)), sigs)
+    def linkable(apart: DataFrame) -> DataFrame:
+        """Rows of the documents that can link in a bucket: what a document shares with another
+        component is held by two at least, and none it meets has fewer than ``least`` shingles."""
+        percent, sets = round(100 * threshold), sets_of(apart.select("doc_id"))
+        for _ in range(2):  # documents that are out no longer hold shingles
+            smallest = written(apart.groupBy("bucket").agg(F.min("n").alias("least")), "minhash-smallest")
+            open_ids = apart.join(smallest, "bucket").groupBy("doc_id", "component").agg(F.min("least").alias("least"))
+            held = sets.join(written(open_ids, "minhash-open-ids"), "doc_id")
+            held = held.select("doc_id", "component", "least", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+            between = held.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+            found = held.join(between, "shingle", "left_semi").groupBy("doc_id", "least", "n").agg(F.count("*").alias("shared"))
+            union = F.col("n") + F.greatest(F.col("least") - F.col("shared"), F.lit(0))
+            found = written(found.filter(F.col("shared") * 100 >= percent * union).select("doc_id"), "minhash-linkable-ids")
+            apart = _apart(only_ids(apart.select("bucket", "doc_id", "n"), found, "doc_id"), groups)
+        return apart
+
+    limits, groups = (size, threshold, miss), components(links)
+    apart = linkable(_apart(members, groups))
+    blocks = _blocks(apart, sigs)
     links = links.union(verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
 
-    blocks = _blocks(_apart(members, components(links)), sigs)
+    blocks = _blocks(_apart(apart.select("bucket", "doc_id", "n"), components(links)), sigs)
     left = written(blocks.applyInArrow(_with_candidates(*limits), BLOCK_SCHEMA), "minhash-open")
     left = left.join(sets_of(left.select("doc_id")), "doc_id").groupBy("bucket", "low_chunk", "high_chunk")
     links = links.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
@@ -328,18 +350,26 @@ def near_duplicates(
 
 
 def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
+    """Members of buckets that hold more than one component; a bucket has ``chunks`` of members
+    outside its largest component (``main``) and ``main_chunks`` of members in it."""
     named = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    named = named.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = written(mixed.filter("low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "minhash-mixed")
-    return written(named.join(mixed, "bucket"), "minhash-apart")
+    named = named.select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    mixed = counts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("members", "component")).alias("main"), F.max("members").alias("most"), F.sum("members").alias("all")
+    )
+    chunks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"), F.ceil(F.col("most") / BLOCK).cast("int")
+    mixed = mixed.filter(F.col("most") < F.col("all")).select("bucket", "main", chunks[0].alias("chunks"), chunks[1].alias("main_chunks"))
+    return written(named.join(written(mixed, "minhash-mixed"), "bucket"), "minhash-apart")
 
 
 def _blocks(apart: DataFrame, sigs: DataFrame):
-    """Every member with its signature, once for every block pair it takes part in."""
-    chunk: Column = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    rows = apart.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    """Every member with its signature, once for every block pair it takes part in; no block
+    pair lies inside the largest component."""
+    main, number = F.col("component") == F.col("main"), F.xxhash64("doc_id")
+    chunk: Column = F.when(main, F.col("chunks") + F.pmod(number, F.col("main_chunks"))).otherwise(F.pmod(number, F.col("chunks")))
+    last = F.when(main, F.col("chunks")).otherwise(F.col("chunks") + F.col("main_chunks")) - 1
+    rows = apart.withColumn("chunk", chunk.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.withColumn("low_chunk", F.least("chunk", "other")).withColumn("high_chunk", F.greatest("chunk", "other"))
     rows = rows.join(sigs, "doc_id").select("bucket", "doc_id", "component", "chunk", "low_chunk", "high_chunk", "sig")
     return rows.groupBy("bucket", "low_chunk", "high_chunk")
