@@ -107,3 +107,34 @@ def test_bounds_hold_for_every_document():
         scores = postings.scores(terms_of, bound)
         assert scores.max() <= bound
         assert (scores == postings.scores(terms_of, 1 << 60)).all()
+
+
+def test_a_task_holds_few_blocks_unpacked(monkeypatch):
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    term = np.array([0], np.int32).tobytes()
+    tf, end = (np.array([1], np.int32).tobytes() for _ in range(2))
+    held, most = [], [0]
+
+    class Counted(L._Runs):
+        def __init__(self, *args):
+            super().__init__(*args)
+            held.append(1)
+            most[0] = max(most[0], len(held))
+
+        def __del__(self):
+            held.pop()
+
+    monkeypatch.setattr(L, "_Runs", Counted)
+    rows = [(10 + b, term, tf, end, np.array([0], np.int32).tobytes(), [b]) for b in range(500)]
+    names = ["m", "run_term", "run_tf", "run_end", "documents", "ids"]
+    types = [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    items = L.Items([0], np.array([0, 1]), np.array([0]))
+    shared = SimpleNamespace(value=(items, np.array([1000]), np.zeros(1, np.int64)))
+    found = next(L._search(shared, 1, 3)(iter([batch]))).to_pydict()
+    assert found["doc_id"] == [0, 1, 2]
+    assert most[0] < 100

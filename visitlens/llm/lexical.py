@@ -13,8 +13,9 @@ Method:
    and tf and not per document.  A stratum with many postings is dealt to several blocks;
 3. the first run of every term gives the most a block can score for an item.  The block with
    the highest bound is read first for every item; its 10th score is a threshold for all
-   others.  Every task visits its blocks in order of their bounds and leaves out those whose
-   bound is below the best 10 found so far; what it returns is ranked once more.
+   others.  Every task takes ``OPEN_BLOCKS`` blocks or ``OPEN_POSTINGS`` postings at a time,
+   visits them in order of their bounds and leaves out those whose bound is below the best 10
+   found so far; what it returns is ranked once more.
 
 Scale: the index is keyed by (m, block), so no stratum, term or item gathers its postings in
 one task; a block has about ``BLOCK_DOCUMENTS`` documents and ``BLOCK_POSTINGS`` postings at most.  Bounds are tight enough to drop a
@@ -40,6 +41,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ from .terms import raw_texts, term_list
 
 TOP = 10
 BLOCK_POSTINGS, BLOCK_DOCUMENTS, QUERY_TERMS = 1 << 17, 1 << 8, 1 << 18
+#: What a task holds unpacked at a time (one block at least).
+OPEN_BLOCKS, OPEN_POSTINGS = 32, 1 << 20
 #: Sums below this are exact in doubles.
 _EXACT = 1 << 53
 
@@ -151,7 +155,7 @@ class _Postings:
         ends = np.frombuffer(end, np.int32).astype(np.int64)
         self.documents, self.n = np.frombuffer(documents, np.int32), n_docs
         self.value = np.repeat(runs.value, np.diff(ends, prepend=0))
-        self.start, self.end = np.zeros(n_terms, np.int64), np.zeros(n_terms, np.int64)
+        self.start, self.end = np.zeros(n_terms, np.int32), np.zeros(n_terms, np.int32)
         heads = np.flatnonzero(runs.first)
         self.start[runs.term[heads]] = np.append(0, ends)[heads]
         self.end[runs.term[heads]] = ends[np.append(heads[1:], len(ends)) - 1]
@@ -188,17 +192,26 @@ class _Best:
             self.least = max(self.least, int(self.score[-1]))
 
 
+def _few_blocks(batch: pa.RecordBatch, documents: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of ``batch``, some at a time; ``documents`` is the column with their postings."""
+    postings = np.cumsum(pc.binary_length(batch.column(documents)).to_numpy(zero_copy_only=False).astype(np.int64) // 4)
+    lo = 0
+    while lo < len(postings):
+        before = postings[lo - 1] if lo else 0
+        hi = min(lo + OPEN_BLOCKS, max(lo + 1, int(np.searchsorted(postings, before + OPEN_POSTINGS, "right"))))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _search(shared, n_terms: int, top: int):
     """Best documents of every item in the blocks of a task; visits follow the bounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, weights, least = shared.value
         best = [_Best(top, at) for at in least]
-        for batch in batches:
+        for batch in (few for whole in batches for few in _few_blocks(whole, 4)):
             columns = [batch.column(i).to_pylist() for i in range(5)]
             runs = [_Runs(m, term, tf, weights) for m, term, tf in zip(*columns[:3])]
-            if not runs:
-                continue
             bounds = np.stack([r.bounds(items, n_terms) for r in runs])
             opened: dict[int, tuple] = {}
             for i, found in enumerate(best):
