@@ -51,7 +51,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     dropped = written(found.filter("NOT kept").select("doc_id").distinct(), "stage-dropped")
     repeated = found.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     repeated = written(repeated, "stage-repeated")
-    kept = only_ids(docs, dropped, "doc_id", "left_anti")
+    kept = only_ids(docs, dropped, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return kept
     once = only_ids(kept, repeated, "doc_id", "left_anti")
     rest, row = [c for c in docs.columns if c != "doc_id"], _free(docs, "row")
     least = F.min_by(F.struct(*rest), F.struct(F.xxhash64("text"), "text"))

@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from visitlens.llm import oracle, queries
+from visitlens.llm import components as components_module
+from visitlens.llm import minhash, oracle, queries
 from visitlens.llm.components import components
 from visitlens.llm.tables import ship_code
 
@@ -91,6 +92,42 @@ def test_components(spark):
     assert components(df.limit(0)).collect() == []
 
 
+def _counted(monkeypatch, module):
+    names, write = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, what: names.append(what) or write(df, what))
+    return names
+
+
+def test_components_of_random_graphs_without_a_round_too_many(spark, monkeypatch):
+    ship_code(spark)
+    rng = random.Random(3)
+    written = _counted(monkeypatch, components_module)
+    for n, m in ((40, 15), (40, 30), (60, 90)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(200 + i, 201 + i) for i in range(20)]
+        label = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+        for _ in label:
+            for a, b in links:
+                if a != b:
+                    label[a] = label[b] = min(label[a], label[b])
+        got = components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert {r.node: r.component for r in got} == label and len(got) == len(label)
+    written.clear()
+    stars = [(i, i % 3) for i in range(3, 30)]
+    assert {r.node: r.component for r in components(spark.createDataFrame(stars, "a long, b long")).collect()} == {i: i % 3 for i in range(30)}
+    assert written == ["edges"]
+
+
+def test_near_duplicates_writes_nothing_after_an_empty_intermediate(spark, documents, monkeypatch):
+    ship_code(spark)
+    written = _counted(monkeypatch, minhash)
+    prose = {i: " ".join(f"w{i}x{k}" for k in range(80)) for i in range(20)}
+    near = {100 + i: f"{prose[i]} end" for i in range(5)}
+    kept = C.minhash_near_dedup(spark, documents(prose | near), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(prose)
+    assert written.count("minhash-survivors") == written.count("minhash-sets") == written.count("minhash-links") == 1
+    assert "minhash-open" not in written and "minhash-linkable-ids" not in written
+
+
 def test_registration():
     import __spark_entry__ as E
 

@@ -25,7 +25,8 @@ meet in a task); a bucket's largest component is only compared with the rest, me
 of one component are not compared again, and each document's best candidate is verified.
 In the last round all survivors between components that are still apart are verified where
 they meet: the sets of the documents with survivors join their block, and only a spanning
-forest of the links leaves the task.  No cap drops a pair.
+forest of the links leaves the task.  No cap drops a pair.  What follows an intermediate
+without rows has none either and is not run.
 
 Defined results: null, empty or blank text has an empty set, is linked with nothing and is
 kept; a null id gets a null component and is kept; rows that repeat an id are one document
@@ -304,6 +305,8 @@ def near_duplicates(
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (a, b), on their full sets."""
         pairs = written(pairs.distinct(), "minhash-survivors")
+        if pairs.isEmpty():
+            return pairs
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
         both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -320,6 +323,8 @@ def near_duplicates(
     def linkable(apart: DataFrame) -> DataFrame:
         """Rows of the documents that can link in a bucket: what a document shares with another
         component is held by two at least, and none it meets has fewer than ``least`` shingles."""
+        if apart.isEmpty():
+            return apart
         percent, sets = round(100 * threshold), sets_of(apart.select("doc_id"))
         for _ in range(2):  # documents that are out no longer hold shingles
             smallest = written(apart.groupBy("bucket").agg(F.min("n").alias("least")), "minhash-smallest")
@@ -331,17 +336,22 @@ def near_duplicates(
             union = F.col("n") + F.greatest(F.col("least") - F.col("shared"), F.lit(0))
             found = written(found.filter(F.col("shared") * 100 >= percent * union).select("doc_id"), "minhash-linkable-ids")
             apart = _apart(only_ids(apart.select("bucket", "doc_id", "n"), found, "doc_id"), groups)
+            if apart.isEmpty():
+                break
         return apart
 
     limits, groups = (size, threshold, miss), components(links)
     apart = linkable(_apart(members, groups))
     blocks = _blocks(apart, sigs)
-    links = links.union(verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
-
-    blocks = _blocks(_apart(apart.select("bucket", "doc_id", "n"), components(links)), sigs)
-    left = written(blocks.applyInArrow(_with_candidates(*limits), BLOCK_SCHEMA), "minhash-open")
-    left = left.join(sets_of(left.select("doc_id")), "doc_id").groupBy("bucket", "low_chunk", "high_chunk")
-    links = links.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
+    if not apart.isEmpty():
+        links = links.union(verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
+        apart = _apart(apart.select("bucket", "doc_id", "n"), components(links))
+    blocks = _blocks(apart, sigs)
+    if not apart.isEmpty():
+        left = written(blocks.applyInArrow(_with_candidates(*limits), BLOCK_SCHEMA), "minhash-open")
+        if not left.isEmpty():
+            left = left.join(sets_of(left.select("doc_id")), "doc_id").groupBy("bucket", "low_chunk", "high_chunk")
+            links = links.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
 
     groups = components(links.union(copy_links)).withColumnRenamed("node", "doc_id")
     out = sketch.select("doc_id", "n_shingles").join(groups, "doc_id", "left")

@@ -122,7 +122,7 @@ def solve_dual(cells: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
             ),
             "mix-dual",
         )
-        if not state.filter("NOT done").limit(1).count():
+        if state.filter("NOT done").isEmpty():
             return state.select("sid", "lam")
     raise RuntimeError(f"the dual of some sources did not converge in {ROUNDS} steps")
 
