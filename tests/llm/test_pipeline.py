@@ -135,3 +135,26 @@ def test_registration():
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(oracle.SQL) <= set(queries.QUERIES) and "pipeline" in E.queries()
     assert [n for n, _ in C.STAGES] == ["language_id", "minhash_near_dedup", "substring_dedup", "mix_sources", "sentencepiece"]
+
+
+def test_merged_random_graphs(spark):
+    ship_code(spark)
+    for seed in (3, 4):
+        draw = random.Random(seed)
+        first, more = ([(draw.randrange(300), draw.randrange(300)) for _ in range(n)] for n in (120, 100))
+        low = {i: i for i in range(300)}
+        for _ in range(300):
+            for x, y in first + more:
+                low[x] = low[y] = min(low[x], low[y])
+        frames = [spark.createDataFrame(links, "a long, b long") for links in (first, [*more, *more, (7, None), (None, None)])]
+        got = components_module.merged(components_module.star_edges(frames[0]), frames[1]).collect()
+        assert sorted((r.node, r.component) for r in got) == [(i, c) for i, c in low.items() if i != c]
+
+
+def test_copies_of_near_copies_need_no_round_of_stars(spark, documents, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join(["other", *words[1:]])
+    written = _counted(monkeypatch, components_module)
+    got = minhash.near_duplicates(documents({1: " ".join(words), 2: near, 3: near, 4: near, 5: "alone"}))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+    assert written.count("edges") == 2  # the links, then the copies joined to their components

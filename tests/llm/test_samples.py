@@ -218,3 +218,20 @@ def test_one_step_of_the_bag_fit_follows_the_numeric_gradient():
         step = start - toxicity.RATE * slope / np.sqrt(0.01 + slope**2)
         got = np.concatenate((model.weights, [model.bias, log(model.leak / (1 - model.leak))]))
         assert np.allclose(got, step, rtol=1e-3, atol=1e-5)
+
+
+def test_language_examples_stay_packed(spark, documents, monkeypatch):
+    texts = {i: f"{'das ist der' if i % 2 else 'this is the'} {i} text" for i in range(40)}
+    fit, seen = langid.ftrl, []
+
+    def checked(examples, classes):
+        seen.append(all(examples[k][1] is not examples[k][1] for k in range(len(examples))))
+        listed = [examples[k] for k in range(len(examples))]
+        assert all(len(at) == len(x) and at[-1] == langid.FEATURES and x[-1] == 1 for at, x, _ in listed)
+        weights = fit(examples, classes)
+        assert (weights == fit(listed, classes)).all()
+        return weights
+
+    monkeypatch.setattr(langid, "ftrl", checked)
+    model = langid.fit_language_model(documents(texts, lang={i: "de" if i % 2 else "en" for i in texts}))
+    assert seen == [True] and model.languages == ["de", "en"]

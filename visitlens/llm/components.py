@@ -5,6 +5,8 @@ links the smaller neighbours among each other (small star), until every edge lea
 smallest id of its component.  Rounds grow with the logarithm of the graph's size.  Each
 round is two pre-aggregated groupings and joins on edges written to the shared folder; one
 more grouping tells whether another is needed, and the driver sees that answer alone.
+Edges that come later are taken to the components they join (``merged``), so no round goes
+over the earlier ones again.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ def spanning_labels(ids: np.ndarray, left: np.ndarray, right: np.ndarray, links:
     return label
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, component)`` for every node with an edge; component is the smallest id reachable.
+def star_edges(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``(node, component)`` for every node with an edge that is not the smallest of its
+    component; component is the smallest id reachable.
 
     Null ends, loops and repeated edges are ignored; no edges give no rows.
     """
@@ -49,9 +52,31 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while not _only_stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = written(small.filter("u <> v").distinct(), "edges")
-    roots = now.select("v").distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("v", "v"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def merged(stars: DataFrame, edges: DataFrame) -> DataFrame:
+    """``star_edges`` of ``stars`` (what it returned for other edges) and the edges (a, b): only
+    the edges between components go through rounds."""
+    if edges.isEmpty():
+        return stars
+    for end in ("a", "b"):
+        found = stars.select(F.col("node").alias(end), F.col("component").alias("root"))
+        edges = edges.join(found, end, "left").withColumn(end, F.coalesce("root", end)).select("a", "b")
+    roots = star_edges(edges)
+    if roots.isEmpty():
+        return stars
+    renamed = roots.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    moved = stars.join(renamed, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return written(moved.union(roots), "merged")
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``(node, component)`` for every node with an edge: ``star_edges`` and the smallest ids themselves."""
+    stars = star_edges(edges, a, b)
+    roots = stars.select("component").distinct()
+    return stars.union(roots.select("component", "component"))

@@ -17,7 +17,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -115,7 +115,7 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = EPOCHS) -> np.ndarray:
+def ftrl(examples: Sequence[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = EPOCHS) -> np.ndarray:
     """Weights fitted by FTRL-proximal with elastic net; examples are (features, values, class)."""
     z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
 
@@ -181,6 +181,23 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "features", "counts"])
 
 
+class Examples(Sequence):
+    """Rows of ``_examples`` as (features, values, class) with the bias, in the order of ``rows``;
+    they stay packed until one is asked for, so the driver holds them once."""
+
+    def __init__(self, packed: pa.Table, rows: np.ndarray, idf: np.ndarray, languages: list[str]):
+        self.packed, self.rows, self.idf, self.languages = packed, rows, idf, languages
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: int) -> tuple[np.ndarray, np.ndarray, int]:
+        lang, feature, count = (self.packed.column(c)[int(self.rows[at])].as_py() for c in ("lang", "features", "counts"))
+        feature, count = np.frombuffer(feature, np.uint16).astype(np.int64), np.frombuffer(count, np.uint32)
+        value = _vectors(np.zeros(len(feature), np.int64), feature, count, self.idf, 1)
+        return np.append(feature, FEATURES), np.append(value, 1.0), self.languages.index(lang)
+
+
 #: Values of the language column a model may learn; its weights have this many columns.
 MAX_LANGUAGES = 1000
 
@@ -226,15 +243,10 @@ def fit_language_model(
     least = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
     texts = texts.groupBy("doc_id", "lang").agg(least.alias("text"))  # one text an id
     got = texts.mapInArrow(_examples, "doc_id long, lang string, features binary, counts binary").toArrow()
-    examples, apart = [], []
     ids = got.column("doc_id").to_numpy()
     order = np.lexsort((ids, mix(ids.astype(np.uint64))))
-    for rank, k in enumerate(order):
-        feature = np.frombuffer(got.column("features")[k].as_py(), np.uint16).astype(np.int64)
-        count = np.frombuffer(got.column("counts")[k].as_py(), np.uint32)
-        value = _vectors(np.zeros(len(feature), np.int64), feature, count, idf, 1)
-        one = (np.append(feature, FEATURES), np.append(value, 1.0), languages.index(got.column("lang")[k].as_py()))
-        (apart if rank % 5 == 4 else examples).append(one)
+    kept_apart = np.arange(len(order)) % 5 == 4
+    examples, apart = (Examples(got, order[rows], idf, languages) for rows in (~kept_apart, kept_apart))
     weights = ftrl(examples, len(languages))
     logits = np.array([x @ weights[at] for at, x, _ in apart]).reshape(len(apart), len(languages))
     return LanguageModel(languages, idf, weights, fit_temperature(logits, np.array([y for *_, y in apart], int)), known)

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, spanning_labels
+from .components import merged, spanning_labels, star_edges
 from .tables import only_ids, ship_code, written
 from .words import Rolling, Texts, mix, signed, slices
 
@@ -327,8 +327,7 @@ def near_duplicates(
             return apart
         percent, sets = round(100 * threshold), sets_of(apart.select("doc_id"))
         for _ in range(2):  # documents that are out no longer hold shingles
-            smallest = written(apart.groupBy("bucket").agg(F.min("n").alias("least")), "minhash-smallest")
-            open_ids = apart.join(smallest, "bucket").groupBy("doc_id", "component").agg(F.min("least").alias("least"))
+            open_ids = apart.groupBy("doc_id", "component").agg(F.min("least").alias("least"))
             held = sets.join(written(open_ids, "minhash-open-ids"), "doc_id")
             held = held.select("doc_id", "component", "least", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
             between = held.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
@@ -340,20 +339,20 @@ def near_duplicates(
                 break
         return apart
 
-    limits, groups = (size, threshold, miss), components(links)
+    limits, groups = (size, threshold, miss), star_edges(links)
     apart = linkable(_apart(members, groups))
     blocks = _blocks(apart, sigs)
     if not apart.isEmpty():
-        links = links.union(verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
-        apart = _apart(apart.select("bucket", "doc_id", "n"), components(links))
-    blocks = _blocks(apart, sigs)
+        groups = merged(groups, verified(blocks.applyInArrow(_best_candidates(*limits), "a long, b long")))
+        apart = _apart(apart.select("bucket", "doc_id", "n"), groups)
+    blocks, rest = _blocks(apart, sigs), copy_links
     if not apart.isEmpty():
         left = written(blocks.applyInArrow(_with_candidates(*limits), BLOCK_SCHEMA), "minhash-open")
         if not left.isEmpty():
             left = left.join(sets_of(left.select("doc_id")), "doc_id").groupBy("bucket", "low_chunk", "high_chunk")
-            links = links.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
+            rest = rest.union(written(left.applyInArrow(_links_of_block(*limits), "a long, b long"), "minhash-links"))
 
-    groups = components(links.union(copy_links)).withColumnRenamed("node", "doc_id")
+    groups = merged(groups, rest).withColumnRenamed("node", "doc_id")
     out = sketch.select("doc_id", "n_shingles").join(groups, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
@@ -361,15 +360,17 @@ def near_duplicates(
 
 def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component; a bucket has ``chunks`` of members
-    outside its largest component (``main``) and ``main_chunks`` of members in it."""
+    outside its largest component (``main``), ``main_chunks`` of members in it, and ``least``
+    shingles in its smallest member."""
     named = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     named = named.select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     mixed = counts.groupBy("bucket").agg(
-        F.max_by("component", F.struct("members", "component")).alias("main"), F.max("members").alias("most"), F.sum("members").alias("all")
-    )
+        F.max_by("component", F.struct("members", "component")).alias("main"), F.max("members").alias("most"),
+        F.sum("members").alias("all"), F.min("least").alias("least"),
+    )
     chunks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"), F.ceil(F.col("most") / BLOCK).cast("int")
-    mixed = mixed.filter(F.col("most") < F.col("all")).select("bucket", "main", chunks[0].alias("chunks"), chunks[1].alias("main_chunks"))
+    mixed = mixed.filter(F.col("most") < F.col("all")).select("bucket", "main", "least", chunks[0].alias("chunks"), chunks[1].alias("main_chunks"))
     return written(named.join(written(mixed, "minhash-mixed"), "bucket"), "minhash-apart")
 
 
